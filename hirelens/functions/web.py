@@ -7,22 +7,19 @@ from pyspark.sql import functions as F
 
 from .scalars import blank_to_null, col
 
-_SLASH, _QUESTION = F.lit("/"), F.lit("?")
-
-
 def _without(text: Column, *prefixes: str) -> Column:
     for prefix in prefixes:
         text = F.replace(text, F.lit(prefix), F.lit(""))
     return text
 
 
-def _before(text: Column, mark: Column) -> Column:
-    return F.split_part(text, mark, F.lit(1))
+def _before(text: Column, mark: str) -> Column:
+    return F.split_part(text, F.lit(mark), F.lit(1))
 
 
 def url_host(url) -> Column:
     """Text between the scheme and the first '/' or '?'."""
-    return _before(_before(_without(col(url), "android-app://", "http://", "https://"), _SLASH), _QUESTION)
+    return _before(_before(_without(col(url), "android-app://", "http://", "https://"), "/"), "?")
 
 
 def url_path(url) -> Column:
@@ -32,9 +29,9 @@ def url_path(url) -> Column:
     text is returned.
     """
     rest = _without(col(url), "http://", "https://")
-    slash = F.position(_SLASH, rest)
-    cut = F.when(slash > 0, slash).otherwise(F.position(_QUESTION, rest) - 1)
-    return _before(F.right(rest, F.length(rest) - cut), _QUESTION)
+    slash = F.position(F.lit("/"), rest)
+    cut = F.when(slash > 0, slash).otherwise(F.position(F.lit("?"), rest) - 1)
+    return _before(F.right(rest, F.length(rest) - cut), "?")
 
 
 def url_parameter(url, name: str) -> Column:
@@ -43,4 +40,4 @@ def url_parameter(url, name: str) -> Column:
     ``name=`` is looked for anywhere, so a longer parameter that ends in it also matches.
     """
     after = F.split_part(col(url), F.lit(f"{name}="), F.lit(2))
-    return blank_to_null(_before(after, F.lit("&")))
+    return blank_to_null(_before(after, "&"))

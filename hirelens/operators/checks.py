@@ -15,7 +15,8 @@ from ..functions.scalars import col
 from .neighbours import ROWS_PER_SLICE, _keyed, link_values, repeat_rows
 from .reshape import orphan_rows
 
-N_ROWS = F.count(F.lit(1))
+def n_rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _bound(v) -> Column:
@@ -32,7 +33,7 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
 
 def accepted_values(df: DataFrame, column: str, values: Iterable) -> DataFrame:
     """Values outside the list, with their number of rows. NULL passes."""
-    counted = df.groupBy(F.col(column).alias("value_field")).agg(N_ROWS.alias("n_records"))
+    counted = df.groupBy(F.col(column).alias("value_field")).agg(n_rows().alias("n_records"))
     return counted.where(~F.col("value_field").isin(list(values)))
 
 
@@ -74,12 +75,12 @@ def assert_equal_columns(df: DataFrame, actual: str, expected: str) -> DataFrame
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Repeated values of a column with their number of rows. NULL passes."""
     rows = df.where(F.col(column).isNotNull())
-    return rows.groupBy(F.col(column).alias("unique_field")).agg(N_ROWS.alias("n_records")).where("n_records > 1")
+    return rows.groupBy(F.col(column).alias("unique_field")).agg(n_rows().alias("n_records")).where("n_records > 1")
 
 
 def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Repeated combinations of columns; NULLs count as equal."""
-    return df.groupBy(*columns).agg(N_ROWS.alias("__n")).where("__n > 1").drop("__n")
+    return df.groupBy(*columns).agg(n_rows().alias("__n")).where("__n > 1").drop("__n")
 
 
 def at_least_one(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> DataFrame:
@@ -101,7 +102,7 @@ def not_null_proportion(
     df: DataFrame, column: str, at_least: float, at_most: float = 1.0, group_by: Sequence[str] = ()
 ) -> DataFrame:
     """Groups whose share of filled rows is outside [at_least, at_most]."""
-    share = (F.count(column) / N_ROWS).alias("not_null_proportion")
+    share = (F.count(column) / n_rows()).alias("not_null_proportion")
     return df.groupBy(*group_by).agg(share).where(~F.col("not_null_proportion").between(at_least, at_most))
 
 
@@ -139,7 +140,7 @@ def sequential_values(
     a repeat is the value itself.
     """
     before = f"previous_{column}"
-    values = df.where(F.col(column).isNotNull()).groupBy(*group_by, column).agg(N_ROWS.alias("__n"))
+    values = df.where(F.col(column).isNotNull()).groupBy(*group_by, column).agg(n_rows().alias("__n"))
     linked = link_values(values, group_by, column, previous=before, rows_per_slice=rows_per_slice)
 
     def off(previous: str) -> Column:
@@ -189,7 +190,7 @@ def mutually_exclusive_ranges(
         F.col(lower).alias("lower_bound"),
         F.col(upper).alias("upper_bound"),
     )
-    ranges = named.groupBy(*group, "lower_bound", "upper_bound").agg(N_ROWS.alias("__n"))
+    ranges = named.groupBy(*group, "lower_bound", "upper_bound").agg(n_rows().alias("__n"))
     # NULL sorts first, below every value, both as a lower and as an upper bound.
     starts = ranges.groupBy(*group, "lower_bound").agg(F.max("upper_bound").alias("__widest"))
     chain = link_values(starts, group, "lower_bound", following="__next", rows_per_slice=rows_per_slice)
@@ -257,8 +258,8 @@ def _paired_counts(a: DataFrame, b: DataFrame, group_by: Sequence[str], count_a:
         totals = a.select(F.lit(1).alias("a"), F.lit(0).alias("b")).unionAll(b.select(F.lit(0), F.lit(1)))
         sums = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("a", count_a), ("b", count_b))]
         return totals.agg(*sums)
-    left = a.groupBy(*[F.col(c).alias(f"{c}_a") for c in group_by]).agg(N_ROWS.alias(count_a))
-    right = b.groupBy(*[F.col(c).alias(f"{c}_b") for c in group_by]).agg(N_ROWS.alias(count_b))
+    left = a.groupBy(*[F.col(c).alias(f"{c}_a") for c in group_by]).agg(n_rows().alias(count_a))
+    right = b.groupBy(*[F.col(c).alias(f"{c}_b") for c in group_by]).agg(n_rows().alias(count_b))
     return left.join(right, [F.col(f"{c}_a") == F.col(f"{c}_b") for c in group_by], "full")
 
 
@@ -316,7 +317,7 @@ def columns_match_set(df: DataFrame, expected: Sequence[str]) -> DataFrame:
 FAIL_CALC = {
     "equal_rowcount": lambda: F.sum(F.coalesce(F.col("diff_count"), F.lit(0))),
     "fewer_rows_than": lambda: F.sum(F.coalesce(F.col("row_count_delta"), F.lit(0))),
-    "equality": lambda: N_ROWS
+    "equality": lambda: n_rows()
     + F.abs(F.count_if(F.col("which_diff") == "a_minus_b") - F.count_if(F.col("which_diff") == "b_minus_a")),
 }
 
@@ -328,7 +329,7 @@ def summary(
 
     ``error_if`` and ``warn_if`` are comparisons put behind the number of failures.
     """
-    calc = fail_calc if fail_calc is not None else FAIL_CALC.get(name, lambda: N_ROWS)()
+    calc = fail_calc if fail_calc is not None else FAIL_CALC.get(name, n_rows)()
     counted = failing.agg(F.coalesce(calc, F.lit(0)).cast("bigint").alias("failures"))
     status = F.when(F.expr(f"failures {error_if}"), "error").when(F.expr(f"failures {warn_if}"), "warn").otherwise("pass")
     return counted.select(F.lit(name).alias("check_name"), "failures", status.alias("status"))

@@ -30,11 +30,16 @@ def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FI
 
 
 def write_run_partition(df: DataFrame, path: str, run_date, run_id: str) -> None:
-    """A run's rows below its date and id; writing the same run again replaces it."""
-    date = run_date if isinstance(run_date, Column) else F.lit(run_date)
+    """A run's rows below its date and id; writing the same run again replaces it.
+
+    Where the date is a Column, rows of a date are brought together so that a date does not
+    get a file from every task; dates with many rows are split again.
+    """
+    dated = df.withColumns({"run_date": run_date if isinstance(run_date, Column) else F.lit(run_date), "run_id": F.lit(run_id)})
+    if isinstance(run_date, Column):
+        dated = dated.hint("rebalance", "run_date")
     (
-        df.withColumns({"run_date": date, "run_id": F.lit(run_id)})
-        .write.mode("overwrite")
+        dated.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_date", "run_id")
         .parquet(path)

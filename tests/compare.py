@@ -58,7 +58,7 @@ def plain(v):
 
 
 def kind(t: str) -> str:
-    t = t.lower()
+    t = t.lower().replace(" not null", "")
     for a, b in {"large_string": "string", "timestamp[us, tz=utc]": "timestamp[us]", "element": "item", "l: ": "item: "}.items():
         t = t.replace(a, b)
     return t
