@@ -27,12 +27,12 @@ def _bronze(spark, sf):
 
 @query("parse_experience", f"SELECT {K}, {sql.experience('experience_obj')} AS years FROM {BRONZE_SQL}")
 def parse_experience(spark, sf):
-    return _bronze(spark, sf).select(K, semistructured.parse_experience("experience_obj").alias("years"))
+    return semistructured.with_experience(_bronze(spark, sf).select(K, "experience_obj"), "experience_obj", "years").drop("experience_obj")
 
 
 @query("parse_education", f"SELECT {K}, {sql.education('education_obj')} AS degree FROM {BRONZE_SQL}")
 def parse_education(spark, sf):
-    return _bronze(spark, sf).select(K, semistructured.parse_education("education_obj").alias("degree"))
+    return semistructured.with_education(_bronze(spark, sf).select(K, "education_obj"), "education_obj", "degree").drop("education_obj")
 
 
 @query("num_round_half_even", "SELECT p_partkey, round_even(p_size / 4, 1) AS quarter FROM part")
@@ -45,14 +45,14 @@ LOW, HIGH = sql.salary("job_description_raw")
 
 @query("extract_salary", f"SELECT {K}, {LOW} AS low, {HIGH} AS high FROM {BRONZE_SQL}")
 def extract_salary(spark, sf):
-    rows = _bronze(spark, sf).select(K, text.extract_salary("job_description_raw").alias("pay"))
-    return rows.select(K, F.col("pay.min").alias("low"), F.col("pay.max").alias("high"))
+    rows = _bronze(spark, sf).select(K, "job_description_raw")
+    return text.with_salary(rows, "job_description_raw", "low", "high").select(K, "low", "high")
 
 
 @query("salary_hint_text", f"SELECT {K}, {sql.hinted('job_description_raw')} AS described FROM {BRONZE_SQL}")
 def salary_hint_text(spark, sf):
-    rows = _bronze(spark, sf).withColumn("pay", text.extract_salary("job_description_raw"))
-    return rows.select(K, text.salary_hint_text("job_description_raw", "pay.min", "pay.max").alias("described"))
+    rows = text.with_salary(_bronze(spark, sf).select(K, "job_description_raw"), "job_description_raw")
+    return rows.select(K, text.salary_hint_text("job_description_raw", "salary_low", "salary_high").alias("described"))
 
 
 @query("extract_city", f"SELECT {K}, {sql.city('job_description_raw')} AS city FROM {BRONZE_SQL}")

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scalars import blank_to_null, col, round_half_even
+from .scalars import col, round_half_even
+from .steps import computed_once
 from .text import strip
 
 _NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
@@ -20,12 +21,26 @@ EDUCATION_LEVELS = {
 NO_EDUCATION = "Not Specified"
 MENTIONED_ONLY = -1.0
 
+END_MARK = "end of the text"
+
 TEXT_FIELDS = ("seniority_level", "tech_stack_category", "work_mode_override")
 NUMBER_FIELDS = ("salary_min_lpa", "salary_max_lpa", "experience_years_min", "experience_years_max")
 
 
-def _part(doc: Column, name: str) -> Column:
-    return F.try_variant_get(doc, f"$.{name}", "variant")
+def _parsed(text) -> Column:
+    """An object's text as a JSON list of the object and an end mark; NULL where it is no object.
+
+    The parser stops at the end of the first value; with the mark behind, text that goes on
+    after the object either breaks the list or has no mark in second place. What does not start
+    as an object is not given to the parser, for which a failure is the slowest case.
+    """
+    text = col(text)
+    is_object = F.startswith(F.ltrim(text, F.lit(" \n\r\t")), F.lit("{"))
+    return F.when(is_object, F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]'))))
+
+
+def _complete(doc: Column) -> Column:
+    return F.coalesce(F.try_variant_get(doc, "$[1]", "string") == END_MARK, F.lit(False))
 
 
 def _type(part: Column) -> Column:
@@ -33,37 +48,39 @@ def _type(part: Column) -> Column:
     return F.coalesce(F.schema_of_variant(part), F.lit("VOID"))
 
 
-def _is_object(doc: Column) -> Column:
-    return F.coalesce(F.startswith(F.schema_of_variant(doc), F.lit("OBJECT")), F.lit(False))
+def _field(doc: Column, name: str, kind: str = "variant") -> Column:
+    return F.try_variant_get(doc, f"$[0].{name}", kind)
 
 
 def _is_true(doc: Column, name: str) -> Column:
-    part = _part(doc, name)
-    return (_type(part) == "BOOLEAN") & F.try_variant_get(doc, f"$.{name}", "boolean")
+    return (_type(_field(doc, name)) == "BOOLEAN") & _field(doc, name, "boolean")
 
 
-def parse_experience(c) -> Column:
-    """Years of experience from JSON text: months / 12 to one place, half to even.
+def with_experience(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Add the years of experience in JSON text: months / 12 to one place, half to even.
 
     -1 means mentioned without a number. Anything unreadable is NULL.
     """
-    doc = F.try_parse_json(blank_to_null(c))
-    kind = _type(_part(doc, "required_experience_in_months"))
-    months = F.try_variant_get(doc, "$.required_experience_in_months", "double")
-    return (
-        F.when(~_is_object(doc), F.lit(None).cast("double"))
+    name = f"__{out}_doc"
+    doc = F.col(name)
+    kind = _type(_field(doc, "required_experience_in_months"))
+    months = _field(doc, "required_experience_in_months", "double")
+    years = (
+        F.when(~_complete(doc), F.lit(None).cast("double"))
         .when(kind.rlike(_NUMBER) | (kind == "BOOLEAN"), round_half_even(months / 12, 1))
         .when((kind == "VOID") & _is_true(doc, "experience_mentioned"), F.lit(MENTIONED_ONLY))
     )
+    return computed_once(df.withColumn(name, _parsed(column)), {out: years}).drop(name)
 
 
-def parse_education(c) -> Column:
-    """Highest level of education flagged in JSON text."""
-    doc = F.try_parse_json(blank_to_null(c))
-    level = F.lit(NO_EDUCATION)
-    for flag, name in reversed(EDUCATION_LEVELS.items()):
-        level = F.when(_is_true(doc, flag), name).otherwise(level)
-    return level
+def with_education(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Add the highest level of education flagged in JSON text."""
+    name = f"__{out}_doc"
+    doc, level = F.col(name), F.lit(NO_EDUCATION)
+    for flag, title in reversed(EDUCATION_LEVELS.items()):
+        level = F.when(_is_true(doc, flag), title).otherwise(level)
+    degree = F.when(_complete(doc), level).otherwise(NO_EDUCATION)
+    return computed_once(df.withColumn(name, _parsed(column)), {out: degree}).drop(name)
 
 
 def clean_response(c) -> Column:
@@ -73,45 +90,43 @@ def clean_response(c) -> Column:
     return strip(F.regexp_replace(text, r"```$", ""))
 
 
-def validate_response(c) -> Column:
-    """Struct (status, and the enrichment fields) of a model's response.
+def with_validated(df: DataFrame, response: str, out: str) -> DataFrame:
+    """Add a struct (status, and the enrichment fields) of a model's response.
 
     status is 'ok', 'empty' (no response) or 'invalid'. Fields are empty unless 'ok'. The
     types are strict: skills must be a list of texts, optional texts must be texts, and
     optional numbers may also be numeric text or true/false. Unknown keys are ignored.
-    """
-    return _validated(col(c), F.try_parse_json(clean_response(c)))
 
-
-def with_validated(df: DataFrame, response: str, out: str) -> DataFrame:
-    """Add :func:`validate_response` of a column; the text is parsed once per row."""
-    doc = f"__{out}_doc"
-    return (
-        df.withColumn(doc, F.try_parse_json(clean_response(response)))
-        .withColumn(out, _validated(F.col(response), F.col(doc)))
-        .drop(doc)
-    )
-
-
-def _validated(raw: Column, doc: Column) -> Column:
-    skills = F.try_variant_get(doc, "$.skills", "array<string>")
-    kind = _type(_part(doc, "skills"))
-    # A list of mixed kinds has the element type VARIANT, one with null items only VOID.
-    only_texts = (kind == "ARRAY<STRING>") & ~F.exists(skills, lambda s: s.isNull())
-    no_items = (kind == "ARRAY<VOID>") & (F.size(skills) == 0)
-    checks = [_is_object(doc), _part(doc, "skills").isNull() | only_texts | no_items]
-    for name in TEXT_FIELDS:
-        checks.append(_type(_part(doc, name)).isin("STRING", "VOID"))
-    for name in NUMBER_FIELDS:
-        kind = _type(_part(doc, name))
-        readable = F.try_variant_get(doc, f"$.{name}", "double").isNotNull()
-        checks.append(kind.isin("VOID", "BOOLEAN") | kind.rlike(_NUMBER) | ((kind == "STRING") & readable))
-    valid = F.coalesce(reduce(lambda a, b: a & b, checks), F.lit(False))
-    status = F.when(F.coalesce(raw, F.lit("")) == "", "empty").when(valid, "ok").otherwise("invalid")
-    good = status == "ok"
-    return F.struct(
-        status.alias("status"),
-        F.when(good & skills.isNotNull(), skills).otherwise(F.array().cast("array<string>")).alias("skills"),
-        *[F.when(good, F.try_variant_get(doc, f"$.{n}", "string")).alias(n) for n in TEXT_FIELDS],
-        *[F.when(good, F.try_variant_get(doc, f"$.{n}", "double")).alias(n) for n in NUMBER_FIELDS],
+    The work is done in steps, each a column that several later ones use, so that a text is
+    parsed and a field read once per row.
+    """
+    doc, parts, ok = f"__{out}_doc", f"__{out}_parts", f"__{out}_ok"
+    read = {n: f"__{out}_{n}" for n in ("skills", *TEXT_FIELDS, *NUMBER_FIELDS)}
+    kinds = "struct<" + ", ".join(f"{n}: variant" for n in read) + ">"
+    part = {n: F.col(parts)[n] for n in read}
+    value = {n: F.col(c) for n, c in read.items()}
+    sql_type = {"skills": "array<string>"} | dict.fromkeys(TEXT_FIELDS, "string") | dict.fromkeys(NUMBER_FIELDS, "double")
+
+    kind = _type(part["skills"])
+    # A list of mixed kinds has the element type VARIANT, one with null items only VOID. Joining
+    # leaves nulls out unless they get a text, so the two joins differ if there is one.
+    no_nulls = F.array_join(value["skills"], ",", "null") == F.array_join(value["skills"], ",")
+    only_texts = (kind == "ARRAY<STRING>") & no_nulls
+    no_items = (kind == "ARRAY<VOID>") & (F.size(value["skills"]) == 0)
+    checks = [F.col(parts).isNotNull(), part["skills"].isNull() | only_texts | no_items]
+    checks += [_type(part[n]).isin("STRING", "VOID") for n in TEXT_FIELDS]
+    # Lists and objects do not become numbers; null and absent are no numbers but allowed.
+    checks += [value[n].isNotNull() | (_type(part[n]) == "VOID") for n in NUMBER_FIELDS]
+
+    steps = (
+        df.withColumn(doc, _parsed(clean_response(response)))
+        .withColumn(parts, F.when(_complete(F.col(doc)), F.try_variant_get(doc, "$[0]", kinds)))
+        .withColumns({c: F.try_variant_get(part[n], "$", sql_type[n]) for n, c in read.items()})
+        .withColumn(ok, F.coalesce(reduce(lambda a, b: a & b, checks), F.lit(False)))
     )
+    good = F.col(ok)
+    status = F.when(F.coalesce(F.col(response), F.lit("")) == "", "empty").when(good, "ok").otherwise("invalid")
+    skills = F.coalesce(F.when(good, value["skills"]), F.array().cast("array<string>")).alias("skills")
+    fields = [F.when(good, value[n]).alias(n) for n in (*TEXT_FIELDS, *NUMBER_FIELDS)]
+    result = F.struct(status.alias("status"), skills, *fields)
+    return computed_once(steps, {out: result}).drop(doc, parts, ok, *read.values())

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scalars import blank_to_null, col
+from .steps import computed_once
 
 # The cities looked for, in order.
 CITIES = (
@@ -57,6 +58,7 @@ SKILL_NAMES = {
 # (?U) lets \d and \s cover all of Unicode.
 SALARY_WITH_UNIT = r"(?iU)(?:ctc)?\s*(\d+(?:\.\d+)?)\s*(?:-|to)?\s*(\d+(?:\.\d+)?)?\s*(?:lpa|lakh|lakhs)"
 SALARY_WITH_CTC = r"(?iU)ctc\s*(\d+(?:\.\d+)?)\s*(?:-|to)?\s*(\d+(?:\.\d+)?)?"
+SALARY_NUMBER = r"(?U)(\d+(?:\.\d+)?)"
 CTC_LOW, CTC_HIGH = 1, 200
 
 _EDGE_SPACE = r"(?U)^\s+|\s+$"
@@ -91,23 +93,25 @@ def normalize_skills(c) -> Column:
     return F.filter(F.transform(col(c), normalize_skill), lambda s: s != "")
 
 
-def _amounts(text: Column, pattern: str) -> tuple[Column, Column]:
-    # The long text is searched once; the two numbers come from the short match.
-    found = F.regexp_extract(text, pattern, 0)
-    first = blank_to_null(F.regexp_extract(found, pattern, 1)).try_cast("double")
-    second = blank_to_null(F.regexp_extract(found, pattern, 2)).try_cast("double")
-    return first, F.coalesce(second, first)
-
-
-def extract_salary(c) -> Column:
-    """Struct (min, max) of the salary a text names, in lakhs; NULL fields where none."""
-    text = col(c)
-    a1, b1 = _amounts(text, SALARY_WITH_UNIT)
-    a2, b2 = _amounts(text, SALARY_WITH_CTC)
-    plausible = a2.between(CTC_LOW, CTC_HIGH)
-    first = F.when(a1.isNotNull(), a1).when(plausible, a2)
-    second = F.when(a1.isNotNull(), b1).when(plausible, b2)
-    return F.struct(F.least(first, second).alias("min"), F.greatest(first, second).alias("max"))
+def with_salary(df: DataFrame, description: str, low: str = "salary_low", high: str = "salary_high") -> DataFrame:
+    """Add the lower and upper salary a text names, in lakhs; NULL where it names none.
+
+    The columns are added in steps, so that a long text is searched once per pattern and the
+    numbers come out of the short text found.
+    """
+    numbers, first, second = "__numbers", "__first", "__second"
+    with_unit = blank_to_null(F.regexp_extract(description, SALARY_WITH_UNIT, 0))
+    with_ctc = blank_to_null(F.regexp_extract(description, SALARY_WITH_CTC, 0))
+    any_number = F.regexp_extract_all(F.coalesce(F.col("__unit"), with_ctc), F.lit(SALARY_NUMBER), F.lit(1))
+    a, b = F.col(first), F.coalesce(F.col(second), F.col(first))
+    trusted = F.col("__unit").isNotNull() | a.between(CTC_LOW, CTC_HIGH)
+    steps = (
+        df.withColumn("__unit", with_unit)
+        .withColumn(numbers, any_number)
+        .withColumns({first: F.get(numbers, F.lit(0)).try_cast("double"), second: F.get(numbers, F.lit(1)).try_cast("double")})
+    )
+    amounts = {low: F.when(trusted, F.least(a, b)), high: F.when(trusted, F.greatest(a, b))}
+    return computed_once(steps, amounts).drop("__unit", numbers, first, second)
 
 
 def decimal_text(c) -> Column:

@@ -260,7 +260,8 @@ def _paired_counts(a: DataFrame, b: DataFrame, group_by: Sequence[str], count_a:
         return totals.agg(*sums)
     left = a.groupBy(*[F.col(c).alias(f"{c}_a") for c in group_by]).agg(n_rows().alias(count_a))
     right = b.groupBy(*[F.col(c).alias(f"{c}_b") for c in group_by]).agg(n_rows().alias(count_b))
-    return left.join(right, [F.col(f"{c}_a") == F.col(f"{c}_b") for c in group_by], "full")
+    names = [f"{c}_{side}" for c in group_by for side in "ab"]
+    return left.join(right, [F.col(f"{c}_a") == F.col(f"{c}_b") for c in group_by], "full").select(*names, count_a, count_b)
 
 
 def equal_rowcount(a: DataFrame, b: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import blank_to_null, first_filled, first_nonzero
-from ..functions.semistructured import parse_education, parse_experience, with_validated
-from ..functions.text import enrichment_prompt, extract_city, extract_salary, normalize_skills, salary_hint_text
+from ..functions.semistructured import with_education, with_experience, with_validated
+from ..functions.text import enrichment_prompt, extract_city, normalize_skills, salary_hint_text, with_salary
 from ..operators.reshape import anti_join_seen, deduplicate
 from .bronze import stored_id
 
@@ -105,15 +105,15 @@ def failed_rows(df: DataFrame, pipeline_run_id: str, failed_at: str) -> DataFram
 
 def with_salary_hint(df: DataFrame) -> DataFrame:
     """Salary found in the description: put in front of it and in place of the raw salary."""
-    df = df.withColumn("__pay", extract_salary("description"))
-    low, high = F.col("__pay")["min"], F.col("__pay")["max"]
+    df = with_salary(df, "description", "__low", "__high")
+    low, high = F.col("__low"), F.col("__high")
     found = (low != 0) | (high != 0)
     numbers = {
         out: F.when(found, pay).otherwise(_number(df, NUMBER_FALLBACKS[out]))
         for out, pay in (("salary_min_raw", low), ("salary_max_raw", high))
     }
     hinted = salary_hint_text(F.col("description"), low, high)
-    return df.withColumns({**numbers, "description": hinted}).drop("__pay")
+    return df.withColumns({**numbers, "description": hinted}).drop("__low", "__high")
 
 
 def work_mode_merge(override, is_remote) -> Column:
@@ -182,7 +182,9 @@ def build_silver(
     they are kept with the fields left empty. With ``defaults`` a missing seniority and stack
     become 'Unknown' and 'Other'.
     """
-    rows = with_validated(df, response, "enriched")
+    rows = with_experience(df, "experience_obj", "experience_years")
+    rows = with_education(rows, "education_obj", "degree_requirement")
+    rows = with_validated(rows, response, "enriched")
     ai = F.col("enriched")
     location = [F.col("job_location")] if "job_location" in df.columns else []
     base = _base_columns(df)
@@ -198,8 +200,8 @@ def build_silver(
     )
     return rows.select(
         *[c.alias(name) for name, c in base.items()],
-        parse_experience("experience_obj").alias("experience_years"),
-        parse_education("education_obj").alias("degree_requirement"),
+        "experience_years",
+        "degree_requirement",
         normalize_skills(ai["skills"]).alias("skills"),
         seniority.alias("seniority_level"),
         stack.alias("tech_stack_category"),
