@@ -95,9 +95,15 @@ def mart_seniority_demand(facts: DataFrame, locations: DataFrame, roles: DataFra
 
 
 def job_skills(fact_skills: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Distinct (job_id, skill) of active jobs."""
+    """Distinct (job_id, skill) of active jobs.
+
+    Repeats go before the rows meet by job, so that a job with very many rows brings only its
+    different skills. The ids joined to are unique, so this is a filter; written as a semi-join
+    it would be moved below the distinct again.
+    """
     named = fact_skills.select("job_id", clean_skill("skill", QUOTES).alias("skill")).where(F.col("skill") != "")
-    return of_active_jobs(named, jobs).distinct()
+    active = active_jobs(jobs).select("active_id")
+    return named.distinct().join(active, F.col("job_id") == F.col("active_id")).select("job_id", "skill")
 
 
 def frequent_job_skills(fact_skills: DataFrame, jobs: DataFrame, top: int = TOP_SKILLS) -> DataFrame:
@@ -105,7 +111,8 @@ def frequent_job_skills(fact_skills: DataFrame, jobs: DataFrame, top: int = TOP_
     pairs = job_skills(fact_skills, jobs)
     counted = pairs.groupBy("skill").agg(F.count(F.lit(1)).alias("freq"))
     frequent = top_k(counted, top, F.desc("freq"), F.asc("skill")).select("skill")
-    return pairs.join(F.broadcast(frequent), "skill", "left_semi")
+    # An inner join on unique skills stays above the distinct, whose shuffle is then used twice.
+    return pairs.join(F.broadcast(frequent), "skill")
 
 
 def mart_skill_cooccurrence(fact_skills: DataFrame, jobs: DataFrame, top: int = TOP_SKILLS) -> DataFrame:
