@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import NULL_KEY_TEXT, job_ref, surrogate_key
 from ..plans import star
@@ -144,6 +145,12 @@ def skill_history(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def lists_as_text(df: DataFrame) -> DataFrame:
+    """List columns as texts joined by '|', so that results compare as plain values."""
+    lists = [f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)]
+    return df.withColumns({c: F.array_join(c, "|") for c in lists})
+
+
 # --- the same as SQL ------------------------------------------------------------------------
 
 
@@ -152,6 +159,12 @@ def key_sql(*columns: str) -> str:
     return "md5(" + " || '-' || ".join(parts) + ")"
 
 
+def texts_sql(sql: str, *columns: str) -> str:
+    """A query with its list columns as :func:`lists_as_text` gives them."""
+    changed = ", ".join(f"array_to_string({c}, '|') AS {c}" for c in columns)
+    return f"SELECT * REPLACE ({changed}) FROM ({sql})"
+
+
 ACTIVE_SQL = f"""CASE WHEN try_cast(substr(expires_at, 1, 10) AS DATE) < DATE '{AS_OF}' THEN false
      WHEN try_cast(substr(posted_at, 1, 10) AS DATE) < DATE '{AS_OF}' - INTERVAL 60 DAY THEN false ELSE true END"""
 JOB_SQL = "coalesce(source_job_id, job_id)"

@@ -11,7 +11,7 @@ from ..schemas import AUDIT, SILVER as SILVER_SCHEMA
 from ..session import scratch_path
 from ..sources import readers, writers
 from . import record_sql as sql
-from .inputs import postings, table, with_ctes
+from .inputs import lists_as_text, postings, table, texts_sql, with_ctes
 from .record_inputs import BRONZE, SILVER, K, as_sql, records
 from .registry import query
 
@@ -77,10 +77,10 @@ AI = ("status", "skills", "seniority_level", "tech_stack_category", "work_mode_o
       "salary_max_lpa", "experience_years_min", "experience_years_max")
 
 
-@query("validate_response", f"SELECT {K}, {', '.join(f'ai_{n} AS {n}' for n in AI)} FROM {sql.checked(BRONZE_SQL)}")
+@query("validate_response", texts_sql(f"SELECT {K}, {', '.join(f'ai_{n} AS {n}' for n in AI)} FROM {sql.checked(BRONZE_SQL)}", "skills"))
 def validate_response(spark, sf):
     rows = semistructured.with_validated(_bronze(spark, sf).select(K, "response"), "response", "checked")
-    return rows.select(K, "checked.*")
+    return lists_as_text(rows.select(K, "checked.*"))
 
 
 SKILL_TEXT = f"""(SELECT {K}, unnest(['sql', ' PY SPARK ', 'node.js ' || o_orderstatus, 'data lake 2x', 'CI/CD', '', ' ']) AS raw FROM orders)"""
@@ -114,14 +114,14 @@ def _answers(prompts):
     return answers
 
 
-@query("enrich_hook", """SELECT doc_id, CASE WHEN n % 10 = 0 THEN 'empty' WHEN n % 10 = 3 THEN 'invalid' ELSE 'ok' END AS status,
+@query("enrich_hook", texts_sql("""SELECT doc_id, CASE WHEN n % 10 = 0 THEN 'empty' WHEN n % 10 = 3 THEN 'invalid' ELSE 'ok' END AS status,
   CASE WHEN n % 10 IN (0, 3) THEN [] ELSE ['s' || CAST(n % 7 AS VARCHAR)] END AS skills
-FROM (SELECT doc_id, length(text) AS n FROM documents)""")
+FROM (SELECT doc_id, length(text) AS n FROM documents)""", "skills"))
 def enrich_hook(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", F.col("text").alias("description"))
     answered = silver.enrich(rows, _answers, prompt=F.col("description"), batch_rows=10)
     checked = semistructured.with_validated(answered, "response", "checked")
-    return checked.select("doc_id", "checked.status", "checked.skills")
+    return lists_as_text(checked.select("doc_id", "checked.status", "checked.skills"))
 
 
 # --- first layer ------------------------------------------------------------------------------
@@ -236,17 +236,17 @@ HINTED = f"""(SELECT * EXCLUDE (description) REPLACE (
   FROM (SELECT *, {D_LOW} AS pay_low, {D_HIGH} AS pay_high FROM {DESCRIBED}))"""
 
 
-@query("build_silver", f"""SELECT {BASE.replace(_filled("city", "job_city") + " AS city", f"coalesce({_filled('city', 'job_city')}, {sql.city('description')}) AS city")},
+@query("build_silver", texts_sql(f"""SELECT {BASE.replace(_filled("city", "job_city") + " AS city", f"coalesce({_filled('city', 'job_city')}, {sql.city('description')}) AS city")},
   {sql.experience("experience_obj")} AS experience_years, {sql.education("education_obj")} AS degree_requirement,
   {sql.skills("ai_skills")} AS skills, ai_seniority_level AS seniority_level, ai_tech_stack_category AS tech_stack_category,
   ai_salary_min_lpa AS salary_min_lpa, ai_salary_max_lpa AS salary_max_lpa, {MODE.format("ai_work_mode_override")} AS work_mode,
   '2001-06-01' AS audit_enriched_at, 'run-1' AS audit_pipeline_run_id, 'model' AS audit_gemini_model_used,
   'high' AS audit_enrichment_confidence, ai_status AS enrichment_status
-FROM {sql.checked(HINTED)}""")
+FROM {sql.checked(HINTED)}""", "skills"))
 def build_silver(spark, sf):
     described = silver.with_description(_bronze(spark, sf)).where("failure_reason IS NULL")
     built = silver.build_silver(silver.with_salary_hint(described), "run-1", "2001-06-01", "model")
-    return reshape.flatten_struct(built, "silver_medallion_audit", "audit_")
+    return lists_as_text(reshape.flatten_struct(built, "silver_medallion_audit", "audit_"))
 
 
 @query("dead_letters", f"""SELECT {_filled("source_job_id", "job_id")} AS job_id, response AS raw_response
@@ -278,14 +278,14 @@ FLAT = """source_job_id, company_name, experience_years, string_split(skills_tex
 GOOD = "coalesce(failure_reason, '') = '' AND coalesce(enrichment_confidence, '') <> ''"
 
 
-@query("flatten_struct", f"SELECT {FLAT.replace('string_split', f'CASE WHEN {K} % 4 = 2 THEN [] ELSE string_split').replace(') AS skills', ') END AS skills')} FROM {SILVER_SQL}")
+@query("flatten_struct", texts_sql(f"SELECT {FLAT.replace('string_split', f'CASE WHEN {K} % 4 = 2 THEN [] ELSE string_split').replace(') AS skills', ') END AS skills')} FROM {SILVER_SQL}", "skills"))
 def flatten_struct(spark, sf):
-    return reshape.flatten_struct(_silver(spark, sf), "silver_medallion_audit", "audit_")
+    return lists_as_text(reshape.flatten_struct(_silver(spark, sf), "silver_medallion_audit", "audit_"))
 
 
-@query("null_empty_complex", f"SELECT source_job_id, string_split(skills_text, ',') AS skills FROM {SILVER_SQL}")
+@query("null_empty_complex", texts_sql(f"SELECT source_job_id, string_split(skills_text, ',') AS skills FROM {SILVER_SQL}", "skills"))
 def null_empty_complex(spark, sf):
-    return reshape.null_empty_complex(_silver(spark, sf).select("source_job_id", "skills"))
+    return lists_as_text(reshape.null_empty_complex(_silver(spark, sf).select("source_job_id", "skills")))
 
 
 @query("quality_filter", f"SELECT source_job_id, company_name, experience_years FROM {SILVER_SQL} WHERE {GOOD}")
@@ -293,7 +293,7 @@ def quality_filter(spark, sf):
     return load.quality_filter(_silver(spark, sf)).select("source_job_id", "company_name", "experience_years")
 
 
-@query("load_silver", f"SELECT {FLAT} FROM {SILVER_SQL} WHERE {GOOD} AND (source_job_id IS NULL OR o_orderkey % 5 <> 0)")
+@query("load_silver", texts_sql(f"SELECT {FLAT} FROM {SILVER_SQL} WHERE {GOOD} AND (source_job_id IS NULL OR o_orderkey % 5 <> 0)", "skills"))
 def load_silver(spark, sf):
     """Files written, read back, and loaded behind rows that are in the table already."""
     path = scratch_path(spark, "silver")
@@ -303,7 +303,7 @@ def load_silver(spark, sf):
     ).add("silver_medallion_audit", AUDIT.__class__([f for f in AUDIT if f.name != "failed_at"]))
     rows = readers.scan_named(spark, path, schema, name_glob="*.txt")
     loaded = records(spark, sf, SILVER).where(f"{K} % 5 = 0").select("source_job_id")
-    return load.load_rows(rows, loaded)
+    return lists_as_text(load.load_rows(rows, loaded))
 
 
 FETCHED = f"""SELECT 'run-1' AS run_id, '2001-06-01' AS run_date, '2001-06-01T00:30:00Z' AS dag_trigger_time, false AS dry_run_mode,
@@ -341,21 +341,21 @@ def _few(spark, sf, *more):
     return postings(spark, sf, lines=False).select(*FEW, *more)
 
 
-@query("scan_json", PLAIN_SQL)
+@query("scan_json", texts_sql(PLAIN_SQL, "skills"))
 def scan_json(spark, sf):
     rows, path = _plain(spark, sf), scratch_path(spark, "landed")
     writers.write_json_arrays(rows, f"{path}/2001/06")
-    return readers.scan_json(spark, path, rows.schema, name_glob="*.txt")
+    return lists_as_text(readers.scan_json(spark, path, rows.schema, name_glob="*.txt"))
 
 
-@query("scan_named", with_ctes("postings", f"SELECT {PLAIN} FROM postings WHERE work_mode <> 'Remote'"))
+@query("scan_named", texts_sql(with_ctes("postings", f"SELECT {PLAIN} FROM postings WHERE work_mode <> 'Remote'"), "skills"))
 def scan_named(spark, sf):
     """Files of failed rows lie beside and are not read."""
     rows, path = postings(spark, sf, skills=True), scratch_path(spark, "named")
     names = PLAIN.split(", ")
     writers.write_json_arrays(rows.where("work_mode <> 'Remote'").select(*names), f"{path}/silver_enriched_1")
     writers.write_json_arrays(rows.where("work_mode = 'Remote'").select(*names), f"{path}/silver_failed_1")
-    return readers.scan_named(spark, path, rows.select(*names).schema, name_glob="*.txt")
+    return lists_as_text(readers.scan_named(spark, path, rows.select(*names).schema, name_glob="*.txt"))
 
 
 @query("sink_run_partition", with_ctes("postings", FEW_SQL.format(more=", CAST(date_trunc('month', enriched_at) AS DATE) AS run_date, 'run-1' AS run_id")))

@@ -13,9 +13,11 @@ from .inputs import (
     JOB_SQL,
     fact_skills,
     key_sql,
+    lists_as_text,
     posting_skills,
     postings,
     skill_history,
+    texts_sql,
     with_ctes,
 )
 from .registry import query
@@ -54,23 +56,23 @@ def _loaded(spark, sf):
     return rows.withColumn("experience_years", F.col("experience_years").cast("string"))
 
 
-@query("stg_job_postings", with_ctes("postings", STAGED))
+@query("stg_job_postings", texts_sql(with_ctes("postings", STAGED), "skills"))
 def stg_job_postings(spark, sf):
-    return star.stg_job_postings(_loaded(spark, sf))
+    return lists_as_text(star.stg_job_postings(_loaded(spark, sf)))
 
 
 @query(
     "staging_projection",
-    with_ctes(
+    texts_sql(with_ctes(
         "postings",
         """SELECT job_id, source_job_id, posted_at, CAST(NULL AS DOUBLE) AS experience_years, salary_min_lpa, skills,
   enriched_at FROM postings WHERE source_job_id IS NOT NULL""",
-    ),
+    ), "skills"),
 )
 def staging_projection(spark, sf):
     """Dirty input: unreadable numbers become NULL and rows without any id are left out."""
     rows = _loaded(spark, sf).withColumns({"job_id": F.lit(None).cast("string"), "experience_years": F.lit("many")})
-    return star.stg_job_postings(rows).select(
+    return lists_as_text(star.stg_job_postings(rows)).select(
         "job_id", "source_job_id", "posted_at", "experience_years", "salary_min_lpa", "skills", "enriched_at"
     )
 
@@ -122,9 +124,9 @@ def dim_date(spark, sf):
     return star.dim_date(postings(spark, sf, lines=False))
 
 
-@query("fact_job_postings", with_ctes("fact", "SELECT * FROM fact"))
+@query("fact_job_postings", texts_sql(with_ctes("fact", "SELECT * FROM fact"), "skills_array"))
 def fact_job_postings(spark, sf):
-    return star.fact_job_postings(postings(spark, sf, skills=True))
+    return lists_as_text(star.fact_job_postings(postings(spark, sf, skills=True)))
 
 
 FACT_SKILLS = f"""SELECT {key_sql("job", "skill_name")} AS job_skill_key, job AS job_id,
@@ -263,13 +265,14 @@ def dash_salary_spread(spark, sf):
     "dash_company_kpis",
     with_ctes(
         "hiring",
-        """SELECT count(*) AS companies, avg(remote_pct) AS avg_remote_pct,
+        """SELECT count(*) AS companies, round(avg(remote_pct), 6) AS avg_remote_pct,
   (SELECT top_skill FROM hiring WHERE top_skill IS NOT NULL GROUP BY top_skill ORDER BY count(*) DESC, top_skill LIMIT 1)
     AS most_sought_skill FROM hiring""",
     ),
 )
 def dash_company_kpis(spark, sf):
-    return marts.company_kpis(mart_company_hiring(spark, sf))
+    # Rounded, as a mean of fractions depends on the order of adding in its last digit.
+    return marts.company_kpis(mart_company_hiring(spark, sf)).withColumn("avg_remote_pct", F.round("avg_remote_pct", 6))
 
 
 @query(
