@@ -113,13 +113,13 @@ def frequency(
     return ordered if max_records is None else ordered.limit(max_records)
 
 
-def column_values(df: DataFrame, column: str, **options) -> list:
-    """The values of :func:`frequency` as a list, for use as pivot headings."""
+def column_values(df: DataFrame, column: str, default: list | None = None, **options) -> list:
+    """The values of :func:`frequency` as a list, for use as pivot headings; ``default`` if none."""
     options.setdefault("max_records", PIVOT_LIMIT + 1)
     values = [r["value"] for r in frequency(df, column, **options).select("value").collect()]
     if len(values) > PIVOT_LIMIT:
         raise ValueError(f"more than {PIVOT_LIMIT} values in {column}; narrow them with where or max_records")
-    return values
+    return values or list(default or [])
 
 
 def pivot(
