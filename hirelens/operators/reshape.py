@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from ..functions.scalars import blank_to_null, col
 
 PIVOT_LIMIT = 10_000
+# Fixed value: the name that stored unions have for the source of a row.
+SOURCE_COLUMN = "_dbt_source_relation"
 
 
 def slug(text: str) -> str:
@@ -63,7 +65,7 @@ def union_relations(
     column_override: Mapping[str, str] | None = None,
     include: Sequence[str] = (),
     exclude: Sequence[str] = (),
-    source_column: str | None = "_dbt_source_relation",
+    source_column: str | None = SOURCE_COLUMN,
     where: str | Column | None = None,
 ) -> DataFrame:
     """Union of tables with unlike columns, in the order they are first seen.
