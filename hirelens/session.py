@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -26,11 +29,30 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for an intermediate table, on the folder the cluster shares.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that driver and executors share.
 
-    The folder is the one named in ``spark.checkpoint.dir``. A machine-local folder is
-    used only where that is unset, as in tests.
+    It is the one named in ``spark.checkpoint.dir``, else the checkpoint folder set on the context. Only
+    with a local master, where all run on one machine, a temporary folder serves, one for each session.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="hirelens-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if context.getCheckpointDir():
+        return context.getCheckpointDir().rstrip("/")
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_folder(context.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _local_folder(application: str) -> str:
+    folder = tempfile.mkdtemp(prefix="hirelens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for an intermediate table in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
