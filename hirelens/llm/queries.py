@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import guess_cost, licenses, merge_counts, pairwise_quality, repetition, simhash_gph, spaced_seeds, trie_bpe
+from . import (
+    guess_cost, licenses, merge_counts, page_wrappers, pairwise_quality, repetition, simhash_gph, spaced_seeds, suffix_blocks,
+    trie_bpe,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +19,10 @@ def op1_pairwise_quality(spark: SparkSession, sf: str) -> DataFrame:
     return pairwise_quality.scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op2_page_wrappers(spark: SparkSession, sf: str) -> DataFrame:
+    return page_wrappers.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
+
+
 def op3_spaced_seeds(spark: SparkSession, sf: str) -> DataFrame:
     return spaced_seeds.pairs(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -24,6 +31,10 @@ def op4_simhash_pigeonhole(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_gph.fingerprint_rows(table(spark, sf, "documents"))
 
 
+def op5_suffix_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_blocks.digests(table(spark, sf, "documents"))
+
+
 def op6_guess_cost(spark: SparkSession, sf: str) -> DataFrame:
     return guess_cost.digests(table(spark, sf, "documents"))
 
@@ -47,8 +58,8 @@ def op10_merge_counts(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_pairwise_quality, op3_spaced_seeds, op4_simhash_pigeonhole, op6_guess_cost, op7_licence_cosine,
-        op8_trie_bpe, op9_repetition, op10_merge_counts,
+        op1_pairwise_quality, op2_page_wrappers, op3_spaced_seeds, op4_simhash_pigeonhole, op5_suffix_blocks,
+        op6_guess_cost, op7_licence_cosine, op8_trie_bpe, op9_repetition, op10_merge_counts,
     )
 }
 ORACLES: dict[str, str] = {"op7_licence_cosine": licenses.ORACLE}

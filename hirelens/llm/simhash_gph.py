@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import rolling
 from .common import map_texts, prepare, written
 from .components import components
 
@@ -33,8 +34,8 @@ ROW_COST = 64.0
 # --- fingerprints ---------------------------------------------------------------------------
 
 
-def fingerprint(text: bytes, size: int = 3, seed: int = SEED) -> int:
-    """Majority bits of the XXH64 of all shingles, repeats included."""
+def fingerprint(text: bytes, size: int = 3, seed: int = SEED, distinct: bool = False) -> int:
+    """Majority bits of the XXH64 of all shingles, repeats included unless ``distinct``."""
     words = text.lower().split()
     if not words:
         return 0
@@ -42,6 +43,8 @@ def fingerprint(text: bytes, size: int = 3, seed: int = SEED) -> int:
         shingles = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*(words[k:] for k in range(size))))
+    if distinct:
+        shingles = set(shingles)
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(s, seed) for s in shingles], np.uint64)
     ones = np.zeros(BITS, np.int64)
@@ -52,12 +55,12 @@ def fingerprint(text: bytes, size: int = 3, seed: int = SEED) -> int:
 
 
 def fingerprints(
-    df: DataFrame, column: str = "text", size: int = 3, seed: int = SEED, keep: Sequence[str] | None = None
+    df: DataFrame, column: str = "text", size: int = 3, distinct: bool = False, keep: Sequence[str] | None = None
 ) -> DataFrame:
     """``df`` with the fingerprint ``fp`` (long) of each text; null and empty texts have fingerprint 0."""
 
     def work(texts: pa.Array):
-        found = [fingerprint(t, size, seed) for t in texts.cast(pa.binary()).to_pylist()]
+        found = [fingerprint(t, size, SEED, distinct) for t in texts.cast(pa.binary()).to_pylist()]
         return [pa.array(np.array(found, np.uint64).view(np.int64))]
 
     return map_texts(df, column, "fp long", lambda: work, keep)
@@ -213,7 +216,7 @@ def _choose(n: float, k: int) -> float:
 def probes(fps: DataFrame, parts: Sequence[Sequence[int]], counts, count: int, tau: int) -> DataFrame:
     """(part, value, fp): the buckets in which each fingerprint lies and those it has to look into."""
     m, total = len(parts), tau - len(parts) + 1
-    most = max(0, total + m - 1)
+    most = max(0, min(total + m - 1, -(-total // m) + 1))  # the least cost never needs one part to bear much more than its share
     masks = [
         [np.array([sum(1 << b for b in c) for c in combinations(range(len(bits)), d)], np.uint64) for d in range(most + 1)]
         for bits in parts
@@ -281,8 +284,43 @@ def links_in_bucket(fp: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
     return fp[rest], fp[label[rest]]
 
 
-def links(rows: DataFrame, tau: int, partitions: int | None = None) -> DataFrame:
-    """(a, b): fingerprints joined within buckets. Clusters come whole, not necessarily all their pairs."""
+def best_links(fp: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
+    """The links of one bucket that are worth a comparison of texts: all of them, or where there are many more
+    than fingerprints, a shortest spanning tree of each cluster."""
+    n, step = len(fp), max(1, 4_000_000 // len(fp))
+    a, b, many = [], [], False
+    for k in range(0, n, step):
+        u, v = np.nonzero(np.bitwise_count(fp[k : k + step, None] ^ fp[None, :]) <= tau)
+        u, v = u[v > u + k] + k, v[v > u + k]
+        a.append(u)
+        b.append(v)
+        if sum(map(len, a)) > 4 * n:
+            many = True
+            break
+    if not many:
+        return fp[np.concatenate(a)], fp[np.concatenate(b)]
+    left, near, by = np.ones(n, bool), np.full(n, BITS + 1), np.zeros(n, np.int64)
+    tree_a, tree_b = [], []
+    at = 0
+    for _ in range(n):
+        left[at] = False
+        distance = np.bitwise_count(fp ^ fp[at]).astype(np.int64)
+        closer = distance < near
+        near[closer], by[closer] = distance[closer], at
+        if not left.any():
+            break
+        at = int(np.argmin(np.where(left, near, BITS + 2)))
+        if near[at] <= tau:
+            tree_a.append(by[at])
+            tree_b.append(at)
+    return fp[np.array(tree_a, np.int64)], fp[np.array(tree_b, np.int64)]
+
+
+def links(rows: DataFrame, tau: int, partitions: int | None = None, in_bucket=links_in_bucket) -> DataFrame:
+    """(a, b): fingerprints joined within buckets. Clusters come whole, not necessarily all their pairs.
+
+    ``in_bucket`` gives the links of a bucket of more than ``SMALL`` rows.
+    """
     keys = ["part", "value", "one", "two"]
     count = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = cut_large(rows).repartition(count, *keys).sortWithinPartitions(*keys, "fp")
@@ -292,7 +330,7 @@ def links(rows: DataFrame, tau: int, partitions: int | None = None) -> DataFrame
         first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1)))
         size = np.diff(np.append(first, len(fp)))
         for start, n in zip(first[size > SMALL], size[size > SMALL]):
-            u, v = links_in_bucket(np.unique(fp[start : start + n]), tau)
+            u, v = in_bucket(np.unique(fp[start : start + n]), tau)
             a.append(u)
             b.append(v)
         left = np.repeat(np.where(size <= SMALL, first + size, 0), size)  # where the bucket ends, for small ones
@@ -328,35 +366,84 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
 
-def clusters(fps: DataFrame, tau: int = 3, parts: int | None = None) -> DataFrame:
-    """(fp, root) for the fingerprints that are linked with another: root stands for the whole cluster.
-
-    ``fps`` holds distinct fingerprints. An empty table gives an empty table.
-    """
+def linked(fps: DataFrame, tau: int = 3, parts: int | None = None, in_bucket=links_in_bucket) -> DataFrame:
+    """(a, b): links between the distinct fingerprints ``fps``, written to the shared folder."""
     count = fps.count()
-    together = bit_table(fps)
-    dealt = group_bits(together, count, parts or parts_for(count, tau))
+    dealt = group_bits(bit_table(fps), count, parts or parts_for(count, tau))
     rows = probes(fps, dealt, block_counts(fps, dealt), count, tau)
-    return components(written(links(rows, tau), "fp_links")).select(F.col("node").alias("fp"), "root")
+    return written(links(rows, tau, in_bucket=in_bucket), "fp_links")
+
+
+def shingle_sets(df: DataFrame, size: int, keep: Sequence[str]) -> DataFrame:
+    """``df`` with the sorted distinct hashes of the word shingles of ``text``."""
+
+    def work(texts: pa.Array):
+        data, offsets = rolling.bytes_of(texts)
+        words = rolling.words_of(rolling.SMALL[data], offsets)
+        lists = []
+        sums = rolling.prefix_sums(words.hashes, rolling.STEP)
+        for a, b in zip(words.first[:-1], words.first[1:]):
+            starts = np.arange(a, max(a + (b > a), b - size + 1))
+            lists.append(np.unique(rolling.stretch_hashes(sums, starts, np.minimum(starts + size, b), rolling.STEP)))
+        ends = np.append(0, np.cumsum([len(x) for x in lists])).astype(np.int32)
+        flat = np.concatenate([np.zeros(0, np.uint64), *lists])
+        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))]
+
+    return map_texts(df, "text", "shingles array<long>", lambda: work, keep)
+
+
+def verified(found: DataFrame, named: DataFrame, rows: DataFrame, size: int, least: float) -> DataFrame:
+    """The links whose documents have a Jaccard similarity of ``least`` or more on ``size``-word shingles.
+
+    ``named`` gives (fp, least): the document that stands for a fingerprint; ``rows`` are (id, text).
+    """
+    pairs = found.distinct()
+    ends = pairs.select(F.col("a").alias("fp")).unionAll(pairs.select("b")).distinct()
+    wanted = ends.join(named, "fp").select("fp", F.col("least").alias("id"))
+    sets = shingle_sets(wanted.join(rows, "id"), size, ["fp"]).dropDuplicates(["fp"])
+    sets = written(sets, "shingles")
+    one = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x"))
+    two = sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y"))
+    both = pairs.join(one, "a").join(two, "b")
+    common = F.size(F.array_intersect("x", "y"))
+    return both.where(common >= least * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
 def near_duplicates(
-    df: DataFrame, id_column: str = "doc_id", column: str = "text", size: int = 3, tau: int = 3, parts: int | None = None
-) -> DataFrame:
+    df: DataFrame, id_column: str = "doc_id", column: str = "text", size: int = 3, tau: int = 3, parts: int | None = None,
+    distinct: bool = False, verify: tuple[int, float] | None = None,
+) -> DataFrame:
     """(id, fp, component_id) of every row; component_id is the smallest id that can be reached.
 
-    Texts with equal fingerprints are one node. Null ids keep their row and count only where a component has
-    no other id. Null and empty texts have fingerprint 0 and are linked like any other. Repeated rows stay.
+    Texts with equal fingerprints are one node. With ``verify`` = (words, similarity), links count only if the documents
+    that stand for the fingerprints have that Jaccard similarity on shingles of so many words; in clusters with many links
+    those of a shortest spanning tree are verified in each bucket. Null ids keep their row and count only where
+    a component has no other id. Null and empty texts have fingerprint 0 and are linked like any other. Repeated rows stay.
     """
     prepare(df.sparkSession)
     rows = df.select(F.col(id_column).alias("id"), F.col(column).alias("text"))
-    marked = written(fingerprints(rows, "text", size, keep=["id"]), "fingerprints")
-    distinct = written(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct_fps")
-    rooted = distinct.join(clusters(distinct.select("fp"), tau, parts), "fp", "left")
+    marked = written(fingerprints(rows, "text", size, distinct, keep=["id"]), "fingerprints")
+    named = written(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct_fps")
+    found = linked(named.select("fp"), tau, parts, best_links if verify else links_in_bucket)
+    if verify:
+        found = written(verified(found, named, rows, *verify), "verified")
+    rooted = named.join(components(found).select(F.col("node").alias("fp"), "root"), "fp", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "fp_components")
-    return marked.join(named, "fp").select(F.col("id").alias(id_column), "fp", "component_id")
+    grouped = written(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "fp_components")
+    return marked.join(grouped, "fp").select(F.col("id").alias(id_column), "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", column: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group the row with the smallest id stays, with its columns.
+
+    Of rows with one id, one stays. Rows without an id cannot be named and stay.
+    """
+    found = near_duplicates(docs.where(F.col(id_column).isNotNull()), id_column, column, **options)
+    chosen = found.where(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("__id")).distinct()
+    chosen = written(chosen, "chosen")
+    kept = docs.join(chosen, docs[id_column] == F.col("__id"), "left_semi")
+    return kept.dropDuplicates([id_column]).unionAll(docs.where(F.col(id_column).isNull()))
 
 
 def fingerprint_rows(df: DataFrame) -> DataFrame:
