@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -115,5 +117,17 @@ def map_texts(
     return df.mapInArrow(run, T.StructType([*kept, *results]))
 
 
+@contextmanager
+def uncollected():
+    """Without passes over large tables of remembered texts in search of cycles, which they cannot have."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

@@ -17,12 +17,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, uncollected
 from .word_bpe import Vocabulary, vocabulary
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 # Encodings remembered between batches; beyond that the memory starts anew, which changes no result.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 PAIRS = 1_000_000
 NEVER = 1 << 60
 
@@ -146,7 +146,8 @@ def encode(df: DataFrame, column: str = "text", path: str = VOCABULARY, keep: Se
         coder = encoder(path)
 
         def work(texts: pa.Array):
-            lists = coder.encode(texts.to_pylist())
+            with uncollected():
+                lists = coder.encode(texts.to_pylist())
             offsets = np.zeros(len(lists) + 1, np.int32)
             np.cumsum([len(x) for x in lists], out=offsets[1:])
             flat = np.fromiter((i for x in lists for i in x), np.int32, int(offsets[-1]))
