@@ -34,7 +34,7 @@ NEXT = [next(c for c in COLUMNS if c >= s) for s in range(BEFORE + 1)]
 PIECE = 1 << 20
 PLACE_BITS = 24
 STORED = 5  # bytes of a hash that are sent; the bucket says the rest, and chance equals are told apart by the sort
-GROUPS_PER_PARTITION = 4
+GROUPS_PER_PARTITION = 2
 
 
 class Anchors(NamedTuple):
@@ -99,10 +99,14 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> Anchors:
 
 def contexts(data: np.ndarray, offsets: np.ndarray, found: Anchors) -> np.ndarray:
     """The bytes from ``BEFORE`` before each anchor on, zero outside the anchor's windows."""
-    at = (offsets[found.text] + found.place)[:, None] + np.arange(-BEFORE, LENGTH)[None, :]
-    out = data[np.clip(at, 0, max(0, len(data) - 1))]
+    out = np.zeros((len(found.place), WIDE), np.uint8)
     column = np.arange(WIDE)[None, :]
-    out[(column < BEFORE - found.high[:, None]) | (column >= WIDE - found.low[:, None])] = 0
+    for k in range(0, len(out), 1 << 16):
+        rows = slice(k, k + (1 << 16))
+        at = (offsets[found.text[rows]] + found.place[rows])[:, None] + np.arange(-BEFORE, LENGTH)[None, :]
+        part = data[np.clip(at, 0, max(0, len(data) - 1))]
+        part[(column < BEFORE - found.high[rows, None]) | (column >= WIDE - found.low[rows, None])] = 0
+        out[rows] = part
     return out
 
 
