@@ -31,7 +31,7 @@ WIDE = BEFORE + LENGTH  # bytes around an anchor that its windows can cover
 COVER, PERIOD = (0, 1, 3, 9), 13  # every difference modulo 13 is one of two members
 COLUMNS = [c for c in range(BEFORE + PERIOD) if c % PERIOD in COVER]
 NEXT = [next(c for c in COLUMNS if c >= s) for s in range(BEFORE + 1)]
-PIECE = 1 << 20
+PIECE = 1 << 18
 PLACE_BITS = 24
 STORED = 5  # bytes of a hash that are sent; the bucket says the rest, and chance equals are told apart by the sort
 GROUPS_PER_PARTITION = 2
