@@ -22,7 +22,7 @@ from .word_bpe import Vocabulary, vocabulary
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 # Encodings remembered between batches; beyond that the memory starts anew, which changes no result.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 PAIRS = 1_000_000
 NEVER = 1 << 60
 
@@ -86,28 +86,36 @@ class TrieEncoder:
         longest, tokens, ends, known_pairs = v.longest, self.tokens, self.ends, self._apart
         while stack:
             depth, tail, node = stack.pop()
-            for n in range(min(len(tail), ends.get(tail[-3:], 2)), 0, -1):
-                t = tokens.get(tail[-n:])
-                if t is None:
-                    continue
-                if n < depth:
-                    key = token[depth - n] << 32 | t
-                    free = known_pairs.get(key)
-                    if free is None:
-                        free = known_pairs[key] = self.apart(token[depth - n], t)
-                    if not free:
+            while True:
+                for n in range(min(len(tail), ends.get(tail[-3:], 2)), 0, -1):
+                    t = tokens.get(tail[-n:])
+                    if t is None:
                         continue
-                token[depth], size[depth] = t, n
-                break
-            if isinstance(node, dict):
-                tail = tail[1 - longest :] if longest > 1 else ""
-                stack += [(depth + 1, tail + c, below) for c, below in node.items()]
-            else:
-                found = []
-                while depth:
-                    found.append(token[depth])
-                    depth -= size[depth]
-                self.known[node] = tuple(reversed(found))
+                    if n < depth:
+                        key = token[depth - n] << 32 | t
+                        free = known_pairs.get(key)
+                        if free is None:
+                            free = known_pairs[key] = self.apart(token[depth - n], t)
+                        if not free:
+                            continue
+                    token[depth], size[depth] = t, n
+                    break
+                if node.__class__ is str:
+                    found = []
+                    while depth:
+                        found.append(token[depth])
+                        depth -= size[depth]
+                    found.reverse()
+                    self.known[node] = tuple(found)
+                    break
+                if len(tail) >= longest:
+                    tail = tail[1 - longest :]
+                depth += 1
+                if len(node) > 1:
+                    stack += [(depth, tail + c, below) for c, below in node.items()]
+                    break
+                ((c, node),) = node.items()
+                tail += c
 
     def encode(self, texts: Sequence[str]) -> list[list[int]]:
         lists = [self.vocab.pieces(t) for t in texts]
@@ -121,7 +129,8 @@ class TrieEncoder:
         self.known.update((s, (i,)) for s, i in special.items())
         self.learn(set().union(*words.values()) - self.known.keys())
         known = self.known
-        self.pieces.update((p, tuple(i for w in ws for i in known[w])) for p, ws in words.items())
+        for p, ws in words.items():
+            self.pieces[p] = known[ws[0]] if len(ws) == 1 else tuple(i for w in ws for i in known[w])
         pieces = self.pieces
         return [[i for p in cut for i in pieces[p]] for cut in lists]
 
