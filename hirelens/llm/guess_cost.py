@@ -50,6 +50,7 @@ COMMON = (
 ).split()
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d")
+UNITS = (1, 2, 3, 4)  # lengths of what is repeated
 DAYS, YEARS = 365.0, 120.0
 
 
@@ -98,6 +99,10 @@ def guess_cost(value: str, words: Sequence[str] = tuple(COMMON)) -> float:
         step = ord(small[k + 1]) - ord(small[k])
         same = k + 2 < n and ord(small[k + 2]) - ord(small[k + 1]) == step and runs[k + 1]
         runs[k] = (runs[k + 1] + 1 if same else 1) if abs(step) == 1 else 0
+    again = {unit: np.zeros(n + 1, int) for unit in UNITS}  # how long the text goes on as it was ``unit`` characters before
+    for unit in UNITS:
+        for k in range(n - unit - 1, -1, -1):
+            again[unit][k] = again[unit][k + 1] + 1 if value[k] == value[k + unit] else 0
     best = [0.0] + [float("inf")] * n
     open_cost = [float("inf")] * (n + 1)  # the last segment is tried out and may go on
     for k in range(n):
@@ -119,11 +124,8 @@ def guess_cost(value: str, words: Sequence[str] = tuple(COMMON)) -> float:
         for length, kinds in ((walks[k], 47 * 3), (runs[k], 36)):
             if length >= 2:
                 reach(k + length + 1, log10(kinds) + log10(length + 1))
-        for unit in range(1, 5):
-            end = k + unit
-            while end < n and value[end] == value[end - unit]:
-                end += 1
-            times = (end - k) // unit
+        for unit in UNITS:
+            times = 1 + again[unit][k] // unit
             if times * unit >= 3 and times > 1:
                 reach(k + times * unit, sum(_alone(c) for c in value[k : k + unit]) + log10(times))
     return best[n]
@@ -214,5 +216,6 @@ def digests(df: DataFrame) -> DataFrame:
         return F.array_join(each, ",")
 
     base = F.filter("spans", lambda s: s["kind"] != KINDS[3])
-    numbers = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
+    kinds = F.transform("spans", lambda s: s["kind"])
+    numbers = [(F.size("spans") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
     return found.select("doc_id", *numbers, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
