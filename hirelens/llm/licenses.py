@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, written
 
 CUES = r"(?i)licen[cs]e|copyright|spdx|public domain|warrant(y|ies)|creative commons"
 LEAST = 0.5
@@ -95,7 +95,7 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     """
     prepare(files.sparkSession)
     files = files.select("path", "text").where(F.col("path").isNotNull())
-    lines = header_lines(files)
+    lines = written(header_lines(files), "header_lines")
     verdict = match_lines(lines, template_rows(files.sparkSession, templates), least)
     matched = lines.select("path", "size", "key", F.length("line").alias("length")).join(verdict, "key")
     own = matched.groupBy("path").agg(
