@@ -101,8 +101,8 @@ def not_constant(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> Da
 def not_null_proportion(
     df: DataFrame, column: str, at_least: float, at_most: float = 1.0, group_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Groups whose share of filled rows is outside [at_least, at_most]."""
-    share = (F.count(column) / n_rows()).alias("not_null_proportion")
+    """Groups whose share of filled rows is outside [at_least, at_most]. An empty table has no share and passes."""
+    share = F.try_divide(F.count(column), n_rows()).alias("not_null_proportion")
     return df.groupBy(*group_by).agg(share).where(~F.col("not_null_proportion").between(at_least, at_most))
 
 

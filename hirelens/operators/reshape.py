@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import blank_to_null, col
 
-PIVOT_LIMIT = 10_000
 # Fixed value: the name that stored unions have for the source of a row.
 SOURCE_COLUMN = "_dbt_source_relation"
 
@@ -116,11 +115,11 @@ def frequency(
 
 
 def column_values(df: DataFrame, column: str, default: list | None = None, **options) -> list:
-    """The values of :func:`frequency` as a list, for use as pivot headings; ``default`` if none."""
-    options.setdefault("max_records", PIVOT_LIMIT + 1)
+    """The values of :func:`frequency` as a list, for use as pivot headings; ``default`` if none.
+
+    Headings are part of a schema and so live on the driver. For values as rows take :func:`frequency`.
+    """
     values = [r["value"] for r in frequency(df, column, **options).select("value").collect()]
-    if len(values) > PIVOT_LIMIT:
-        raise ValueError(f"more than {PIVOT_LIMIT} values in {column}; narrow them with where or max_records")
     return values or list(default or [])
 
 

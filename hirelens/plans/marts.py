@@ -51,7 +51,7 @@ def mart_company_hiring(
     named = per_company.join(companies.select("company_key", "company_name", "company_sector"), "company_key")
     leaders = top_k(named, top, F.desc("total_postings"), F.asc("company_name"))
     # The ranking of skills is only needed for the leaders, of which there are at most ``top``.
-    keys = F.broadcast(leaders.select("company_key"))
+    keys = leaders.select("company_key")
     counted = (
         fact_skills.select("company_key", clean_skill("skill", QUOTES, trim=False).alias("top_skill"))
         .where(F.col("top_skill") != "")
@@ -112,7 +112,7 @@ def frequent_job_skills(fact_skills: DataFrame, jobs: DataFrame, top: int = TOP_
     counted = pairs.groupBy("skill").agg(F.count(F.lit(1)).alias("freq"))
     frequent = top_k(counted, top, F.desc("freq"), F.asc("skill")).select("skill")
     # An inner join on unique skills stays above the distinct, whose shuffle is then used twice.
-    return pairs.join(F.broadcast(frequent), "skill")
+    return pairs.join(frequent, "skill")
 
 
 def mart_skill_cooccurrence(fact_skills: DataFrame, jobs: DataFrame, top: int = TOP_SKILLS) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import blank_to_null, first_filled, first_nonzero
 from ..functions.semistructured import with_education, with_experience, with_validated
-from ..functions.text import enrichment_prompt, extract_city, normalize_skills, salary_hint_text, with_salary
+from ..functions.text import enrichment_prompt, extract_city, normalize_skills, salary_hint_text, strip, with_salary
 from ..operators.reshape import anti_join_seen, deduplicate
 from .bronze import stored_id
 
@@ -136,7 +136,7 @@ def enrich(
     Blank descriptions are not sent.
     """
     prompt = enrichment_prompt("description") if prompt is None else prompt
-    asked = F.when(F.trim("description") != "", prompt)
+    asked = F.when(strip("description") != "", prompt)
     schema = T.StructType([*df.schema.fields, T.StructField(response, T.StringType(), True)])
 
     def answer(prompts: list[str]) -> list[str | None]:
