@@ -200,6 +200,7 @@ def parts_for(count: int, tau: int) -> int:
         probes = sum(sum(_choose(width, d) for d in range((slack + k) // m + 1)) for k in range(m) if slack + k >= 0)
         return count * (ROW_COST * (probes + m) + probes * count / 2**width)
 
+    count = max(1, count)  # an empty table takes the parts of least probes
     return min(range(1, tau + 2), key=cost)
 
 
