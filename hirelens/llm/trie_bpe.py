@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +28,27 @@ PAIRS = 1_000_000
 NEVER = 1 << 60
 
 
+class Ending:
+    """The longest end of a prefix that begins a token: the tokens that end there, longest first, and what comes next."""
+
+    __slots__ = ("after", "text", "tokens")
+
+    def __init__(self, text: str, tokens: list[tuple[int, int, dict[int, bool]]]):
+        self.text, self.tokens = text, tokens
+        self.after: dict[str, Ending] = {}
+
+
 class TrieEncoder:
     def __init__(self, vocab: Vocabulary, remembered: int = REMEMBERED):
         self.vocab, self.remembered = vocab, remembered
         self.known: dict[str, tuple[int, ...]] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.tokens = self._tokens()
-        self.ends: dict[str, int] = {}  # the length of the longest token with these last symbols
-        for symbols in self.tokens:
-            end = symbols[-3:]
-            self.ends[end] = max(self.ends.get(end, 0), len(symbols))
-        self._apart: dict[int, bool] = {}
+        self.beginnings = {symbols[:n] for symbols in self.tokens for n in range(len(symbols) + 1)}
+        # For each token the tokens before it, and whether they stay apart.
+        self.borders: dict[int, dict[int, bool]] = {t: {} for t in self.tokens.values()}
+        self.borders_held = 0
+        self.endings: dict[str, Ending] = {}
 
     def apart(self, a: int, b: int, until: int = NEVER) -> bool:
         """Whether no merge of a rank below ``until`` crosses the border of two tokens while they are being built.
@@ -67,11 +78,26 @@ class TrieEncoder:
                 whole.add(t)
         return {v.symbols_of[t]: t for t in whole}
 
+    def ending(self, before: Ending | None, c: str) -> Ending:
+        """What ``before`` becomes with one more symbol. There are as many as beginnings of tokens, whatever the input."""
+        text = before.text + c if before else c
+        while text not in self.beginnings:
+            text = text[1:]
+        found = self.endings.get(text)
+        if found is None:
+            ends = [(t, n, self.borders[t]) for n in range(len(text), 0, -1) if (t := self.tokens.get(text[-n:])) is not None]
+            found = self.endings[text] = Ending(text, ends)
+        if before:
+            before.after[c] = found
+        return found
+
     def learn(self, words: Iterable[str]) -> None:
         """Encode words through one trie and remember them."""
         v = self.vocab
-        if len(self._apart) > PAIRS:
-            self._apart.clear()
+        if self.borders_held > PAIRS:
+            for held in self.borders.values():
+                held.clear()
+            self.borders_held = 0
         root: dict = {}
         depth_most = 0
         for word in words:
@@ -82,20 +108,17 @@ class TrieEncoder:
                 node = node.setdefault(c, {})
             node[path[-1]] = word
         token, size = [0] * (depth_most + 1), [0] * (depth_most + 1)
-        stack = [(1, c, below) for c, below in root.items()]
-        longest, tokens, ends, known_pairs = v.longest, self.tokens, self.ends, self._apart
+        stack = [(1, self.ending(None, c), below) for c, below in root.items()]
         while stack:
-            depth, tail, node = stack.pop()
+            depth, end, node = stack.pop()
             while True:
-                for n in range(min(len(tail), ends.get(tail[-3:], 2)), 0, -1):
-                    t = tokens.get(tail[-n:])
-                    if t is None:
-                        continue
+                for t, n, held in end.tokens:
                     if n < depth:
-                        key = token[depth - n] << 32 | t
-                        free = known_pairs.get(key)
+                        last = token[depth - n]
+                        free = held.get(last)
                         if free is None:
-                            free = known_pairs[key] = self.apart(token[depth - n], t)
+                            free = held[last] = self.apart(last, t)
+                            self.borders_held += 1
                         if not free:
                             continue
                     token[depth], size[depth] = t, n
@@ -108,22 +131,22 @@ class TrieEncoder:
                     found.reverse()
                     self.known[node] = tuple(found)
                     break
-                if len(tail) >= longest:
-                    tail = tail[1 - longest :]
                 depth += 1
+                after = end.after
                 if len(node) > 1:
-                    stack += [(depth, tail + c, below) for c, below in node.items()]
+                    stack += [(depth, after.get(c) or self.ending(end, c), below) for c, below in node.items()]
                     break
                 ((c, node),) = node.items()
-                tail += c
+                end = after.get(c) or self.ending(end, c)
 
     def encode(self, texts: Sequence[str]) -> list[list[int]]:
         lists = [self.vocab.pieces(t) for t in texts]
         distinct = set().union(*lists)
         new = distinct - self.pieces.keys()
         if len(self.pieces) + len(new) > self.remembered:
-            self.pieces, self.known = {}, {}
-            new = distinct
+            # What came up again stays.
+            self.pieces = {p: self.pieces[p] for p in distinct - new}
+            self.known = {}
         words = {p: self.vocab.words(p) for p in new}
         special = self.vocab.special
         self.known.update((s, (i,)) for s, i in special.items())
@@ -132,7 +155,7 @@ class TrieEncoder:
         for p, ws in words.items():
             self.pieces[p] = known[ws[0]] if len(ws) == 1 else tuple(i for w in ws for i in known[w])
         pieces = self.pieces
-        return [[i for p in cut for i in pieces[p]] for cut in lists]
+        return [list(chain.from_iterable(map(pieces.__getitem__, cut))) for cut in lists]
 
     def decode(self, ids: Sequence[int]) -> str:
         """The tokens' texts joined by spaces: the vocabulary file names no decoder."""
@@ -159,7 +182,7 @@ def encode(df: DataFrame, column: str = "text", path: str = VOCABULARY, keep: Se
                 lists = coder.encode(texts.to_pylist())
             offsets = np.zeros(len(lists) + 1, np.int32)
             np.cumsum([len(x) for x in lists], out=offsets[1:])
-            flat = np.fromiter((i for x in lists for i in x), np.int32, int(offsets[-1]))
+            flat = np.fromiter(chain.from_iterable(lists), np.int32, int(offsets[-1]))
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
             return [ids, pa.array([coder.decode(x) for x in lists], pa.string())]
 
