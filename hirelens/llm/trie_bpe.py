@@ -23,7 +23,7 @@ from .word_bpe import Vocabulary, vocabulary
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 # Encodings remembered between batches; beyond that the memory starts anew, which changes no result.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 PAIRS = 1_000_000
 NEVER = 1 << 60
 
