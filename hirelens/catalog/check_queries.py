@@ -183,13 +183,12 @@ def dq_sequential_values_whole(spark, sf):
     return checks.sequential_values(table(spark, sf, "lineitem"), "l_orderkey", rows_per_slice=500)
 
 
-@query("dq_sequential_values_days", """SELECT * FROM (SELECT event_type, day, lag(day) OVER (PARTITION BY event_type ORDER BY day) AS previous_day
-FROM (SELECT DISTINCT event_type, date_trunc('day', ts) AS day FROM events WHERE user_id % 30 = 0))
+@query("dq_sequential_values_days", """SELECT * FROM (SELECT user_id, day, lag(day) OVER (PARTITION BY user_id ORDER BY day) AS previous_day
+FROM (SELECT DISTINCT user_id, date_trunc('day', ts) AS day FROM events))
 WHERE NOT (day = previous_day + INTERVAL 1 DAY)""")
 def dq_sequential_values_days(spark, sf):
-    rows = table(spark, sf, "events").where("user_id % 30 = 0")
-    days = rows.select("event_type", F.to_date("ts").cast("timestamp_ntz").alias("day")).distinct()
-    return checks.sequential_values(days, "day", 1, "day", group_by=["event_type"])
+    days = table(spark, sf, "events").select("user_id", F.to_date("ts").cast("timestamp_ntz").alias("day")).distinct()
+    return checks.sequential_values(days, "day", 1, "day", group_by=["user_id"])
 
 
 @query("dq_not_accepted_values", "SELECT DISTINCT p_brand AS value_field FROM part WHERE p_brand IN ('Brand#1', 'Brand#2', 'none')")

@@ -32,10 +32,9 @@ def nullcheck_table(spark, sf):
     return reshape.nullcheck_table(table(spark, sf, "customer").withColumn("c_mktsegment", blank))
 
 
-@query("scan_table", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority = '1-URGENT'")
+@query("scan_table", "SELECT o_orderkey, o_orderpriority FROM orders")
 def scan_table(spark, sf):
-    rows = readers.scan_table(spark, f"{sf}/orders.parquet")
-    return rows.where(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey", "o_orderpriority")
+    return readers.scan_table(spark, f"{sf}/orders.parquet").select("o_orderkey", "o_orderpriority")
 
 
 @query("in_list", "SELECT doc_id, lang, source FROM documents WHERE lang IN ('en', 'de') AND source IN ('src1', 'src2')")
@@ -109,10 +108,9 @@ def except_distinct(spark, sf):
 # --- joins ----------------------------------------------------------------------------------
 
 
-@query("join_inner", """SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE c_mktsegment = 'MACHINERY'""")
+@query("join_inner", "SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey")
 def join_inner(spark, sf):
-    buyers = table(spark, sf, "customer").where(F.col("c_mktsegment") == "MACHINERY")
+    buyers = table(spark, sf, "customer")
     return table(spark, sf, "orders").join(buyers, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "c_name", "c_mktsegment"
     )
@@ -129,13 +127,14 @@ def join_left(spark, sf):
 
 @query("join_full", """SELECT a.k AS key_a, n_a, b.k AS key_b, n_b
 FROM (SELECT o_custkey AS k, count(*) AS n_a FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL) a
-FULL JOIN (SELECT o_custkey AS k, count(*) AS n_b FROM orders WHERE o_orderstatus = 'P' GROUP BY ALL) b ON a.k = b.k""")
+FULL JOIN (SELECT o_custkey AS k, count(*) AS n_b FROM orders WHERE o_orderstatus <> 'F' GROUP BY ALL) b ON a.k = b.k""")
 def join_full(spark, sf):
-    def counts(status, suffix):
-        rows = table(spark, sf, "orders").where(F.col("o_orderstatus") == status)
+    def counts(chosen, suffix):
+        rows = table(spark, sf, "orders").where(chosen)
         return rows.groupBy(F.col("o_custkey").alias(f"key_{suffix}")).agg(F.count(F.lit(1)).alias(f"n_{suffix}"))
 
-    return counts("F", "a").join(counts("P", "b"), F.col("key_a") == F.col("key_b"), "full")
+    finished = F.col("o_orderstatus") == "F"
+    return counts(finished, "a").join(counts(~finished, "b"), F.col("key_a") == F.col("key_b"), "full")
 
 
 @query("join_cross", """SELECT p.part, p.n, b.bucket, p.n * b.bucket AS weighted
@@ -234,12 +233,12 @@ def win_deduplicate(spark, sf):
 
 
 @query("generate_series", """SELECT generated_number, count(o_orderkey) AS orders
-FROM (SELECT unnest(range(1, 1001)) AS generated_number) LEFT JOIN orders ON o_custkey % 1500 + 1 = generated_number
+FROM (SELECT unnest(range(1, 1501)) AS generated_number) LEFT JOIN orders ON o_custkey % 1500 + 1 = generated_number
 GROUP BY ALL""")
 def generate_series(spark, sf):
     """Orders per number of a series, 0 where there is none."""
     counted = table(spark, sf, "orders").groupBy((F.col("o_custkey") % 1500 + 1).alias("number")).agg(F.count(F.lit(1)).alias("n"))
-    series = reshape.generate_series(spark, 1000)
+    series = reshape.generate_series(spark, 1500)
     return series.join(counted, F.col("generated_number") == F.col("number"), "left").select(
         "generated_number", F.coalesce("n", F.lit(0)).alias("orders")
     )
