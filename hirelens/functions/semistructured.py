@@ -90,6 +90,10 @@ def clean_response(c) -> Column:
     return strip(F.regexp_replace(text, r"```$", ""))
 
 
+# Numeric text: a decimal number, infinity or no number; casts alone would also take "12f" and "0x1p3".
+NUMERIC_TEXT = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?|nan)\s*$"
+
+
 def with_validated(df: DataFrame, response: str, out: str) -> DataFrame:
     """Add a struct (status, and the enrichment fields) of a model's response.
 
@@ -117,6 +121,7 @@ def with_validated(df: DataFrame, response: str, out: str) -> DataFrame:
     checks += [_type(part[n]).isin("STRING", "VOID") for n in TEXT_FIELDS]
     # Lists and objects do not become numbers; null and absent are no numbers but allowed.
     checks += [value[n].isNotNull() | (_type(part[n]) == "VOID") for n in NUMBER_FIELDS]
+    checks += [(_type(part[n]) != "STRING") | F.try_variant_get(part[n], "$", "string").rlike(NUMERIC_TEXT) for n in NUMBER_FIELDS]
 
     steps = (
         df.withColumn(doc, _parsed(clean_response(response)))

@@ -151,11 +151,11 @@ def sequential_values(
 
     # Per value: the step into it fails once, the steps between its repeats n - 1 times.
     cases = F.array(
-        F.struct(F.col(before).alias("p"), F.when(off(before), 1).otherwise(0).cast("bigint").alias("n")),
-        F.struct(F.col(column).alias("p"), F.when(off(column), F.col("__n") - 1).otherwise(0).alias("n")),
+        F.struct(F.col(before).alias("__p"), F.when(off(before), 1).otherwise(0).cast("bigint").alias("__times")),
+        F.struct(F.col(column).alias("__p"), F.when(off(column), F.col("__n") - 1).otherwise(0).alias("__times")),
     )
-    failing = linked.select(*group_by, column, F.inline(cases)).where("n > 0")
-    return repeat_rows(failing.withColumnRenamed("p", before), "n")
+    failing = linked.select(*group_by, column, F.inline(cases)).where(F.col("__times") > 0)
+    return repeat_rows(failing.withColumnRenamed("__p", before), "__times")
 
 
 def mutually_exclusive_ranges(

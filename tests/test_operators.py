@@ -416,3 +416,15 @@ def test_plans_prune_and_never_multiply(spark):
         plan = plan_of(query(spark, "/root/testdata/sf0.001"))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
         assert "BatchEvalPython" not in plan, name
+
+
+def test_numeric_text_in_responses_is_decimal(spark):
+    cases = {"12": "ok", " 1.5e1 ": "ok", "12f": "invalid", "0x1p3": "invalid", "1d": "invalid"}
+    rows = [(k, '{"salary_min_lpa": "%s"}' % k) for k in cases]
+    df = semistructured.with_validated(spark.createDataFrame(rows, "k string, response string"), "response", "checked")
+    assert {r.k: r.status for r in df.select("k", "checked.status").collect()} == cases
+
+
+def test_sequential_values_of_a_column_called_n(spark):
+    df = spark.createDataFrame([(1,), (2,), (4,), (4,)], "n int")
+    assert sorted(tuple(r) for r in checks.sequential_values(df, "n").collect()) == [(4, 2), (4, 4)]
