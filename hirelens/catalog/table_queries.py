@@ -268,10 +268,7 @@ def date_spine_month(spark, sf):
 @query("win_number_rows", """SELECT day, row_number() OVER (ORDER BY day) AS position, n
 FROM (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL)""")
 def win_number_rows(spark, sf):
-    """Position of each day that has events, found by counting the days of the spine before it.
-
-    Days are few, so one window over the counted days is small.
-    """
+    """Position of each day that has events. Days are few, so one window over the counted days is small."""
     days = table(spark, sf, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     return days.select("day", F.row_number().over(Window.orderBy("day")).cast("bigint").alias("position"), "n")
 
