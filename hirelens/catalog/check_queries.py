@@ -154,7 +154,7 @@ def dq_mutually_exclusive_ranges_gaps(spark, sf):
 @query("dq_mutually_exclusive_ranges_whole", _ranges_sql("less_than_or_equal_to", "<=", "less_than", "<", False))
 def dq_mutually_exclusive_ranges_whole(spark, sf):
     """The whole table as one group."""
-    return checks.mutually_exclusive_ranges(_ranges(spark, sf), "lo", "hi", rows_per_slice=500)
+    return checks.mutually_exclusive_ranges(_ranges(spark, sf), "lo", "hi")
 
 
 @query("win_lead", """SELECT o_custkey, lo, lead(lo) OVER (PARTITION BY o_custkey ORDER BY lo) AS next_lo
@@ -167,7 +167,7 @@ def win_lead(spark, sf):
 @query("win_lag", """SELECT user_id, event_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM events""")
 def win_lag(spark, sf):
     rows = table(spark, sf, "events").select("user_id", "event_id").distinct()
-    return neighbours.link_values(rows, ["user_id"], "event_id", previous="before", rows_per_slice=20)
+    return neighbours.link_values(rows, ["user_id"], "event_id", previous="before")
 
 
 @query("dq_sequential_values", """SELECT * FROM (SELECT user_id, event_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS previous_event_id
@@ -180,7 +180,7 @@ def dq_sequential_values(spark, sf):
 FROM lineitem) WHERE NOT (l_orderkey = previous_l_orderkey + 1)""")
 def dq_sequential_values_whole(spark, sf):
     """One group of all rows, with many repeats."""
-    return checks.sequential_values(table(spark, sf, "lineitem"), "l_orderkey", rows_per_slice=500)
+    return checks.sequential_values(table(spark, sf, "lineitem"), "l_orderkey")
 
 
 @query("dq_sequential_values_days", """SELECT * FROM (SELECT user_id, day, lag(day) OVER (PARTITION BY user_id ORDER BY day) AS previous_day

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import NULL_KEY_TEXT, job_ref, surrogate_key
 from ..plans import star
-from ..session import tune
+from ..session import tune, written
 
 AS_OF = "2001-06-01"
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -99,9 +99,9 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def postings(spark: SparkSession, folder: str, lines: bool = True, skills: bool = False) -> DataFrame:
+def postings(spark: SparkSession, folder: str, lines: bool = True, skills: bool = False, key: bool = False) -> DataFrame:
     """One posting per order. Columns that come from the order's lines are NULL without ``lines``,
-    and the list of skills is there only with ``skills``."""
+    the list of skills is there only with ``skills``, the order's key with ``key``."""
     columns = _posting_columns()
     rows = _orders(spark, folder)
     if lines or skills:
@@ -112,11 +112,22 @@ def postings(spark: SparkSession, folder: str, lines: bool = True, skills: bool
         columns.update({c: F.lit(None).cast("double") for c in ("salary_min_lpa", "salary_max_lpa")})
     if not skills:
         del columns["skills"]
-    return rows.select(*[c.alias(name) for name, c in columns.items()])
+    return rows.select(*[c.alias(name) for name, c in columns.items()], *(["o_orderkey"] if key else []))
 
 
-def posting_skills(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per posting and listed skill: what exploding the list gives, without making lists."""
+def stored_postings(spark: SparkSession, folder: str, lines: bool = True) -> DataFrame:
+    """:func:`postings` with the order's key, written once for the several tables of the star made from them."""
+    return written(postings(spark, folder, lines, key=True), "postings")
+
+
+def posting_skills(spark: SparkSession, folder: str, stored: DataFrame | None = None) -> DataFrame:
+    """One row per posting and listed skill: what exploding the list gives, without making lists.
+
+    With ``stored`` postings the lines are joined to those.
+    """
+    if stored is not None:
+        lines = _parts_of_orders(spark, folder).select("l_orderkey", F.col("p_name").alias("skill"))
+        return stored.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
     columns = _posting_columns()
     for name in LINE_COLUMNS:
         del columns[name]
@@ -125,16 +136,16 @@ def posting_skills(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(*[c.alias(name) for name, c in columns.items()], F.col("p_name").alias("skill"))
 
 
-def fact_skills(spark: SparkSession, folder: str) -> DataFrame:
+def fact_skills(spark: SparkSession, folder: str, stored: DataFrame | None = None) -> DataFrame:
     """Skills of the posting fact: (job_id, company_key, skill)."""
-    return posting_skills(spark, folder).select(
+    return posting_skills(spark, folder, stored).select(
         job_ref().alias("job_id"), surrogate_key(*star.COMPANY).alias("company_key"), "skill"
     )
 
 
-def skill_history(spark: SparkSession, folder: str) -> DataFrame:
+def skill_history(spark: SparkSession, folder: str, stored: DataFrame | None = None) -> DataFrame:
     """Skills of jobs over time; those of every ninth order are closed."""
-    rows = posting_skills(spark, folder)
+    rows = posting_skills(spark, folder, stored)
     number = F.regexp_replace(job_ref(), "L", "").cast("bigint")
     return rows.select(
         surrogate_key(job_ref(), "skill").alias("job_skill_key"),

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import scalars, semistructured, text
 from ..operators import reshape
 from ..plans import bronze, load, silver
-from ..schemas import AUDIT, SILVER as SILVER_SCHEMA
-from ..session import scratch_path
+from ..schemas import AUDIT, RUN_LOG, SILVER as SILVER_SCHEMA
+from ..session import scratch_path, written
 from ..sources import readers, writers
 from . import record_sql as sql
 from .inputs import lists_as_text, postings, table, texts_sql, with_ctes
@@ -104,24 +104,19 @@ def str_title_case(spark, sf):
 
 def _answers(prompts):
     """A model's stand-in: names the skill the length of the prompt points to, and fails on some."""
-    if any(len(p) % 10 == 0 for p in prompts) and len(prompts) > 1:
-        raise RuntimeError("the whole batch is refused")
-    answers = []
-    for p in prompts:
-        if len(p) % 10 == 0:
-            raise RuntimeError("refused")
-        answers.append('{"skills": ["s%d"]}' % (len(p) % 7) if len(p) % 10 != 3 else "sorry")
-    return answers
-
-
-@query("enrich_hook", texts_sql("""SELECT doc_id, CASE WHEN n % 10 = 0 THEN 'empty' WHEN n % 10 = 3 THEN 'invalid' ELSE 'ok' END AS status,
-  CASE WHEN n % 10 IN (0, 3) THEN [] ELSE ['s' || CAST(n % 7 AS VARCHAR)] END AS skills
+    told = {0: RuntimeError("refused"), 3: "sorry"}
+    return [told.get(len(p) % 10, '{"skills": ["s%d"]}' % (len(p) % 7)) for p in prompts]
+
+
+@query("enrich_hook", texts_sql("""SELECT doc_id, CASE WHEN n % 10 = 0 THEN 'failed' WHEN n % 10 = 3 THEN 'invalid' ELSE 'ok' END AS status,
+  CASE WHEN n % 10 = 0 THEN 'refused' WHEN n % 10 = 3 THEN 'sorry' END AS dead_letter, CASE WHEN n % 10 IN (0, 3) THEN [] ELSE ['s' || CAST(n % 7 AS VARCHAR)] END AS skills
 FROM (SELECT doc_id, length(text) AS n FROM documents)""", "skills"))
 def enrich_hook(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", F.col("text").alias("description"))
     answered = silver.enrich(rows, _answers, prompt=F.col("description"), batch_rows=10)
-    checked = semistructured.with_validated(answered, "response", "checked")
-    return lists_as_text(checked.select("doc_id", "checked.status", "checked.skills"))
+    checked = semistructured.with_validated(answered, "response", "checked", "response_error")
+    letter = F.when(F.col("checked.status").isin("invalid", "failed"), F.coalesce("response", "response_error"))
+    return lists_as_text(checked.select("doc_id", "checked.status", letter.alias("dead_letter"), "checked.skills"))
 
 
 # --- first layer ------------------------------------------------------------------------------
@@ -255,6 +250,30 @@ def dead_letters(spark, sf):
     return silver.dead_letters(semistructured.with_validated(_bronze(spark, sf), "response", "enriched"))
 
 
+GOOD = "coalesce(failure_reason, '') = '' AND coalesce(enrichment_confidence, '') <> ''"
+FAILURE = f"""CASE WHEN {_filled("job_description_raw", "job_description")} IS NULL THEN 'missing_job_description'
+  WHEN ai_status = 'invalid' THEN 'gemini_enrichment_failed' END"""
+STORED = _filled("source_job_id", "job_id")
+
+
+@query("pending", f"""SELECT {K}, {STORED} AS id FROM {BRONZE_SQL} WHERE {STORED} IS NULL OR {STORED} NOT IN
+  (SELECT source_job_id FROM {SILVER_SQL} WHERE source_job_id IS NOT NULL AND {GOOD})""")
+def pending(spark, sf):
+    """Postings whose id has no good row in the second layer."""
+    bronze_rows = _bronze(spark, sf).select(K, "source_job_id", "job_id")
+    todo = silver.pending(bronze_rows, load.quality_filter(_silver(spark, sf)).select("source_job_id"))
+    return todo.select(K, bronze.stored_id(todo).alias("id"))
+
+
+@query("failed_rows", f"""SELECT {K}, source_job_id, {FAILURE} AS failure_reason, 'run-1' AS pipeline_run_id, '2001-06-01' AS failed_at
+FROM {sql.checked(BRONZE_SQL)} WHERE {FAILURE} IS NOT NULL""")
+def failed_rows(spark, sf):
+    """Postings without a description or with an unreadable response, with their reason."""
+    checked = semistructured.with_validated(silver.with_description(_bronze(spark, sf)), "response", "enriched")
+    failed = silver.failed_rows(silver.with_enrichment_failure(checked), "run-1", "2001-06-01")
+    return failed.select(K, "source_job_id", "silver_medallion_audit.*")
+
+
 # --- load -------------------------------------------------------------------------------------
 
 
@@ -275,7 +294,6 @@ def _silver(spark, sf):
 FLAT = """source_job_id, company_name, experience_years, string_split(skills_text, ',') AS skills, enriched_at AS audit_enriched_at,
   pipeline_run_id AS audit_pipeline_run_id, model AS audit_gemini_model_used, enrichment_confidence AS audit_enrichment_confidence,
   failure_reason AS audit_failure_reason"""
-GOOD = "coalesce(failure_reason, '') = '' AND coalesce(enrichment_confidence, '') <> ''"
 
 
 @query("flatten_struct", texts_sql(f"SELECT {FLAT.replace('string_split', f'CASE WHEN {K} % 4 = 2 THEN [] ELSE string_split').replace(') AS skills', ') END AS skills')} FROM {SILVER_SQL}", "skills"))
@@ -293,17 +311,19 @@ def quality_filter(spark, sf):
     return load.quality_filter(_silver(spark, sf)).select("source_job_id", "company_name", "experience_years")
 
 
-@query("load_silver", texts_sql(f"SELECT {FLAT} FROM {SILVER_SQL} WHERE {GOOD} AND (source_job_id IS NULL OR o_orderkey % 5 <> 0)", "skills"))
+@query("load_silver", texts_sql(f"SELECT DISTINCT {FLAT} FROM {SILVER_SQL} WHERE {GOOD} AND (source_job_id IS NULL OR o_orderkey % 5 <> 0)", "skills"))
 def load_silver(spark, sf):
-    """Files written, read back, and loaded behind rows that are in the table already."""
+    """Files written, read back, and loaded behind rows that are in the table already; a second load adds nothing."""
     path = scratch_path(spark, "silver")
-    writers.write_json_arrays(_silver(spark, sf), f"{path}/silver_enriched_20010601_run1")
+    writers.write_json_lines(_silver(spark, sf), f"{path}/silver_enriched_20010601_run1")
     schema = SILVER_SCHEMA.__class__(
         [f for f in SILVER_SCHEMA if f.name in ("source_job_id", "company_name", "experience_years", "skills")]
     ).add("silver_medallion_audit", AUDIT.__class__([f for f in AUDIT if f.name != "failed_at"]))
-    rows = readers.scan_named(spark, path, schema, name_glob="*.txt")
+    rows = readers.scan_json_lines(spark, path, schema, "silver_enriched_")
     loaded = records(spark, sf, SILVER).where(f"{K} % 5 = 0").select("source_job_id")
-    return lists_as_text(load.load_rows(rows, loaded))
+    first = written(load.load_rows(rows, loaded), "loaded")
+    behind = loaded.unionByName(first, allowMissingColumns=True)
+    return lists_as_text(first.unionByName(load.load_rows(rows, behind)))
 
 
 FETCHED = f"""SELECT 'run-1' AS run_id, '2001-06-01' AS run_date, '2001-06-01T00:30:00Z' AS dag_trigger_time, false AS dry_run_mode,
@@ -315,14 +335,40 @@ FETCHED = f"""SELECT 'run-1' AS run_id, '2001-06-01' AS run_date, '2001-06-01T00
 FROM (SELECT {K} % 3 <> 0 AS fresh, {_filled("job_description_raw", "job_description")} IS NOT NULL AS described FROM {BRONZE_SQL})"""
 
 
-@query("run_metrics", FETCHED)
-def run_metrics(spark, sf):
+def _run_counts(spark, sf):
     rows = silver.with_description(_bronze(spark, sf))
     fresh, described = F.col(K) % 3 != 0, F.col("failure_reason").isNull()
     flags = {"fetched": F.lit(True), "new": fresh, "enriched": fresh & described, "failed": fresh & ~described,
              "dead_letter": fresh & ~described, "written": fresh & described}
-    counts = rows.select(*[c.cast("int").alias(n) for n, c in flags.items()])
-    return load.run_metrics(counts, "run-1", "2001-06-01", "2001-06-01T00:30:00Z", False, "2001-06-01T00:31:30Z")
+    return rows.select(*[c.cast("int").alias(n) for n, c in flags.items()])
+
+
+def _run(spark, sf, ended_at="2001-06-01T00:31:30Z", **options):
+    return load.run_metrics(_run_counts(spark, sf), "run-1", "2001-06-01", "2001-06-01T00:30:00Z", False, ended_at, **options)
+
+
+@query("run_metrics", FETCHED)
+def run_metrics(spark, sf):
+    return _run(spark, sf)
+
+
+FAILED = FETCHED.replace(FETCHED[FETCHED.index("CASE WHEN count(*)") : FETCHED.index(" AS failed_step")], "'FAILED' AS status, 'load_bq'")
+RUNNING = FAILED.replace("'FAILED'", "'RUNNING'").replace("'load_bq'", "CAST(NULL AS VARCHAR)").replace("CAST(90 AS DOUBLE)", "CAST(NULL AS DOUBLE)")
+
+
+@query("run_metrics_failed", FAILED)
+def run_metrics_failed(spark, sf):
+    """A run of which a step failed."""
+    return _run(spark, sf, failed_step="load_bq")
+
+
+@query("sink_run_log", f"{RUNNING} UNION ALL {FETCHED}")
+def sink_run_log(spark, sf):
+    """A run's row while it runs and at its end, appended to the run log."""
+    path = scratch_path(spark, "run_log")
+    for row in (_run(spark, sf, ended_at=None), _run(spark, sf)):
+        writers.append_run_log(row, path)
+    return readers.scan_json_lines(spark, path, RUN_LOG)
 
 
 # --- files and tables -------------------------------------------------------------------------
@@ -343,9 +389,23 @@ def _few(spark, sf, *more):
 
 @query("scan_json", texts_sql(PLAIN_SQL, "skills"))
 def scan_json(spark, sf):
+    """Arrays of postings, beside files that are no arrays and are left out."""
     rows, path = _plain(spark, sf), scratch_path(spark, "landed")
     writers.write_json_arrays(rows, f"{path}/2001/06")
-    return lists_as_text(readers.scan_json(spark, path, rows.schema, name_glob="*.txt"))
+    writers.write_json_lines(rows.select("job_id", "company_name"), f"{path}/2001/07")
+    return lists_as_text(readers.scan_json(spark, path, rows.schema))
+
+
+@query("scan_rejects", f"SELECT '{readers.NO_ARRAY}' AS reason, 1 AS n UNION ALL SELECT '{readers.NO_OBJECT}', count(*) FROM orders WHERE {K} % 7 = 0")
+def scan_rejects(spark, sf):
+    """Every seventh item is a number or null, and one folder has lines in place of arrays, whose files count as one."""
+    path, rows = scratch_path(spark, "odd"), table(spark, sf, "orders").select(K)
+    item = F.when(F.col(K) % 14 == 0, "null").when(F.col(K) % 7 == 0, "5").otherwise(F.to_json(F.struct(K)))
+    writers.write_arrays(rows.select(item.alias("value")), f"{path}/arrays")
+    writers.write_json_lines(rows, f"{path}/lines")
+    counted = readers.scan_rejects(spark, path).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    n = F.when(F.col("reason") == readers.NO_ARRAY, F.least("n", F.lit(1))).otherwise(F.col("n"))
+    return counted.select("reason", n.alias("n"))
 
 
 @query("scan_named", texts_sql(with_ctes("postings", f"SELECT {PLAIN} FROM postings WHERE work_mode <> 'Remote'"), "skills"))
@@ -355,7 +415,7 @@ def scan_named(spark, sf):
     names = PLAIN.split(", ")
     writers.write_json_arrays(rows.where("work_mode <> 'Remote'").select(*names), f"{path}/silver_enriched_1")
     writers.write_json_arrays(rows.where("work_mode = 'Remote'").select(*names), f"{path}/silver_failed_1")
-    return lists_as_text(readers.scan_named(spark, path, rows.select(*names).schema, name_glob="*.txt"))
+    return lists_as_text(readers.scan_named(spark, path, rows.select(*names).schema))
 
 
 @query("sink_run_partition", with_ctes("postings", FEW_SQL.format(more=", CAST(date_trunc('month', enriched_at) AS DATE) AS run_date, 'run-1' AS run_id")))
@@ -383,7 +443,9 @@ def sink_table(spark, sf):
     name = "hirelens_" + path.rsplit("-", 1)[1]
     writers.write_table(_few(spark, sf).where("work_mode = 'Remote'"), name, path)
     writers.write_table(_few(spark, sf), name, path)
-    return readers.scan_table(spark, name)
+    rows = readers.scan_table(spark, name)
+    spark.sql(f"DROP TABLE {name}")  # its files stay, and the rows with them
+    return rows
 
 
 @query("sink_view", with_ctes("postings", FEW_SQL.format(more="")))
@@ -393,10 +455,14 @@ def sink_view(spark, sf):
     return readers.scan_table(spark, "hirelens_view")
 
 
-@query("sink_dead_letter", f"SELECT {K}, response, ai_status AS status, CASE WHEN ai_status = 'ok' THEN 'good' ELSE 'dead_letter' END AS outcome FROM {sql.checked(BRONZE_SQL)}")
+@query("sink_dead_letter", f"""SELECT {K}, response, ai_status AS status, CASE WHEN ai_status = 'ok' THEN 'good' ELSE 'dead_letter' END AS outcome,
+  CAST(substr(posted_at, 1, 4) AS INTEGER) AS posted_year FROM {sql.checked(BRONZE_SQL)}""")
 def sink_dead_letter(spark, sf):
+    """Outcomes by year; writing one year again changes nothing."""
     path = scratch_path(spark, "outcomes")
-    rows = semistructured.with_validated(_bronze(spark, sf).select(K, "response"), "response", "checked")
-    rows = rows.select(K, "response", F.col("checked.status").alias("status"))
-    writers.write_by_outcome(rows, F.col("status") == "ok", path)
+    rows = semistructured.with_validated(_bronze(spark, sf).select(K, "response", "posted_at"), "response", "checked")
+    year = F.substring("posted_at", 1, 4).cast("int")
+    rows = rows.select(K, "response", F.col("checked.status").alias("status"), year.alias("posted_year"))
+    for part in (rows, rows.where("posted_year = 1998")):
+        writers.write_by_outcome(part, F.col("status") == "ok", path, ("posted_year",))
     return spark.read.parquet(path)

@@ -17,6 +17,7 @@ from .inputs import (
     posting_skills,
     postings,
     skill_history,
+    stored_postings,
     texts_sql,
     with_ctes,
 )
@@ -29,18 +30,6 @@ def _jobs(spark, sf):
     return star.dim_job(postings(spark, sf, lines=False), AS_OF)
 
 
-def _facts(spark, sf):
-    return star.fact_job_postings(postings(spark, sf))
-
-
-def _bare_facts(spark, sf):
-    return star.fact_job_postings(postings(spark, sf, lines=False))
-
-
-def _roles(spark, sf):
-    return star.dim_role(postings(spark, sf))
-
-
 # --- dimensions and facts -------------------------------------------------------------------
 
 STAGED = """SELECT job_id, source_job_id, company_name, company_sector, job_title, city, state, country, employment_type,
@@ -89,7 +78,7 @@ def dim_locations(spark, sf):
 
 @query("dim_role", with_ctes("role", "SELECT * FROM role"))
 def dim_role(spark, sf):
-    return _roles(spark, sf)
+    return star.dim_role(postings(spark, sf))
 
 
 @query(
@@ -151,9 +140,9 @@ def fact_job_skills_unique(spark, sf):
 
 @query("mart_company_hiring", with_ctes("hiring", "SELECT * FROM hiring"))
 def mart_company_hiring(spark, sf):
-    stg = postings(spark, sf, lines=False)
+    stg = stored_postings(spark, sf, lines=False)
     return marts.mart_company_hiring(
-        _bare_facts(spark, sf), star.dim_company(stg), _jobs(spark, sf), fact_skills(spark, sf)
+        star.fact_job_postings(stg), star.dim_company(stg), star.dim_job(stg, AS_OF), fact_skills(spark, sf, stg)
     )
 
 
@@ -169,13 +158,16 @@ FROM fact f JOIN role r ON f.role_key = r.role_id WHERE f.job_id IN (SELECT sour
     ),
 )
 def mart_remote_split(spark, sf):
-    return marts.mart_remote_split(_facts(spark, sf), _roles(spark, sf), _jobs(spark, sf))
+    stg = stored_postings(spark, sf)
+    return marts.mart_remote_split(star.fact_job_postings(stg), star.dim_role(stg), star.dim_job(stg, AS_OF))
 
 
 @query("mart_seniority_demand", with_ctes("seniority", "SELECT * FROM seniority"))
 def mart_seniority_demand(spark, sf):
-    places = star.dim_locations(postings(spark, sf, lines=False))
-    return marts.mart_seniority_demand(_facts(spark, sf), places, _roles(spark, sf), _jobs(spark, sf))
+    stg = stored_postings(spark, sf)
+    return marts.mart_seniority_demand(
+        star.fact_job_postings(stg), star.dim_locations(stg), star.dim_role(stg), star.dim_job(stg, AS_OF)
+    )
 
 
 PAIRS = """SELECT a.skill AS skill_a, b.skill AS skill_b, count(DISTINCT a.job_id) AS co_occurrence_count
@@ -207,7 +199,8 @@ def vw_skill_demand(spark, sf):
 
 @query("vw_salary_by_role", with_ctes("salary", "SELECT * FROM salary"))
 def vw_salary_by_role(spark, sf):
-    return marts.vw_salary_by_role(_facts(spark, sf), _roles(spark, sf))
+    stg = stored_postings(spark, sf)
+    return marts.vw_salary_by_role(star.fact_job_postings(stg), star.dim_role(stg))
 
 
 @query(
@@ -225,8 +218,8 @@ WHERE valid_to IS NULL GROUP BY ALL""",
     ),
 )
 def vw_jobs_by_city(spark, sf):
-    stg = postings(spark, sf, lines=False)
-    return marts.vw_jobs_by_city(star.fact_job_postings(stg), star.dim_locations(stg), skill_history(spark, sf))
+    stg = stored_postings(spark, sf, lines=False)
+    return marts.vw_jobs_by_city(star.fact_job_postings(stg), star.dim_locations(stg), skill_history(spark, sf, stg))
 
 
 @query("dash_skill_leaders", with_ctes("demand", "SELECT * FROM demand ORDER BY demand_count DESC, skill_name LIMIT 20"))

@@ -94,10 +94,11 @@ def clean_response(c) -> Column:
 NUMERIC_TEXT = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?|nan)\s*$"
 
 
-def with_validated(df: DataFrame, response: str, out: str) -> DataFrame:
+def with_validated(df: DataFrame, response: str, out: str, error: str | None = None) -> DataFrame:
     """Add a struct (status, and the enrichment fields) of a model's response.
 
-    status is 'ok', 'empty' (no response) or 'invalid'. Fields are empty unless 'ok'. The
+    status is 'ok', 'empty' (no response), 'invalid', or 'failed' where the column ``error`` has
+    the text of a failed call. Fields are empty unless 'ok'. The
     types are strict: skills must be a list of texts, optional texts must be texts, and
     optional numbers may also be numeric text or true/false. Unknown keys are ignored.
 
@@ -130,7 +131,8 @@ def with_validated(df: DataFrame, response: str, out: str) -> DataFrame:
         .withColumn(ok, F.coalesce(reduce(lambda a, b: a & b, checks), F.lit(False)))
     )
     good = F.col(ok)
-    status = F.when(F.coalesce(F.col(response), F.lit("")) == "", "empty").when(good, "ok").otherwise("invalid")
+    failed = F.lit(False) if error is None else F.col(error).isNotNull()
+    status = F.when(failed, "failed").when(F.coalesce(F.col(response), F.lit("")) == "", "empty").when(good, "ok").otherwise("invalid")
     skills = F.coalesce(F.when(good, value["skills"]), F.array().cast("array<string>")).alias("skills")
     fields = [F.when(good, value[n]).alias(n) for n in (*TEXT_FIELDS, *NUMBER_FIELDS)]
     result = F.struct(status.alias("status"), skills, *fields)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import col
-from .neighbours import ROWS_PER_SLICE, _keyed, link_values, repeat_rows
+from .neighbours import _keyed, link_values, repeat_rows
 from .reshape import orphan_rows
 
 def n_rows() -> Column:
@@ -132,7 +132,7 @@ def sequential_values(
     interval: int = 1,
     datepart: str | None = None,
     group_by: Sequence[str] = (),
-    rows_per_slice: int = ROWS_PER_SLICE,
+    slices: int | None = None,
 ) -> DataFrame:
     """Rows that are not one step after the previous value of their group.
 
@@ -141,7 +141,7 @@ def sequential_values(
     """
     before = f"previous_{column}"
     values = df.where(F.col(column).isNotNull()).groupBy(*group_by, column).agg(n_rows().alias("__n"))
-    linked = link_values(values, group_by, column, previous=before, rows_per_slice=rows_per_slice)
+    linked = link_values(values, group_by, column, previous=before, slices=slices)
 
     def off(previous: str) -> Column:
         if datepart:
@@ -165,7 +165,7 @@ def mutually_exclusive_ranges(
     partition_by: str | None = None,
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    slices: int | None = None,
 ) -> DataFrame:
     """Ranges that are empty, without limits, or meet the next range of their group wrongly.
 
@@ -193,7 +193,7 @@ def mutually_exclusive_ranges(
     ranges = named.groupBy(*group, "lower_bound", "upper_bound").agg(n_rows().alias("__n"))
     # NULL sorts first, below every value, both as a lower and as an upper bound.
     starts = ranges.groupBy(*group, "lower_bound").agg(F.max("upper_bound").alias("__widest"))
-    chain = link_values(starts, group, "lower_bound", following="__next", rows_per_slice=rows_per_slice)
+    chain = link_values(starts, group, "lower_bound", following="__next", slices=slices)
     chain, same_start = _keyed(chain, [*group, "lower_bound"])
     rows = ranges.join(chain, same_start).select(*ranges.columns, "__widest", "__next")
     low, high = F.col("lower_bound"), F.col("upper_bound")

@@ -1,9 +1,10 @@
 """Previous and next value within groups of any size.
 
-A plain ``lag`` sorts each group in one task, so one large group holds up the job. Here a
-group's distinct values are cut into slices of its own value range, each slice is ordered by
-itself, and the slices' end values are linked afterwards. The cut points are the group's exact
-minimum and maximum, so the result does not depend on sampling.
+A plain ``lag`` sorts each group in one task, so one large group holds up the job. Here the
+distinct values are range-partitioned by group and value, which deals every group, however its
+values crowd, over as many tasks as its share of the rows asks for. Each slice is ordered by
+itself, and the slices' end values are linked afterwards. Values only have to be orderable. The
+slices are written once, since their cuts come from a sample; the result does not depend on them.
 """
 
 from __future__ import annotations
@@ -13,22 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 100_000
-COPIES_PER_STEP = 100_000
-
-_SLICE, _LOW, _HIGH, _SLICES = "__slice", "__low", "__high", "__slices"
+from ..session import written
 
+COPIES_PER_STEP = 100_000
 
-def _as_number(c: Column, df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType.typeName()
-    if kind == "date":
-        return F.unix_date(c).cast("double")
-    if kind == "timestamp":
-        return F.unix_micros(c).cast("double")
-    if kind == "timestamp_ntz":
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), c).cast("double")
-    return c.cast("double")
+_SLICE, _LOW, _HIGH = "__slice", "__low", "__high"
 
 
 def _keyed(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Column]:
@@ -46,32 +36,19 @@ def link_values(
     value: str,
     previous: str | None = None,
     following: str | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add the previous and/or following value to the distinct values of groups.
 
-    NULL is the smallest value. With no group columns the whole input is one group.
+    NULL is the smallest value. With no group columns the whole input is one group. ``slices`` is the
+    number of range partitions, by default that of the session's shuffles.
     """
-    number = _as_number(F.col(value), distinct, value)
-    spans = distinct.groupBy(*group).agg(
-        F.min(number).alias(_LOW),
-        F.max(number).alias(_HIGH),
-        F.least(F.ceil(F.count(F.lit(1)) / rows_per_slice), F.lit(MAX_SLICES)).cast("bigint").alias(_SLICES),
-    )
-    if group:
-        # At most (rows / rows_per_slice) groups are this large.
-        spans = spans.where((F.col(_SLICES) > 1) & (F.col(_LOW) < F.col(_HIGH)))
-        spans, same_group = _keyed(spans, group)
-        spanned, low, high, slices = distinct.join(spans, same_group, "left"), F.col(_LOW), F.col(_HIGH), F.col(_SLICES)
-    else:
-        spanned, (low, high, slices) = distinct, [spans.select(c).scalar() for c in (_LOW, _HIGH, _SLICES)]
-        high = F.when(low < high, high)
-    place = F.when(slices > 1, F.coalesce(F.width_bucket(number, low, high, slices), F.lit(0)))
-    sliced = spanned.select(*distinct.columns, place.alias(_SLICE))
+    order = [*group, value]
+    ranged = distinct.repartitionByRange(slices, *order) if slices else distinct.repartitionByRange(*order)
+    sliced = written(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
     within = Window.partitionBy(*group, _SLICE).orderBy(value)
     across = Window.partitionBy(*group).orderBy(_SLICE)
-    cut = sliced.where(F.col(_SLICE).isNotNull())
-    ends = cut.groupBy(*group, _SLICE).agg(F.min(value).alias(_LOW), F.max(value).alias(_HIGH))
+    ends = sliced.groupBy(*group, _SLICE).agg(F.min(value).alias(_LOW), F.max(value).alias(_HIGH))
     out, added = sliced, []
     if previous:
         out = out.withColumn(previous, F.lag(value).over(within))

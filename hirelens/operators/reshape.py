@@ -248,9 +248,11 @@ def anti_join_seen(
     """
     stored = seen.select(blank_to_null(seen_id).alias("__seen")).where(F.col("__seen").isNotNull()).distinct()
     rows = new.withColumn("__id", blank_to_null(new_id))
-    if not keep_null_ids:
-        rows = rows.where(F.col("__id").isNotNull())
-    return rows.join(stored, F.col("__id") == F.col("__seen"), "left_anti").drop("__id")
+    # Rows without an id go past the join, where they would all meet in one task.
+    fresh = rows.where(F.col("__id").isNotNull()).join(stored, F.col("__id") == F.col("__seen"), "left_anti")
+    if keep_null_ids:
+        fresh = fresh.unionAll(rows.where(F.col("__id").isNull()))
+    return fresh.drop("__id")
 
 
 def orphan_rows(df: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:

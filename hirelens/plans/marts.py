@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import days_between, safe_divide
 from ..functions.text import clean_skill
 from ..operators.reshape import crosstab_sum, deduplicate, top_k
+from ..session import written
 
 TOP_COMPANIES, TOP_SKILLS, TOP_VIEW_SKILLS = 50, 20, 50
 QUOTES = "\"'"
@@ -49,7 +50,8 @@ def mart_company_hiring(
         )
     )
     named = per_company.join(companies.select("company_key", "company_name", "company_sector"), "company_key")
-    leaders = top_k(named, top, F.desc("total_postings"), F.asc("company_name"))
+    # At most ``top`` rows, written since they both choose the skills to count and take the result.
+    leaders = written(top_k(named, top, F.desc("total_postings"), F.asc("company_name")), "leaders")
     # The ranking of skills is only needed for the leaders, of which there are at most ``top``.
     keys = leaders.select("company_key")
     counted = (

@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.scalars import blank_to_null, first_filled, first_nonzero
 from ..functions.semistructured import with_education, with_experience, with_validated
@@ -124,53 +123,59 @@ def work_mode_merge(override, is_remote) -> Column:
 
 def enrich(
     df: DataFrame,
-    respond: Callable[[list[str]], list[str | None]],
+    respond: Callable[[list[str]], list[str | Exception | None]],
     prompt: Column | None = None,
     batch_rows: int = 10,
     response: str = "response",
 ) -> DataFrame:
-    """Add the ``response`` a user's function gives to each row's prompt.
+    """Add the ``response`` a user's function gives to each row's prompt, and ``<response>_error``.
 
-    The function gets up to ``batch_rows`` prompts at a time and returns as many responses. If
-    it fails on a batch its rows are tried one by one, and a row that fails has no response.
-    Blank descriptions are not sent.
+    The function gets up to ``batch_rows`` prompts at a time and returns as many responses; for a
+    prompt that failed it returns the exception. If it raises, or returns another number, all
+    prompts of the batch failed; none is sent again. Blank descriptions are not sent. Only
+    prompts and answers pass through Python.
     """
     prompt = enrichment_prompt("description") if prompt is None else prompt
     asked = F.when(strip("description") != "", prompt)
-    schema = T.StructType([*df.schema.fields, T.StructField(response, T.StringType(), True)])
 
-    def answer(prompts: list[str]) -> list[str | None]:
+    def answer(prompts: list[str]) -> list[str | Exception | None]:
         try:
             answers = list(respond(prompts))
-            if len(answers) == len(prompts):
-                return answers
-        except Exception:
-            pass
-        return [_one(p) for p in prompts]
+        except Exception as error:
+            return [error] * len(prompts)
+        if len(answers) != len(prompts):
+            return [ValueError(f"{len(answers)} responses to {len(prompts)} prompts")] * len(prompts)
+        return answers
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for sent in batches:
+            asked_rows = sent[sent.notna()]
+            out = pd.DataFrame({"response": None, "error": None}, index=sent.index, dtype=object)
+            for start in range(0, len(asked_rows), batch_rows):
+                part = asked_rows.iloc[start : start + batch_rows]
+                for at, got in zip(part.index, answer(part.tolist())):
+                    failed = isinstance(got, Exception)
+                    out.at[at, "error" if failed else "response"] = (str(got) or type(got).__name__) if failed else got
+            yield out
+
+    # A call costs money and need not repeat itself, so the optimizer may neither copy nor move it.
+    ask = F.pandas_udf(run, "response string, error string").asNondeterministic()
+    told = df.withColumn("__told", ask(asked))
+    answers = {response: F.col("__told.response"), f"{response}_error": F.col("__told.error")}
+    return told.withColumns(answers).drop("__told")
 
-    def _one(p: str) -> str | None:
-        try:
-            return list(respond([p]))[0]
-        except Exception:
-            return None
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            sent = frame["__prompt"]
-            rows = sent[sent.notna()]
-            answers = pd.Series([None] * len(frame), index=frame.index, dtype=object)
-            for start in range(0, len(rows), batch_rows):
-                part = rows.iloc[start : start + batch_rows]
-                answers.loc[part.index] = answer(part.tolist())
-            yield frame.drop(columns="__prompt").assign(**{response: answers})
 
-    return df.withColumn("__prompt", asked).mapInPandas(run, schema)
+def dead_letters(df: DataFrame, response: str = "response", checked: str = "enriched") -> DataFrame:
+    """Responses that could not be read, or the error of calls that failed, with the posting they belong to."""
+    error = [F.col(f"{response}_error")] if f"{response}_error" in df.columns else []
+    bad = df.where(F.col(checked)["status"].isin("invalid", "failed"))
+    return bad.select(stored_id(df).alias("job_id"), F.coalesce(F.col(response), *error).alias("raw_response"))
 
 
-def dead_letters(df: DataFrame, response: str = "response", checked: str = "enriched") -> DataFrame:
-    """Responses that could not be read, with the posting they belong to."""
-    bad = df.where(F.col(checked)["status"] == "invalid")
-    return bad.select(stored_id(df).alias("job_id"), F.col(response).alias("raw_response"))
+def with_enrichment_failure(df: DataFrame, checked: str = "enriched") -> DataFrame:
+    """``failure_reason`` also where the model's call failed or its response could not be read."""
+    bad = F.col(checked)["status"].isin("invalid", "failed")
+    return df.withColumn("failure_reason", F.coalesce("failure_reason", F.when(bad, ENRICHMENT_FAILED)))
 
 
 def build_silver(
@@ -184,7 +189,7 @@ def build_silver(
     """
     rows = with_experience(df, "experience_obj", "experience_years")
     rows = with_education(rows, "education_obj", "degree_requirement")
-    rows = with_validated(rows, response, "enriched")
+    rows = with_validated(rows, response, "enriched", f"{response}_error" if f"{response}_error" in df.columns else None)
     ai = F.col("enriched")
     location = [F.col("job_location")] if "job_location" in df.columns else []
     base = _base_columns(df)

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only runtime SQL settings, and only where the session has not set them itself.
 RUNTIME_DEFAULTS = {
@@ -56,3 +56,10 @@ def _local_folder(application: str) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table in the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, so that several uses compute it once and alike."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,28 +4,62 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.reshape import union_relations
 
 
+# What delivery and `write_json_arrays` call their files.
+JSON_FILES = "*.{json,txt}"
+END_MARK = "end of the file"
+NO_ARRAY, NO_OBJECT = "no JSON array", "no JSON object"
+
+
+def _array_files(spark: SparkSession, path: str, name_glob: str, path_part: str | None) -> DataFrame:
+    """(path, items) of the files below a path; items is NULL where a file is not exactly one JSON array."""
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=name_glob)
+    files = files.select(F.col("_metadata.file_path").alias("path"), "value")
+    if path_part:
+        files = files.where(F.col("path").contains(path_part))
+    # The parser stops at the end of a value. With a mark behind the array, text that goes on breaks the list.
+    marked = F.from_json(F.concat(F.lit("["), "value", F.lit(f',["{END_MARK}"]]')), "array<array<variant>>")
+    parsed = files.withColumn("__parts", F.when(F.col("value").rlike(r"^\s*\["), marked))
+    ends = F.try_variant_get(F.get(F.get("__parts", F.lit(1)), F.lit(0)), "$", "string") == END_MARK
+    whole = F.coalesce((F.size("__parts") == 2) & ends, F.lit(False))
+    return parsed.select("path", F.when(whole, F.get("__parts", F.lit(0))).alias("items"))
+
+
+def _is_object(item) -> Column:
+    return F.coalesce(F.schema_of_variant(item).startswith("OBJECT"), F.lit(False))
+
+
 def scan_json(
-    spark: SparkSession, path: str, schema: T.StructType, name_glob: str = "*.json", path_part: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType, name_glob: str = JSON_FILES, path_part: str | None = None
 ) -> DataFrame:
-    """Objects of all JSON array files below a path; a file that is no such array is skipped.
+    """Objects of all JSON array files below a path.
 
-    ``name_glob`` chooses by file name, ``path_part`` by text anywhere in the path. A file is
-    read by one task, so files should be written in bounded sizes, as
-    :func:`hirelens.sources.writers.write_json_arrays` does.
+    A file that is not exactly one array is left out, and so is an item that is no object;
+    :func:`scan_rejects` lists both. A value that does not fit its type is NULL. ``name_glob``
+    chooses by file name, ``path_part`` by text anywhere in the path. A file is read by one
+    task, so files should be written in bounded sizes, as
+    :func:`hirelens.sources.writers.write_json_arrays` does; lines of JSON have no such limit.
     """
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=name_glob)
-    if path_part:
-        files = files.where(F.col("_metadata.file_path").contains(path_part))
-    arrays = files.where(F.col("value").rlike(r"^\s*\["))
-    items = F.from_json("value", T.ArrayType(schema), {"mode": "PERMISSIVE"})
-    return arrays.select(F.inline(items))
+    items = _array_files(spark, path, name_glob, path_part).select(F.explode("items").alias("item"))
+    typed = F.from_json(F.to_json("item"), schema, {"mode": "PERMISSIVE"})
+    return items.where(_is_object("item")).select(typed.alias("row")).select("row.*")
+
+
+def scan_rejects(spark: SparkSession, path: str, name_glob: str = JSON_FILES, path_part: str | None = None) -> DataFrame:
+    """What :func:`scan_json` leaves out: (path, position of the item or NULL for a whole file, reason).
+
+    A file without any text has nothing to lose and is not listed.
+    """
+    files = _array_files(spark, path, name_glob, path_part)
+    listed = files.select("path", F.col("items").isNull().alias("broken"), F.posexplode_outer("items").alias("position", "item"))
+    odd = listed.where(F.col("broken") | (F.col("position").isNotNull() & ~_is_object("item")))
+    return odd.select("path", "position", F.when(F.col("broken"), NO_ARRAY).otherwise(NO_OBJECT).alias("reason"))
 
 
 def scan_named(spark: SparkSession, path: str, schema: T.StructType, part: str = "silver_enriched_", **options) -> DataFrame:
@@ -33,6 +67,12 @@ def scan_named(spark: SparkSession, path: str, schema: T.StructType, part: str =
     return scan_json(spark, path, schema, path_part=part, **options)
 
 
+def scan_json_lines(spark: SparkSession, path: str, schema: T.StructType, path_part: str | None = None) -> DataFrame:
+    """Rows of files with one JSON object a line, which several tasks can read."""
+    rows = spark.read.schema(schema).json(path, recursiveFileLookup=True)
+    return rows.where(F.col("_metadata.file_path").contains(path_part)) if path_part else rows
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     """A named table or view, or the parquet files at a path."""
     return spark.read.parquet(name) if "/" in name else spark.table(name)
@@ -43,28 +83,29 @@ def _like(name: str, pattern: str) -> bool:
     return re.fullmatch("".join({"%": ".*", "_": "."}.get(ch, re.escape(ch)) for ch in pattern), name, re.I | re.S) is not None
 
 
-def tables_by_pattern(spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = "") -> dict[str, str]:
-    """Short name -> full name of the tables and views that match, in order of name.
+def tables_by_pattern(spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = "") -> list[str]:
+    """Full names of the tables and views that match, in order of name.
 
     Temporary views belong to no schema and match any schema pattern.
     """
-    found = {}
+    found = set()
     schemas = [d.name for d in spark.catalog.listDatabases() if _like(d.name, schema_pattern)]
     for schema in schemas or [None]:
         for table in spark.catalog.listTables(schema):
             if table.isTemporary or schema:
                 if _like(table.name, table_pattern) and not _like(table.name, exclude):
-                    found[table.name] = table.name if table.isTemporary else f"{schema}.{table.name}"
-    return dict(sorted(found.items()))
+                    found.add(table.name if table.isTemporary else f"{schema}.{table.name}")
+    return sorted(found)
 
 
-def tables_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str = "") -> dict[str, str]:
+def tables_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str = "") -> list[str]:
+    """Full names of the tables and views of a schema whose name begins with a prefix."""
     return tables_by_pattern(spark, schema, f"{prefix}%", exclude)
 
 
 def union_matching_tables(
     spark: SparkSession, table_pattern: str, schema_pattern: str = "%", exclude: str = "", **options
 ) -> DataFrame:
-    """Union of all tables and views whose name matches, see :func:`union_relations`."""
+    """Union of all tables and views whose name matches, named in full, see :func:`union_relations`."""
     names = tables_by_pattern(spark, schema_pattern, table_pattern, exclude)
-    return union_relations({short: spark.table(full) for short, full in names.items()}, **options)
+    return union_relations({name: spark.table(name) for name in names}, **options)

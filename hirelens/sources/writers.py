@@ -13,6 +13,11 @@ ROWS_PER_FILE = 10_000
 
 def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Rows as files that hold one JSON array each, of at most ``rows_per_file`` rows."""
+    write_arrays(df.select(F.to_json(F.struct(*df.columns)).alias("value")), path, rows_per_file)
+
+
+def write_arrays(items: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """JSON texts in the column ``value`` as files that hold one array each."""
 
     def arrays(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[str] = []
@@ -24,9 +29,13 @@ def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FI
         if held:
             yield pd.DataFrame({"value": ["[" + ",".join(held) + "]"]})
 
-    objects = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    # One line per array and one line per file. The files end in .txt, so readers need a glob.
-    objects.mapInPandas(arrays, "value string").write.option("maxRecordsPerFile", 1).text(path)
+    # One line per array and one line per file.
+    items.mapInPandas(arrays, "value string").write.option("maxRecordsPerFile", 1).text(path)
+
+
+def write_json_lines(df: DataFrame, path: str) -> None:
+    """Rows as files with one JSON object a line."""
+    df.write.json(path)
 
 
 def write_run_partition(df: DataFrame, path: str, run_date, run_id: str) -> None:
@@ -70,10 +79,13 @@ def create_view(df: DataFrame, name: str) -> None:
 def write_by_outcome(df: DataFrame, good: Column, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Good rows below ``outcome=good``, all others below ``outcome=dead_letter``.
 
-    One pass over the rows, so an enrichment in front runs once. NULL counts as not good.
+    One pass over the rows, so an enrichment in front runs once. NULL counts as not good. Partitions
+    that are written again are replaced, so with the run among ``partition_by`` a run can be repeated.
     """
     outcome = F.when(F.coalesce(good, F.lit(False)), "good").otherwise("dead_letter")
-    df.withColumn("outcome", outcome).write.mode("append").partitionBy("outcome", *partition_by).parquet(path)
+    df.withColumn("outcome", outcome).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "outcome", *partition_by
+    ).parquet(path)
 
 
 def append_run_log(row: DataFrame, path: str) -> None:

@@ -215,9 +215,9 @@ def ranked(v):
     return (v is not None, v)
 
 
-@pytest.mark.parametrize("slice_rows", [3, 1000])
+@pytest.mark.parametrize("slices", [40, 1])
 @pytest.mark.parametrize("grouped", [True, False])
-def test_sequential_values(spark, slice_rows, grouped):
+def test_sequential_values(spark, slices, grouped):
     data = group_rows(1, 400)
     want = Counter()
     key = (lambda r: r[0]) if grouped else (lambda r: "all")
@@ -228,14 +228,14 @@ def test_sequential_values(spark, slice_rows, grouped):
                 want[((k,) if grouped else ()) + (row[1], before)] += 1
             before = row[1]
     df = spark.createDataFrame(data, "g int, v int, w int")
-    got = checks.sequential_values(df, "v", 2, group_by=["g"] if grouped else [], rows_per_slice=slice_rows)
+    got = checks.sequential_values(df, "v", 2, group_by=["g"] if grouped else [], slices=slices)
     assert rows(got) == want and want
 
 
-@pytest.mark.parametrize("slice_rows", [3, 1000])
+@pytest.mark.parametrize("slices", [40, 1])
 @pytest.mark.parametrize("grouped", [True, False])
 @pytest.mark.parametrize("gaps, zero", [("allowed", False), ("not_allowed", True), ("required", False)])
-def test_mutually_exclusive_ranges(spark, slice_rows, grouped, gaps, zero):
+def test_mutually_exclusive_ranges(spark, slices, grouped, gaps, zero):
     data = [(g, lo, None if hi == 7 else (lo or 0) + hi % 3) for g, lo, hi in group_rows(2, 300)]
     meets = {"allowed": lambda a, b: a <= b, "not_allowed": lambda a, b: a == b, "required": lambda a, b: a < b}[gaps]
     want = Counter()
@@ -251,7 +251,7 @@ def test_mutually_exclusive_ranges(spark, slice_rows, grouped, gaps, zero):
             if not (order and line):
                 want[((g,) if grouped else ()) + (lo, hi, after, last, order, line)] += 1
     df = spark.createDataFrame(data, "g int, lo int, hi int")
-    got = checks.mutually_exclusive_ranges(df, "lo", "hi", "g" if grouped else None, gaps, zero, rows_per_slice=slice_rows)
+    got = checks.mutually_exclusive_ranges(df, "lo", "hi", "g" if grouped else None, gaps, zero, slices=slices)
     assert rows(got) == want
 
 
@@ -344,11 +344,23 @@ def test_enrich_isolates_failures(spark):
 
     def respond(prompts):
         if "bad" in prompts:
-            raise RuntimeError
+            raise RuntimeError("refused")
         return [p.upper() for p in prompts]
 
     got = silver.enrich(df.repartition(1), respond, prompt=F.col("description"), batch_rows=2)
-    assert {r["i"]: r["response"] for r in got.collect()} == {0: "A", 1: None, 2: "C", 3: None, 4: None}
+    assert {r["i"]: r["response"] for r in got.collect()} == {0: None, 1: None, 2: "C", 3: None, 4: None}
+    assert {r["i"] for r in got.where("response_error = 'refused'").collect()} == {0, 1}
+    checked = semistructured.with_validated(got.withColumn("job_id", F.col("i").cast("string")), "response", "enriched", "response_error")
+    assert rows(silver.dead_letters(checked)) == {("0", "refused"): 1, ("1", "refused"): 1, ("2", "C"): 1}
+
+
+def test_enrich_takes_failures_of_single_prompts(spark):
+    df = spark.createDataFrame([("a",), ("bad",), ("short",)], "description string")
+    answers = {"a": "A", "bad": RuntimeError("refused"), "short": None}
+    got = silver.enrich(df, lambda prompts: [answers[p] for p in prompts], prompt=F.col("description"))
+    assert rows(got) == {("a", "A", None): 1, ("bad", None, "refused"): 1, ("short", None, None): 1}
+    short = silver.enrich(df, lambda prompts: [], prompt=F.col("description"))
+    assert short.where("response_error LIKE '0 responses%'").count() == 3
 
 
 def test_pending_dedupe_keeps_rows_without_id(spark):
@@ -365,9 +377,36 @@ def test_scan_json_skips_other_files(spark, tmp_path):
     (inner / "object.json").write_text('{"id": "3"}')
     (inner / "broken.json").write_text('[{"id": "4"')
     (inner / "empty.json").write_text("")
-    (inner / "note.txt").write_text('[{"id": "5"}]')
+    (inner / "note.dat").write_text('[{"id": "5"}]')
+    (inner / "more.json").write_text('[{"id": "6"}] junk')
+    (inner / "two.json").write_text('[{"id": "7"}], [{"id": "8"}]')
+    (inner / "odd.json").write_text('[{"id": "9", "n": "x"}, 5, null, "{}", [1], {"id": "10", "n": 3, "z": {"y": [1]}}] ')
     df = readers.scan_json(spark, str(tmp_path), star_schema())
-    assert rows(df) == {("1", 2): 1, ("2", None): 1}
+    assert rows(df) == {("1", 2): 1, ("2", None): 1, ("9", None): 1, ("10", 3): 1}
+    rejects = [(r["path"].rsplit("/", 1)[1], r["position"], r["reason"]) for r in readers.scan_rejects(spark, str(tmp_path)).collect()]
+    whole = [(f"{name}.json", None, readers.NO_ARRAY) for name in ("broken", "more", "object", "two")]
+    assert sorted(rejects, key=str) == sorted(whole + [("odd.json", i, readers.NO_OBJECT) for i in (1, 2, 3, 4)], key=str)
+
+
+def test_tables_of_one_name_in_two_schemas(spark):
+    for n, schema in enumerate(("hirelens_a", "hirelens_b"), 1):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+        spark.range(n).write.mode("overwrite").saveAsTable(f"{schema}.hl_ev_x")
+    try:
+        assert readers.tables_by_prefix(spark, "hirelens_a", "HL_ev") == ["hirelens_a.hl_ev_x"]
+        both = readers.union_matching_tables(spark, "hl_ev%", "hirelens%", source_column="source_table")
+        assert rows(both.groupBy("source_table").count()) == {("hirelens_a.hl_ev_x", 1): 1, ("hirelens_b.hl_ev_x", 2): 1}
+    finally:
+        for schema in ("hirelens_a", "hirelens_b"):
+            spark.sql(f"DROP DATABASE {schema} CASCADE")
+
+
+def test_neighbours_of_crowded_and_text_values(spark):
+    crowd = spark.range(2000).select(F.lit("g").alias("g"), "id").unionAll(spark.sql("SELECT 'g', 1000000000000000L"))
+    got = neighbours.link_values(crowd, ["g"], "id", previous="p", following="f", slices=20)
+    assert got.where("p = id - 1").count() == 1999 and got.where("f IS NULL").count() == 1
+    dates = spark.createDataFrame([("2001-01-01", "2001-01-05"), ("2001-01-04", "2001-01-09")], "lo string, hi string")
+    assert checks.mutually_exclusive_ranges(dates, "lo", "hi").count() == 1
 
 
 def star_schema():
@@ -390,6 +429,11 @@ def test_load_twice_adds_nothing(spark):
     first = load.load_rows(df)
     assert {r["source_job_id"]: r["skills"] for r in first.collect()} == {"1": ["a"], "4": None}
     assert load.load_rows(df, first).count() == 0
+    nameless = spark.createDataFrame([(None, ["a"], ("t", "high", None)), (None, ["a"], ("t", "high", None)), ("1", ["b"], ("u", "high", None)),
+                                      ("1", ["a"], ("t", "high", None))], df.schema)
+    first = load.load_rows(nameless)
+    assert {r["source_job_id"]: r["skills"] for r in first.collect()} == {None: ["a"], "1": ["b"]} and first.count() == 2
+    assert load.load_rows(nameless, first).count() == 0
 
 
 def test_run_partition_is_replaced(spark):
