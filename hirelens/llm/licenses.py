@@ -68,10 +68,8 @@ def match_lines(lines: DataFrame, templates: DataFrame, least: float) -> DataFra
     total = total.unionAll(templates.agg(F.count(F.lit(1)).alias("n"))).agg(F.sum("n").alias("total"))
     seen = line_terms.select("term", "n").unionAll(template_terms.select("term", F.lit(1).cast("long").alias("n")))
     counts = seen.groupBy("term").agg(F.sum("n").alias("df"))
-    # Only terms of templates can meet; the others count in the lengths alone. One row of totals is joined.
-    idf = counts.join(F.broadcast(total), F.lit(True)).select(
-        "term", (F.log((F.col("total") + 1) / (F.col("df") + 1)) + 1).alias("idf")
-    )
+    # Only terms of templates can meet; the others count in the lengths alone.
+    idf = counts.select("term", (F.log((total.scalar() + 1) / (F.col("df") + 1)) + 1).alias("idf"))
     a = _vectors(line_terms.select("key", "term", "tf"), idf, "key")
     b = _vectors(template_terms, idf, "licence").withColumnRenamed("weight", "other")
     cosine = a.join(b, "term").groupBy("key", "licence").agg(F.sum(F.col("weight") * F.col("other")).alias("cosine"))
