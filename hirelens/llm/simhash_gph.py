@@ -17,9 +17,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import rolling
 from .common import map_texts, prepare, written
 from .components import components
+from .shingle_join import near_copies
 
 BITS = 64
 SEED = 42
@@ -375,59 +375,20 @@ def linked(fps: DataFrame, tau: int = 3, parts: int | None = None, in_bucket=lin
     return written(links(rows, tau, in_bucket=in_bucket), "fp_links")
 
 
-def shingle_sets(df: DataFrame, size: int, keep: Sequence[str]) -> DataFrame:
-    """``df`` with the sorted distinct hashes of the word shingles of ``text``."""
-
-    def work(texts: pa.Array):
-        data, offsets = rolling.bytes_of(texts)
-        words = rolling.words_of(rolling.SMALL[data], offsets)
-        lists = []
-        sums = rolling.prefix_sums(words.hashes, rolling.STEP)
-        for a, b in zip(words.first[:-1], words.first[1:]):
-            starts = np.arange(a, max(a + (b > a), b - size + 1))
-            lists.append(np.unique(rolling.stretch_hashes(sums, starts, np.minimum(starts + size, b), rolling.STEP)))
-        ends = np.append(0, np.cumsum([len(x) for x in lists])).astype(np.int32)
-        flat = np.concatenate([np.zeros(0, np.uint64), *lists])
-        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))]
-
-    return map_texts(df, "text", "shingles array<long>", lambda: work, keep)
-
-
-def verified(found: DataFrame, named: DataFrame, rows: DataFrame, size: int, least: float) -> DataFrame:
-    """The links whose documents have a Jaccard similarity of ``least`` or more on ``size``-word shingles.
-
-    ``named`` gives (fp, least): the document that stands for a fingerprint; ``rows`` are (id, text).
-    """
-    pairs = found.distinct()
-    ends = pairs.select(F.col("a").alias("fp")).unionAll(pairs.select("b")).distinct()
-    wanted = ends.join(named, "fp").select("fp", F.col("least").alias("id"))
-    sets = shingle_sets(wanted.join(rows, "id"), size, ["fp"]).dropDuplicates(["fp"])
-    sets = written(sets, "shingles")
-    one = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x"))
-    two = sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(one, "a").join(two, "b")
-    common = F.size(F.array_intersect("x", "y"))
-    return both.where(common >= least * (F.size("x") + F.size("y") - common)).select("a", "b")
-
-
 def near_duplicates(
     df: DataFrame, id_column: str = "doc_id", column: str = "text", size: int = 3, tau: int = 3, parts: int | None = None,
-    distinct: bool = False, verify: tuple[int, float] | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """(id, fp, component_id) of every row; component_id is the smallest id that can be reached.
 
-    Texts with equal fingerprints are one node. With ``verify`` = (words, similarity), links count only if the documents
-    that stand for the fingerprints have that Jaccard similarity on shingles of so many words; in clusters with many links
-    those of a shortest spanning tree are verified in each bucket. Null ids keep their row and count only where
-    a component has no other id. Null and empty texts have fingerprint 0 and are linked like any other. Repeated rows stay.
+    Texts with equal fingerprints are one node. Null ids keep their row and count only where a component has no
+    other id. Null and empty texts have fingerprint 0 and are linked like any other. Repeated rows stay.
     """
     prepare(df.sparkSession)
     rows = df.select(F.col(id_column).alias("id"), F.col(column).alias("text"))
     marked = written(fingerprints(rows, "text", size, distinct, keep=["id"]), "fingerprints")
     named = written(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct_fps")
-    found = linked(named.select("fp"), tau, parts, best_links if verify else links_in_bucket)
-    if verify:
-        found = written(verified(found, named, rows, *verify), "verified")
+    found = linked(named.select("fp"), tau, parts)
     rooted = named.join(components(found).select(F.col("node").alias("fp"), "root"), "fp", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -435,12 +396,22 @@ def near_duplicates(
     return marked.join(grouped, "fp").select(F.col("id").alias(id_column), "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_column: str = "doc_id", column: str = "text", **options) -> DataFrame:
+def keep_one(
+    docs: DataFrame, id_column: str = "doc_id", column: str = "text", verify: tuple[int, float] | None = None, **options
+) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the row with the smallest id stays, with its columns.
 
-    Of rows with one id, one stays. Rows without an id cannot be named and stay.
+    With ``verify`` = (words, similarity), groups are those of texts with that Jaccard similarity on shingles of so many
+    words, without a fingerprint deciding which texts are compared (see ``shingle_join``); the options of
+    ``near_duplicates`` have no part in that. Of rows with one id, one stays. Rows without an id cannot be named and stay.
     """
-    found = near_duplicates(docs.where(F.col(id_column).isNotNull()), id_column, column, **options)
+    named = docs.where(F.col(id_column).isNotNull())
+    if verify:
+        prepare(docs.sparkSession)
+        rows = named.select(F.col(id_column).alias("id"), F.col(column).alias("text"))
+        found = near_copies(rows, *verify).withColumnRenamed("id", id_column)
+    else:
+        found = near_duplicates(named, id_column, column, **options)
     chosen = found.where(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("__id")).distinct()
     chosen = written(chosen, "chosen")
     kept = docs.join(chosen, docs[id_column] == F.col("__id"), "left_semi")

@@ -218,6 +218,26 @@ def test_near_duplicates_of_odd_rows(spark, odd, empty):
     assert len(ids) == len(set(ids)) and {0, 3, 4, 7, 8, None} <= set(ids) and not {1, 2, 5, 11} & set(ids)
 
 
+def brute_groups(texts):
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in ((i, t.split()) for i, t in texts)}
+    return brute_links(sorted(sets), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+
+
+def test_large_groups_of_edited_copies_equal_brute_force(spark):
+    """Copies with six of 14 places edited each: two that have four places in common are near, others are not."""
+    rng = np.random.default_rng(0)
+    texts = []
+    for k in range(40):
+        words = [f"w{j}" for j in range(400)]
+        for at in rng.choice(14, 6, replace=False):
+            words[at * 28 + 10] = f"x{k}y{at}"
+        texts.append((k, " ".join(words)))
+    want = brute_groups(texts)
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = {r.doc_id for r in simhash_gph.keep_one(frame, **corpus_pipeline.NEAR).collect()}
+    assert kept == {i for i, root in want.items() if i == root}
+
+
 # --- 5 --------------------------------------------------------------------------------------
 
 
