@@ -59,6 +59,7 @@ def parse(page: str) -> list:
     """The page as nested [symbol, children] and texts. Open tags that are never closed end with what holds them."""
     root: list = ["", []]
     stack, at = [root], 0
+    deeper: list[str] = []  # the open tags beyond ``DEEPEST``, of which only the names are kept
 
     def add_text(raw: str) -> None:
         if raw:
@@ -83,29 +84,44 @@ def parse(page: str) -> list:
             continue
         attrs = m["attrs"] or m["attrs2"] or ""
         if m["end"] or m["end2"]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0].split(" ", 1)[0] == name:
-                    del stack[k:]
+            for k in range(len(deeper) - 1, -1, -1):
+                if deeper[k] == name:
+                    del deeper[k:]
                     break
+            else:
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k][0].split(" ", 1)[0] == name:
+                        del stack[k:]
+                        deeper.clear()
+                        break
             continue
         if name in RAW and not attrs.rstrip().endswith("/"):
             close = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else end
             stack[-1][1].append([name, []])
             continue
-        _end_open(stack, name)
+        _end_open(stack, deeper, name)
         found = [next(x for x in g[1:] if x is not None) for g in (m.groups() for m in NAMED.finditer(attrs))] if attrs else []
         node = [" ".join([name, *(x.strip() for x in found)]), []]
         stack[-1][1].append(node)
-        if name not in VOID and not attrs.rstrip().endswith("/") and len(stack) < DEEPEST:
-            stack.append(node)
+        if name not in VOID and not attrs.rstrip().endswith("/"):
+            if len(stack) < DEEPEST:
+                stack.append(node)
+            else:
+                deeper.append(name)
     return root[1]
 
 
-def _end_open(stack: list, name: str) -> None:
-    names = [n[0].split(" ", 1)[0] for n in stack]
+def _end_open(stack: list, deeper: list[str], name: str) -> None:
     ended = ("p",) if name in BLOCKS and name not in ENDS else ()
     ended += ENDS.get(name, ())
+    for k in range(len(deeper) - 1, -1, -1):
+        if deeper[k] in ended:
+            del deeper[k:]
+            return
+        if deeper[k] in BLOCKS:
+            return
+    names = [n[0].split(" ", 1)[0] for n in stack]
     for k in range(len(stack) - 1, 0, -1):
         if names[k] in ended:
             del stack[k:]

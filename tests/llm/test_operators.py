@@ -112,6 +112,11 @@ def test_extraction(spark):
     assert page_wrappers.extract(spark.createDataFrame([], "page_id long, url string, html string, text int")).count() == 0
 
 
+def test_closed_tags_beyond_the_depth_leave_the_article_open():
+    deep = "<div><article>" + "<div>" * 150 + "<p>in</p>" + "</div>" * 150 + "<p>after</p></article></div><p>rest</p>"
+    assert page_wrappers.main_text(deep, json.dumps({"items": [], "pages": 0})) == "in\nafter"
+
+
 def test_extraction_equals_the_articles(spark):
     import html
 
