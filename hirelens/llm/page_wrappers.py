@@ -15,6 +15,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import md5
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,6 +26,7 @@ from .common import prepare, slices, texts_of, written
 TEXT, GROUP = "#", "("
 DEEPEST = 100  # what is nested deeper counts as lying at this depth; no text is lost
 HOSTS_HELD = 2000
+DIFFERENT = 3  # texts a host's pages need to have before what they share is left out
 SALTS = 32
 
 MARKUP = re.compile(
@@ -143,7 +145,7 @@ def items_of(children: list) -> list:
             words = " ".join(child.split())
             if not words:
                 continue
-            item = [TEXT, 0, words[:64] + str(len(words))]
+            item = [TEXT, 0, words[:64] + str(len(words)) + (md5(words.encode("utf-8", "replace")).hexdigest() if len(words) > 64 else "")]
         else:
             item = [child[0], 0, items_of(child[1])]
         if out and out[-1][0] == item[0]:
@@ -238,7 +240,8 @@ def role_of(symbol: str, above: str) -> str:
 
 @lru_cache(maxsize=4096)
 def _index(wrapper: str) -> tuple[dict, int]:
-    """Nested lookup by symbol: role of the text there, whether it is a constant, and the tags inside; and the pages behind it."""
+    """Nested lookup by symbol: role of the text there, whether it is a constant, and the tags inside; and how many
+    different texts, up to ``DIFFERENT``, the pages behind it have."""
     data = json.loads(wrapper)
 
     def build(items: list, role: str) -> dict:
@@ -252,15 +255,19 @@ def _index(wrapper: str) -> tuple[dict, int]:
                     out[symbol] = (inside, build(content, inside))
         return out
 
-    return build(data["items"], "other"), data["pages"]
+    return build(data["items"], "other"), len(data["pages"])
 
 
 def main_text(page: str, wrapper: str) -> str:
     """The text in the page's main slots, block by block; without such slots, in all slots that are not left out.
 
-    Constants of a host with three pages or more are no slots, unless they stand in a main part.
+    Constants of a host are no slots if its pages have three different texts or more, unless they stand in a main part.
+    Copies of a page do not tell what is constant.
     """
-    index, pages = _index(wrapper)
+    return read_tree(parse(page), *_index(wrapper))
+
+
+def read_tree(tree: list, index: dict, different: int) -> str:
     blocks: dict[str, list[str]] = {"main": [], "other": []}
     open_block: dict[str, list[str]] = {"main": [], "other": []}
 
@@ -275,7 +282,7 @@ def main_text(page: str, wrapper: str) -> str:
         for child in children:
             if isinstance(child, str):
                 here, constant = known.get(TEXT, (role, False))
-                if here == "main" or (here == "other" and not (constant and pages >= 3)):
+                if here == "main" or (here == "other" and not (constant and different >= DIFFERENT)):
                     open_block[here].append(child)
                 continue
             name = child[0].split(" ", 1)[0]
@@ -293,7 +300,7 @@ def main_text(page: str, wrapper: str) -> str:
             if block:
                 close()
 
-    walk(parse(page), index, "other")
+    walk(tree, index, "other")
     close()
     return "\n".join(blocks["main"] or blocks["other"])
 
@@ -305,9 +312,10 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def _combine(kept: dict[str, list], host: str, items: list, pages: int) -> None:
+def _combine(kept: dict[str, list], host: str, items: list, pages: list[str]) -> None:
+    """Hashes of different texts are kept up to ``DIFFERENT``, more do not count."""
     known = kept.get(host)
-    kept[host] = [align(known[0], items), known[1] + pages] if known else [items, pages]
+    kept[host] = [align(known[0], items), sorted({*known[1], *pages})[:DIFFERENT]] if known else [items, pages]
 
 
 def _rows(kept: dict[str, list]) -> pa.RecordBatch:
@@ -327,7 +335,8 @@ def wrappers(pages: DataFrame, url: str = "url", column: str = "html") -> DataFr
         kept: dict[str, list] = {}
         for batch in batches:
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                _combine(kept, host, items_of(parse(page)), 1)
+                tree = parse(page)
+                _combine(kept, host, items_of(tree), [md5(read_tree(tree, {}, 0).encode("utf-8", "replace")).hexdigest()])
                 if len(kept) > HOSTS_HELD:
                     yield _rows(kept)
                     kept = {}
@@ -361,7 +370,7 @@ def extract(pages: DataFrame, url: str = "url", column: str = "html", known: Dat
     rows = pages.withColumn("__host", host_of(F.col(url)))
     made = known.select(F.col("host").alias("__host"), F.col("wrapper").alias("__wrapper"))
     both = rows.join(made, "__host", "left").select(*names, F.col(column).alias("__html"), "__wrapper")
-    blank = json.dumps({"items": [], "pages": 0})
+    blank = json.dumps({"items": [], "pages": []})
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

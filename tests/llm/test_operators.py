@@ -112,9 +112,20 @@ def test_extraction(spark):
     assert page_wrappers.extract(spark.createDataFrame([], "page_id long, url string, html string, text int")).count() == 0
 
 
+def test_copies_and_like_openings_are_no_constants(spark):
+    long = "On this day the council met in the great hall of the town and spoke of matter "
+    pages = {"copies": ["<p>one</p><div>two</div>"] * 4, "like": [f"<div>{long}{k}</div>" for k in "abc"],
+             "site": [f"<p>Welcome</p><div>text {k}</div>" for k in "abc"]}
+    rows = [(f"{h}{k}", f"http://{h}/{k}", t) for h, texts in pages.items() for k, t in enumerate(texts)]
+    got = {r.page_id: r.text for r in page_wrappers.extract(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
+    assert [got[f"copies{k}"] for k in range(4)] == ["one\ntwo"] * 4
+    assert [got[f"like{k}"] for k in range(3)] == [long + k for k in "abc"]
+    assert [got[f"site{k}"] for k in range(3)] == [f"text {k}" for k in "abc"]
+
+
 def test_closed_tags_beyond_the_depth_leave_the_article_open():
     deep = "<div><article>" + "<div>" * 150 + "<p>in</p>" + "</div>" * 150 + "<p>after</p></article></div><p>rest</p>"
-    assert page_wrappers.main_text(deep, json.dumps({"items": [], "pages": 0})) == "in\nafter"
+    assert page_wrappers.main_text(deep, json.dumps({"items": [], "pages": []})) == "in\nafter"
 
 
 def test_extraction_equals_the_articles(spark):
