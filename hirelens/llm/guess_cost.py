@@ -26,13 +26,22 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 LEAST_VALUE = 12
 KINDS = ("assign", "access", "hex", "guess")
 
-# Where a credential may stand, beyond the base pattern.
+# Where a credential may stand, beyond the base pattern: how its name begins, and how it goes on.
+_KEY = "[ _-]?(?:key|secret|id)"
+NAMES = {
+    "pass": "(?:word|wd|phrase|code)?", "pwd": "", "secret": f"(?:{_KEY})?", "token": "", "credential": "s?", "auth": "", "login": "",
+    "api": _KEY, "access": _KEY, "private": _KEY, "client": _KEY,
+}
+HINTS = tuple(NAMES)
+# A value in quotes ends with the quote, any other with white space.
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|login|(?:api|access|private|secret|client)[ _-]?(?:key|secret|id))"""
-    r"""["']?[ \t]{0,8}(?:[:=]|=>|->)[ \t]{0,8}["'`]?([^\s"'`<>,;(){}\[\]]{6,})""",
+    "(?:" + "|".join(n + more for n, more in NAMES.items()) + ")"
+    r"""["']?[ \t]*+(?:[:=]|=>|->)[ \t]*+"""
+    r"""(?:"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`([^`\n]*+)`|["'`]?(\S++))""",
     re.I | re.A,
 )
-HINTS = ("pass", "pwd", "secret", "token", "credential", "auth", "login", "key", "client", "access")
+LEAST_LENGTH = 6
+CLOSING = ".,;:!?\"'`)]}>"  # what is no part of a value without quotes where it ends it
 LEAST_COST = 10.0  # log10 of guesses
 
 # Common words of passwords and placeholders, most common first: a parameter, not a claim about any corpus.
@@ -153,10 +162,10 @@ def scan_text(text: str, least: float = LEAST_COST, words: Sequence[str] = tuple
     out = base_spans(text, small)
     if any(h in small for h in HINTS):
         for m in CONTEXT.finditer(text):
-            start, end = m.span(1)
-            while end > start and text[end - 1] in ".:!?":
+            start, end = m.span(m.lastindex)
+            while m.lastindex == 4 and end > start and text[end - 1] in CLOSING:
                 end -= 1
-            if end - start >= 6 and guess_cost(text[start:end], words) >= least:
+            if end - start >= LEAST_LENGTH and guess_cost(text[start:end], words) >= least:
                 out.append((start, 3, end))
     return sorted(out)
 

@@ -334,6 +334,15 @@ def test_guess_cost_knows_cheap_segments():
     assert cost("x" * 20_000) < 10
 
 
+@pytest.mark.parametrize("text,value", [
+    ('password: "Xk9#(fQ2!zR9dLm"', "Xk9#(fQ2!zR9dLm"), ("pwd='Qz7;x,K(2)v{9}' # old", "Qz7;x,K(2)v{9}"), ("password" + " " * 12 + "=  Xk9#fQ2!zR9dLm;", "Xk9#fQ2!zR9dLm"),
+    ("api_id=Xk9#fQ2!zR9dLm", "Xk9#fQ2!zR9dLm"), ("Private-ID -> Xk9#f,Q2!(zR9dLm).", "Xk9#f,Q2!(zR9dLm"), ('token="Xk9#fQ2!zR9dLm', "Xk9#fQ2!zR9dLm"),
+])
+def test_values_are_read_whole(text, value):
+    start = text.index(value)
+    assert guess_cost.scan_text(text) == [(start, 3, start + len(value))]
+
+
 def test_secrets_of_odd_rows(spark, odd, empty):
     text = 'é pwd: "Xk9#fQ2!zR", password = changeme123; token=abcdef0123456789abcdef'
     rows = spark.createDataFrame([(1, text, 5)], "doc_id long, text string, n_chars long")
