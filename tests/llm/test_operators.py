@@ -254,6 +254,36 @@ def test_large_groups_of_edited_copies_equal_brute_force(spark):
     assert kept == {i for i, root in want.items() if i == root}
 
 
+# As much as a Jaccard similarity of 0.8 allows; a text of n words has n - 4 shingles.
+EDITS = {
+    "block added": lambda w, rng: w[: len(w) // 2] + [f"n{rng.integers(1 << 40)}" for _ in range(int((len(w) - 8) / 0.8 - len(w)))] + w[len(w) // 2 :],
+    "block cut": lambda w, rng: w[: len(w) // 2] + w[len(w) // 2 + int(len(w) - 8 - 0.8 * len(w)) :],
+    "words replaced": lambda w, rng: [f"n{rng.integers(1 << 40)}" if k % 50 == 25 else x for k, x in enumerate(w)],
+}
+
+
+def edited_pairs(each=20):
+    rng, out = np.random.default_rng(5), []
+    for kind, edit in EDITS.items():
+        for length in (100, 400):
+            for _ in range(each):
+                words = [f"w{rng.integers(1 << 40)}" for _ in range(length)]
+                out.append((kind, length, " ".join(words), " ".join(edit(words, rng))))
+    return out
+
+
+def test_no_kind_of_edit_hides_a_near_copy(spark):
+    pairs = edited_pairs()
+    texts = [(k, t) for k, t in enumerate(t for p in pairs for t in p[2:])]
+    lost = Counter()
+    kept = {r.doc_id for r in simhash_gph.keep_one(spark.createDataFrame(texts, "doc_id long, text string"), **corpus_pipeline.NEAR).collect()}
+    for k, (kind, length, one, two) in enumerate(pairs):
+        assert len(set(brute_groups([(0, one), (1, two)]).values())) == 1
+        lost[kind, length] += 2 * k + 1 in kept
+        assert 2 * k in kept
+    assert not +lost
+
+
 # --- 5 --------------------------------------------------------------------------------------
 
 
