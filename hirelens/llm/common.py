@@ -7,7 +7,7 @@ import gc
 import os
 import shutil
 import tempfile
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path, tune
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 # Rows that cross to Python at once; texts may be long, so fewer than Spark's default.
 RECORDS_PER_BATCH = "1000"
 
@@ -85,13 +85,53 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
         start = stop
 
 
+class Remembered:
+    """Results by text, up to about ``limit`` bytes in all.
+
+    Two tables: what is used goes into the young one, and when that holds half the limit it becomes the old one
+    and the old one goes. What comes up again so stays; forgetting changes no result.
+    """
+
+    # About what Python needs for a text, its result and their places in a table, beside the letters and items.
+    EACH = 250
+
+    def __init__(self, limit: int = 64 << 20):
+        self.half = limit // 2
+        self.clear()
+
+    def clear(self) -> None:
+        self.young: dict = {}
+        self.old: dict = {}
+        self.size = 0
+
+    def missing(self, keys: Iterable[str]) -> list[str]:
+        """The keys without a result. All others are in ``young`` until the next call."""
+        if self.size > self.half:
+            self.old, self.young, self.size = self.young, {}, 0
+        new = [k for k in keys if k not in self.young]
+        if not self.old:
+            return new
+        still = []
+        for k in new:
+            value = self.old.pop(k, None)
+            if value is None:
+                still.append(k)
+            else:
+                self.put(k, value)
+        return still
+
+    def put(self, key: str, value, size: int = 0) -> None:
+        self.young[key] = value
+        self.size += self.EACH + 2 * len(key) + size
+
+
 def map_texts(
     df: DataFrame, column: str, fields: str, make: Callable[[], Work], keep: Sequence[str] | None = None
 ) -> DataFrame:
     """``df`` with the columns ``fields`` computed from the texts in ``column``.
 
     ``make`` is called once in a task and gives the function from an array of texts (never null) to
-    one array per field. Columns of ``df`` stay (those in ``keep``, if given); one that has the name
+    one array per field; if it has an attribute ``close``, that is called at the task's end. Columns of ``df`` stay (those in ``keep``, if given); one that has the name
     of a result, in any case of letters, is replaced by it.
     """
     prepare(df.sparkSession)
@@ -106,13 +146,16 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
-        for batch in batches:
-            for part in slices(batch, text):
-                work = work or make()
-                made = work(texts_of(part.column(place)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(n) for n in names] + list(made), names + [f.name for f in results]
-                )
+        try:
+            for batch in batches:
+                for part in slices(batch, text):
+                    work = work or make()
+                    made = work(texts_of(part.column(place)))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(n) for n in names] + list(made), names + [f.name for f in results]
+                    )
+        finally:
+            getattr(work, "close", int)()
 
     return df.mapInArrow(run, T.StructType([*kept, *results]))
 
