@@ -14,10 +14,10 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections import Counter
 from collections.abc import Sequence
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +32,10 @@ from .word_bpe import byte_characters
 
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 WHITE = _BLANKS.replace(SPACE, "")
-REMEMBERED = 128 << 20
+REMEMBERED = 256 << 20
 # Id pairs of texts that are measured together in one task.
 BLOCK_PAIRS = 1 << 20
+FEW_LINKS = 64
 
 FIELDS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, links array<int>"
 MEASURES = "text_key binary, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -52,9 +53,14 @@ class Aligner:
         with open(path_a, encoding="utf-8") as file:
             vocabulary = json.load(file)["model"]["vocab"]
         byte_of = {c: b for b, c in byte_characters().items()}
-        self.bytes_a = {i: bytes(byte_of[c] for c in t) for t, i in vocabulary.items() if all(c in byte_of for c in t)}
+        self.bytes_a = [b""] * (1 + max(vocabulary.values()))
+        for t, i in vocabulary.items():
+            if all(c in byte_of for c in t):
+                self.bytes_a[i] = bytes(byte_of[c] for c in t)
         self.b = encoder(path_b)
         self.bytes_b = self.b.model.bytes
+        self.sizes_a, self.sizes_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.names_a, self.names_b = list(map(str, range(len(self.bytes_a)))), list(map(str, range(len(self.bytes_b))))
         self.known = Remembered(remembered)
         # White space that a piece may have behind a character does not begin a part.
         inside = "".join(c for c in WHITE if any(c in t[1:] and re.search(f"[^{_BLANKS}]{c}", t) for t in self.b.model.ids))
@@ -62,38 +68,57 @@ class Aligner:
         self.parts = re.compile(f"[{WHITE}]*[^{WHITE}]+{more}|[{WHITE}]+")
 
     def align(self, part: str, a: Sequence[int], b: Sequence[int]):
-        """(tokens of A, of B, groups, links, the groups as text, id pairs, links of each pair); none if the bytes differ."""
+        """(tokens of A, of B, groups, links, the groups as text, id pairs, their links); none if the bytes differ.
+
+        Pairs and links are 64-bit numbers in bytes; links are None where each pair is linked once.
+        """
         whole = part.encode("utf-8")
-        texts_a, texts_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(texts_a) != whole or b"".join(texts_b) != whole:
+        if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
             return None
-        shown, links = [], Counter()
-        i = j = at_a = at_b = from_a = from_b = n_links = 0
-        while i < len(a) or j < len(b):
-            if at_a <= at_b and i < len(a):
-                at_a += len(texts_a[i])
-                i += 1
-            else:
-                at_b += len(texts_b[j])
-                j += 1
-            if at_a == at_b:
-                group_a, group_b = a[from_a:i], b[from_b:j]
-                shown.append(f"{','.join(map(str, group_a))}|{','.join(map(str, group_b))}")
-                n_links += len(group_a) * len(group_b)
-                if len(group_a) == len(group_b) == 1:
-                    links[group_a[0] << 32 | group_b[0]] += 1
-                else:  # equal ids of a long group count once on each side
-                    times_b = Counter(group_b).items()
-                    for x, m in Counter(group_a).items():
-                        for y, n in times_b:
-                            links[x << 32 | y] += m * n
-                from_a, from_b = i, j
-        return len(a), len(b), len(shown), n_links, ";".join(shown), tuple(links), tuple(links.values())
+        size_a, size_b, name_a, name_b = self.sizes_a, self.sizes_b, self.names_a, self.names_b
+        shown, pairs, repeated = [], [], None
+        i = j = n_links = 0
+        while i < len(a):
+            x, y = a[i], b[j]
+            i += 1
+            j += 1
+            if size_a[x] == size_b[y]:
+                shown.append(f"{name_a[x]}|{name_b[y]}")
+                pairs.append(x << 32 | y)
+                n_links += 1
+                continue
+            from_a, from_b, ahead = i - 1, j - 1, size_a[x] - size_b[y]
+            while ahead:
+                if ahead < 0:
+                    ahead += size_a[a[i]]
+                    i += 1
+                else:
+                    ahead -= size_b[b[j]]
+                    j += 1
+            group_a, group_b = a[from_a:i], b[from_b:j]
+            shown.append(f"{','.join([name_a[x] for x in group_a])}|{','.join([name_b[y] for y in group_b])}")
+            links = len(group_a) * len(group_b)
+            n_links += links
+            if links <= FEW_LINKS:
+                pairs += [x << 32 | y for x in group_a for y in group_b]
+                continue
+            # Equal ids of a long group count once on each side.
+            repeated = Counter() if repeated is None else repeated
+            times_b = Counter(group_b).items()
+            for x, m in Counter(group_a).items():
+                for y, n in times_b:
+                    repeated[x << 32 | y] += m * n
+        links = None
+        if repeated is not None or len(set(pairs)) < len(pairs):
+            counted = Counter(pairs)
+            counted.update(repeated or {})
+            pairs, links = list(counted), np.fromiter(counted.values(), np.int64, len(counted)).tobytes()
+        return len(a), len(b), len(shown), n_links, ";".join(shown), array("q", pairs).tobytes(), links
 
     def learn(self, parts: list[str]) -> None:
         for part, a in zip(parts, self.a.encode_batch_fast(parts, add_special_tokens=False)):
             found = self.align(part, a.ids, self.b.encode_part(part.replace(" ", SPACE)))
-            self.known.put(part, found, len(found[4]) + 24 * len(found[5]) + 300 if found else 0)
+            self.known.put(part, found, len(found[4]) + 2 * len(found[5]) + 150 if found else 0)
 
     def work(self, texts: pa.Array) -> list[pa.Array]:
         """The arrays of ``FIELDS`` for texts. One whose bytes differ from either side's tokens has no tokens."""
@@ -115,12 +140,16 @@ class Aligner:
             n_a, n_b, groups, n_links, shown, ids, times = zip(*found)
             counts.append((sum(n_a), sum(n_b), sum(groups), sum(n_links)))
             digests.append(hashlib.sha256(";".join(shown).encode()).hexdigest())
-            sizes.append(sum(map(len, ids)))
+            sizes.append(sum(map(len, ids)) // 8)
             pairs += ids
             links += times
-        total = sum(sizes)
-        key = np.fromiter(chain.from_iterable(pairs), np.int64, total)
-        times = np.fromiter(chain.from_iterable(links), np.int64, total)
+        key = np.frombuffer(b"".join(pairs), np.int64)
+        times = np.ones(len(key), np.int64)
+        ends = np.cumsum(np.fromiter(map(len, pairs), np.int64, len(pairs))) // 8
+        for k, several in enumerate(links):
+            if several is not None:
+                times[ends[k] - len(several) // 8 : ends[k]] = np.frombuffer(several, np.int64)
+        total = len(key)
         text = np.repeat(np.arange(len(texts)), sizes)
         order = np.lexsort((key, text))
         key, times, text = key[order], times[order], text[order]
