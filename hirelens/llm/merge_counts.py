@@ -16,20 +16,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import Remembered, map_texts
 from .trie_bpe import VOCABULARY
 from .word_bpe import Vocabulary, vocabulary
 
-REMEMBERED = 500_000
+# Bytes of counts remembered between a task's batches, of pieces and of their words; they change no result.
+REMEMBERED = 192 << 20
 SYMBOLS_AT_ONCE = 2_000_000
 NONE = np.iinfo(np.int64).max
 
 
 class MergeCounter:
     def __init__(self, vocab: Vocabulary, remembered: int = REMEMBERED):
-        self.vocab, self.remembered = vocab, remembered
-        self.known: dict[str, int] = dict.fromkeys(vocab.special, 1)
-        self.pieces: dict[str, int] = {}
+        self.vocab = vocab
+        self.known, self.pieces = Remembered(remembered // 2), Remembered(remembered // 2)
         pairs = np.array([(a << 32 | b, r, t) for (a, b), (r, t) in vocab.merges.items()], np.int64)
         pairs = pairs[np.argsort(pairs[:, 0])]
         self.keys, self.ranks, self.made = pairs.T.copy()
@@ -72,25 +72,29 @@ class MergeCounter:
             part.append(word)
             held += len(word)
             if held > SYMBOLS_AT_ONCE:
-                self.known.update(zip(part, self.survivors(part).tolist()))
+                self._count(part)
                 part, held = [], 0
         if part:
-            self.known.update(zip(part, self.survivors(part).tolist()))
+            self._count(part)
+
+    def _count(self, words: list[str]) -> None:
+        for word, n in zip(words, self.survivors(words).tolist()):
+            self.known.put(word, n)
 
     def count(self, texts: Sequence[str]) -> list[int]:
         lists = [self.vocab.pieces(t) for t in texts]
-        distinct = set().union(*lists)
-        new = distinct - self.pieces.keys()
-        if len(self.pieces) + len(new) > self.remembered:
-            self.pieces, self.known = {}, dict.fromkeys(self.vocab.special, 1)
-            new = distinct
-        words = {p: self.vocab.words(p) for p in new}
-        self.learn(set().union(*words.values()) - self.known.keys())
-        known = self.known.__getitem__
-        self.pieces.update((p, sum(map(known, ws))) for p, ws in words.items())
-        look_up = self.pieces.__getitem__
+        words = {p: self.vocab.words(p) for p in self.pieces.missing(set().union(*lists))}
+        self.learn(self.known.missing(set().union(*words.values()) - self.vocab.special.keys()))
+        known = self.known.young
+        for p, ws in words.items():
+            self.pieces.put(p, sum(known.get(w, 1) for w in ws))  # a special token is one
+        look_up = self.pieces.young.__getitem__
         return [sum(map(look_up, cut)) for cut in lists]
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.pieces.clear()
+
 
 @lru_cache(maxsize=2)
 def counter(path: str) -> MergeCounter:
@@ -114,6 +118,7 @@ def count_tokens(
                 pa.array(tokens.count(texts.to_pylist()), pa.int64()),
             ]
 
+        work.close = tokens.forget
         return work
 
     counted = map_texts(df, column, "n_bytes long, n_tokens long", make, keep)

@@ -78,8 +78,7 @@ def features(texts: pa.Array) -> np.ndarray:
     _, later = rolling.repeats(words.hashes ^ rolling.mix(words.text.astype(np.uint64)))
     line_starts, line_ends = rolling.runs(data != 10, offsets)
     line_text = np.searchsorted(offsets, line_starts, "right") - 1
-    sums = rolling.prefix_sums(data.astype(np.uint64) + np.uint64(1), rolling.BASE)
-    keys = rolling.stretch_hashes(sums, line_starts, line_ends, rolling.BASE)
+    keys = rolling.byte_hashes(data, line_starts, line_ends)
     _, again = rolling.repeats(keys ^ rolling.mix(line_text.astype(np.uint64)))
     columns = {name: total(table) / size for name, table in BYTES.items()}
     columns |= {
@@ -160,14 +159,22 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of at most ``rows`` labelled documents that are not held out."""
-    usable = labels.where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).select("doc_id", "quality")
-    chosen = usable.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``rows`` rows of two numbers
-    measured = with_features(joined, ["quality"]).toPandas()
-    x = np.array(measured["features"].tolist(), float).reshape(-1, len(NAMES))
-    order = np.lexsort(x.T)  # the same order whatever the partitions
-    return x[order], measured["quality"].to_numpy()[order]
+    """Features and labels of at most ``rows`` labelled documents that are not held out.
+
+    Ids whose labels contradict each other are left out. Of more documents, as where ids repeat, those of the
+    least hashes of id and text are taken, so that the sample is the same each time.
+    """
+    usable = labels.where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).groupBy("doc_id")
+    agreed = usable.agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").drop("most")
+    place = F.xxhash64("doc_id").alias("place")
+    chosen = agreed.orderBy(place, "doc_id").limit(rows)
+    joined = docs.select("doc_id", "text", F.md5("text").alias("digest")).join(F.broadcast(chosen), "doc_id")  # ``rows`` rows of two numbers
+    measured = with_features(joined, ["doc_id", "digest", "quality"]).orderBy(place, "doc_id", "digest").limit(rows)
+    found = measured.select("features", "quality").toPandas()
+    x = np.array(found["features"].tolist(), float).reshape(-1, len(NAMES))
+    y = found["quality"].to_numpy()
+    order = np.lexsort((y, *x.T))  # the same order whatever the partitions
+    return x[order], y[order]
 
 
 def with_features(df: DataFrame, keep: Sequence[str] | None = None, column: str = "text") -> DataFrame:
@@ -190,7 +197,11 @@ def score(df: DataFrame, model: Model, column: str = "text", keep: Sequence[str]
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of documents; the labels of held-out rows are not used."""
+    """doc_id, held_out, score and predicted, one row for each row of ``docs``; the labels of held-out rows are not used.
+
+    Null and empty texts are scored as texts without words, long ones whole; repeated ids and texts are scored each. Without
+    labels of both kinds all scores are above the threshold. Empty tables give no rows; other columns are not read.
+    """
     scored = score(docs.select("doc_id", "text"), fit(*training_sample(docs, labels)), keep=["doc_id"])
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")

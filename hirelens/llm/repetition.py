@@ -45,13 +45,11 @@ def measure_texts(texts: pa.Array, lengths: Sequence[int] = LENGTHS) -> list[pa.
     # Lines that have a word, equal to an earlier line of the text.
     line_starts, line_ends = rolling.runs(data != 10, offsets)
     line_text = np.searchsorted(offsets, line_starts, "right") - 1
-    sums = rolling.prefix_sums(data.astype(np.uint64) + np.uint64(1), rolling.BASE)
     first = np.searchsorted(words.starts, line_starts)
     last = np.searchsorted(words.starts, line_ends)
     real = last > first
-    line_key = rolling.stretch_hashes(sums, line_starts, line_ends, rolling.BASE)[real]
     line_text = line_text[real]
-    _, later = rolling.repeats(line_key ^ rolling.mix(line_text.astype(np.uint64)))
+    later = _seen_before(data.tobytes(), line_starts[real], line_ends[real], line_text)
     sum_chars = np.append(0, np.cumsum(chars))
     line_chars = (sum_chars[last] - sum_chars[first])[real]
     n_dup_lines = rolling.per_text(later.astype(float), line_text, n)
@@ -75,6 +73,23 @@ def measure_texts(texts: pa.Array, lengths: Sequence[int] = LENGTHS) -> list[pa.
     return [*(pa.array(x, pa.int64()) for x in whole), per]
 
 
+def _seen_before(data: bytes, starts: np.ndarray, ends: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """For each line whether its bytes stood in its text before."""
+    later = np.zeros(len(starts), bool)
+    seen: set[bytes] = set()
+    of = -1
+    for k, (a, b, t) in enumerate(zip(starts.tolist(), ends.tolist(), text.tolist())):
+        if t != of:
+            seen.clear()
+            of = t
+        line = data[a:b]
+        if line in seen:
+            later[k] = True
+        else:
+            seen.add(line)
+    return later
+
+
 def measure(df: DataFrame, column: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
     """``df`` with the measures in ``FIELDS``. Null and empty texts measure zero. Same-named columns are replaced."""
     return map_texts(df, column, FIELDS, lambda: measure_texts, keep)

@@ -1,16 +1,17 @@
 """Hashes of words and of word or byte windows of many texts at once, in numpy.
 
 A text column is one array of bytes. The hash of a stretch is a difference of prefix sums, with weights
-of an odd base so that they can be divided out modulo 2^64, mixed at the end.
+of an odd base so that they can be divided out modulo 2^64, mixed at the end. Windows have a few words each; long stretches
+of bytes are hashed otherwise.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 BASE = 0x9E3779B97F4A7C15
 STEP = 0xD6E8FEB86659FD93
@@ -23,16 +24,24 @@ SMALL = np.arange(256, dtype=np.uint8)
 SMALL[65:91] += 32
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, size: int) -> np.ndarray:
-    out = np.full(size, base & M64, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+# The powers of each base so far, up to so many; more are made anew for a longer text.
+HELD = 1 << 20
+_held: dict[int, np.ndarray] = {}
+# Stretches of so many bytes and more are hashed one by one: sums modulo 2^64 are equal for some long unlike stretches.
+LONG = 256
 
 
 def powers(base: int, size: int) -> np.ndarray:
-    """base^0, base^1, ... modulo 2^64; whole powers of two are kept."""
-    return _powers(base & M64, 1 << max(12, int(size - 1).bit_length()))[:size]
+    """base^0, base^1, ... modulo 2^64. One array for each base is kept, and no more than ``HELD`` numbers of it."""
+    base &= M64
+    found = _held.get(base)
+    if found is None or len(found) < size:
+        found = np.full(max(size, 1 << 12), base, np.uint64)
+        found[0] = 1
+        np.multiply.accumulate(found, out=found)
+        if size <= HELD:
+            _held[base] = found
+    return found[:size]
 
 
 def inverse(base: int) -> int:
@@ -59,6 +68,15 @@ def stretch_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, base:
     return mix((sums[ends] - sums[starts]) * powers(inverse(base), len(sums))[starts])
 
 
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ``data[start:end]``; a long stretch's is XXH3's."""
+    sums = prefix_sums(data.astype(np.uint64) + np.uint64(1), BASE)
+    hashes = stretch_hashes(sums, starts, ends, BASE)
+    for k in np.flatnonzero(ends - starts >= LONG):
+        hashes[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]])
+    return hashes
+
+
 def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts, and the offsets of each text in them (one more than there are texts)."""
     if len(texts) == 0:
@@ -96,8 +114,7 @@ class Words(NamedTuple):
 def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     starts, ends = runs(~SPACE[data], offsets)
     text = np.searchsorted(offsets, starts, "right") - 1
-    sums = prefix_sums(data.astype(np.uint64) + np.uint64(1), BASE)
-    hashes = stretch_hashes(sums, starts, ends, BASE)
+    hashes = byte_hashes(data, starts, ends)
     return Words(starts, ends, text, hashes, np.searchsorted(text, np.arange(len(offsets))))
 
 

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from .common import map_texts, prepare, written
 from .components import components
-from .shingle_join import near_copies
 
 BITS = 64
 SEED = 42
@@ -34,8 +33,8 @@ ROW_COST = 64.0
 # --- fingerprints ---------------------------------------------------------------------------
 
 
-def fingerprint(text: bytes, size: int = 3, seed: int = SEED, distinct: bool = False) -> int:
-    """Majority bits of the XXH64 of all shingles, repeats included unless ``distinct``."""
+def fingerprint(text: bytes, size: int = 3, seed: int = SEED) -> int:
+    """Majority bits of the XXH64 of all shingles, repeats included."""
     words = text.lower().split()
     if not words:
         return 0
@@ -43,8 +42,6 @@ def fingerprint(text: bytes, size: int = 3, seed: int = SEED, distinct: bool = F
         shingles = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*(words[k:] for k in range(size))))
-    if distinct:
-        shingles = set(shingles)
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(s, seed) for s in shingles], np.uint64)
     ones = np.zeros(BITS, np.int64)
@@ -54,13 +51,11 @@ def fingerprint(text: bytes, size: int = 3, seed: int = SEED, distinct: bool = F
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(
-    df: DataFrame, column: str = "text", size: int = 3, distinct: bool = False, keep: Sequence[str] | None = None
-) -> DataFrame:
+def fingerprints(df: DataFrame, column: str = "text", size: int = 3, keep: Sequence[str] | None = None) -> DataFrame:
     """``df`` with the fingerprint ``fp`` (long) of each text; null and empty texts have fingerprint 0."""
 
     def work(texts: pa.Array):
-        found = [fingerprint(t, size, SEED, distinct) for t in texts.cast(pa.binary()).to_pylist()]
+        found = [fingerprint(t, size) for t in texts.cast(pa.binary()).to_pylist()]
         return [pa.array(np.array(found, np.uint64).view(np.int64))]
 
     return map_texts(df, column, "fp long", lambda: work, keep)
@@ -285,43 +280,8 @@ def links_in_bucket(fp: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
     return fp[rest], fp[label[rest]]
 
 
-def best_links(fp: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
-    """The links of one bucket that are worth a comparison of texts: all of them, or where there are many more
-    than fingerprints, a shortest spanning tree of each cluster."""
-    n, step = len(fp), max(1, 4_000_000 // len(fp))
-    a, b, many = [], [], False
-    for k in range(0, n, step):
-        u, v = np.nonzero(np.bitwise_count(fp[k : k + step, None] ^ fp[None, :]) <= tau)
-        u, v = u[v > u + k] + k, v[v > u + k]
-        a.append(u)
-        b.append(v)
-        if sum(map(len, a)) > 4 * n:
-            many = True
-            break
-    if not many:
-        return fp[np.concatenate(a)], fp[np.concatenate(b)]
-    left, near, by = np.ones(n, bool), np.full(n, BITS + 1), np.zeros(n, np.int64)
-    tree_a, tree_b = [], []
-    at = 0
-    for _ in range(n):
-        left[at] = False
-        distance = np.bitwise_count(fp ^ fp[at]).astype(np.int64)
-        closer = distance < near
-        near[closer], by[closer] = distance[closer], at
-        if not left.any():
-            break
-        at = int(np.argmin(np.where(left, near, BITS + 2)))
-        if near[at] <= tau:
-            tree_a.append(by[at])
-            tree_b.append(at)
-    return fp[np.array(tree_a, np.int64)], fp[np.array(tree_b, np.int64)]
-
-
-def links(rows: DataFrame, tau: int, partitions: int | None = None, in_bucket=links_in_bucket) -> DataFrame:
-    """(a, b): fingerprints joined within buckets. Clusters come whole, not necessarily all their pairs.
-
-    ``in_bucket`` gives the links of a bucket of more than ``SMALL`` rows.
-    """
+def links(rows: DataFrame, tau: int, partitions: int | None = None) -> DataFrame:
+    """(a, b): fingerprints joined within buckets. Clusters come whole, not necessarily all their pairs."""
     keys = ["part", "value", "one", "two"]
     count = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = cut_large(rows).repartition(count, *keys).sortWithinPartitions(*keys, "fp")
@@ -331,7 +291,7 @@ def links(rows: DataFrame, tau: int, partitions: int | None = None, in_bucket=li
         first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1)))
         size = np.diff(np.append(first, len(fp)))
         for start, n in zip(first[size > SMALL], size[size > SMALL]):
-            u, v = in_bucket(np.unique(fp[start : start + n]), tau)
+            u, v = links_in_bucket(np.unique(fp[start : start + n]), tau)
             a.append(u)
             b.append(v)
         left = np.repeat(np.where(size <= SMALL, first + size, 0), size)  # where the bucket ends, for small ones
@@ -367,55 +327,66 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
 
-def linked(fps: DataFrame, tau: int = 3, parts: int | None = None, in_bucket=links_in_bucket) -> DataFrame:
+def linked(fps: DataFrame, tau: int = 3, parts: int | None = None) -> DataFrame:
     """(a, b): links between the distinct fingerprints ``fps``, written to the shared folder."""
     count = fps.count()
     dealt = group_bits(bit_table(fps), count, parts or parts_for(count, tau))
     rows = probes(fps, dealt, block_counts(fps, dealt), count, tau)
-    return written(links(rows, tau, in_bucket=in_bucket), "fp_links")
+    return written(links(rows, tau), "fp_links")
+
+
+def rooted(rows: DataFrame, size: int = 3, tau: int = 3, parts: int | None = None) -> DataFrame:
+    """``rows`` (id, text, and further columns to keep) with fp, root and component_id in place of the text.
+
+    ``root`` is the smallest fingerprint that can be reached and names the component, ``component_id`` its smallest id.
+    """
+    prepare(rows.sparkSession)
+    marked = written(fingerprints(rows, "text", size, keep=[c for c in rows.columns if c != "text"]), "fingerprints")
+    named = written(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct_fps")
+    found = linked(named.select("fp"), tau, parts)
+    reached = named.join(components(found).select(F.col("node").alias("fp"), "root"), "fp", "left")
+    reached = reached.withColumn("root", F.coalesce("root", "fp"))
+    least = reached.groupBy("root").agg(F.min("least").alias("component_id"))
+    grouped = written(reached.select("fp", "root").join(least, "root").select("fp", "root", "component_id"), "fp_components")
+    return marked.join(grouped, "fp")
 
 
 def near_duplicates(
-    df: DataFrame, id_column: str = "doc_id", column: str = "text", size: int = 3, tau: int = 3, parts: int | None = None,
-    distinct: bool = False,
-) -> DataFrame:
+    df: DataFrame, id_column: str = "doc_id", column: str = "text", size: int = 3, tau: int = 3, parts: int | None = None
+) -> DataFrame:
     """(id, fp, component_id) of every row; component_id is the smallest id that can be reached.
 
     Texts with equal fingerprints are one node. Null ids keep their row and count only where a component has no
-    other id. Null and empty texts have fingerprint 0 and are linked like any other. Repeated rows stay.
+    other id. Null and empty texts have fingerprint 0 and are linked like any other, long texts are taken whole. Repeated
+    rows stay. An empty table gives an empty table; other columns are not read.
     """
-    prepare(df.sparkSession)
     rows = df.select(F.col(id_column).alias("id"), F.col(column).alias("text"))
-    marked = written(fingerprints(rows, "text", size, distinct, keep=["id"]), "fingerprints")
-    named = written(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct_fps")
-    found = linked(named.select("fp"), tau, parts)
-    rooted = named.join(components(found).select(F.col("node").alias("fp"), "root"), "fp", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    grouped = written(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "fp_components")
-    return marked.join(grouped, "fp").select(F.col("id").alias(id_column), "fp", "component_id")
+    found = rooted(rows, size, tau, parts)
+    return found.select(F.col("id").alias(id_column), "fp", "component_id")
 
 
-def keep_one(
-    docs: DataFrame, id_column: str = "doc_id", column: str = "text", verify: tuple[int, float] | None = None, **options
-) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each group the row with the smallest id stays, with its columns.
+def keep_one(docs: DataFrame, id_column: str = "doc_id", column: str = "text", **options) -> DataFrame:
+    """One row of each component of ``docs``, with its columns: the one of the smallest id, null ids last.
 
-    With ``verify`` = (words, similarity), groups are those of texts with that Jaccard similarity on shingles of so many
-    words, without a fingerprint deciding which texts are compared (see ``shingle_join``); the options of
-    ``near_duplicates`` have no part in that. Of rows with one id, one stays. Rows without an id cannot be named and stay.
+    Of rows with that id the one with the least digest of its text stays, of equal texts the one with the least hash of all
+    columns. Rows of one id in different components are different documents: each component keeps its own.
     """
-    named = docs.where(F.col(id_column).isNotNull())
-    if verify:
-        prepare(docs.sparkSession)
-        rows = named.select(F.col(id_column).alias("id"), F.col(column).alias("text"))
-        found = near_copies(rows, *verify).withColumnRenamed("id", id_column)
-    else:
-        found = near_duplicates(named, id_column, column, **options)
-    chosen = found.where(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("__id")).distinct()
-    chosen = written(chosen, "chosen")
-    kept = docs.join(chosen, docs[id_column] == F.col("__id"), "left_semi")
-    return kept.dropDuplicates([id_column]).unionAll(docs.where(F.col(id_column).isNull()))
+    digest = F.md5(F.coalesce(F.col(column), F.lit("")))
+    rows = docs.select(F.col(id_column).alias("id"), F.col(column).alias("text"), digest.alias("digest"))
+    found = rooted(rows, **options)
+    first = F.struct(F.col("id").isNull(), "id", "digest").alias("key")
+    counted = found.groupBy("root", first).agg(F.count(F.lit(1)).alias("n"))
+    chosen = counted.groupBy("root").agg(F.min(F.struct("key", "n")).alias("least"))
+    chosen = written(chosen.select(F.col("least.key.id").alias("__id"), F.col("least.key.digest").alias("__digest"), F.col("least.n").alias("__n")), "chosen")
+
+    def of(keys: DataFrame) -> DataFrame:
+        same = docs[id_column].eqNullSafe(F.col("__id")) & (digest == F.col("__digest"))
+        return docs.join(keys, same, "left_semi")
+
+    several = of(chosen.where("__n > 1")).select(F.struct("*").alias("__row"), F.col(id_column).alias("__id"), digest.alias("__digest"))
+    # Equal texts have equal fingerprints, so an id and a text belong to one component.
+    several = several.groupBy("__id", "__digest").agg(F.min_by("__row", F.xxhash64("__row")).alias("__row")).select("__row.*")
+    return of(chosen.where("__n = 1")).unionAll(several)
 
 
 def fingerprint_rows(df: DataFrame) -> DataFrame:

@@ -34,8 +34,7 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = rolling.bytes_of(texts)
     small = rolling.SMALL[data]
     starts, ends = rolling.runs(WORD_BYTE[small], offsets)
-    sums = rolling.prefix_sums(small.astype(np.uint64) + np.uint64(1), rolling.BASE)
-    hashes = rolling.stretch_hashes(sums, starts, ends, rolling.BASE)
+    hashes = rolling.byte_hashes(small, starts, ends)
     return hashes, np.searchsorted(starts, offsets)
 
 
@@ -254,11 +253,16 @@ def overlaps(
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that overlap with no benchmark item. Rows without an id cannot be named and stay."""
-    hit = overlaps(docs, benchmark, doc_id, column=column).select(F.col("doc").alias("__doc")).distinct()
-    hit = written(hit, "contaminated")
-    return docs.join(hit, docs[doc_id] == F.col("__doc"), "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text overlaps with no benchmark item, with their columns as they were.
+
+    A row is judged by its text alone, whatever its id: copies go together, rows without an id or with that of
+    another row are judged like any other. Null and empty texts stay, as do all rows if the benchmark is empty.
+    """
+    digest = F.md5(F.coalesce(F.col(column), F.lit("")))
+    texts = docs.select(digest.alias("digest"), F.col(column).alias("text"))
+    hit = overlaps(texts, benchmark, "digest").select(F.col("doc").alias("__digest")).distinct()
+    return docs.join(written(hit, "contaminated"), digest == F.col("__digest"), "left_anti")
 
 
 def pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -18,12 +18,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, uncollected
+from .common import Remembered, map_texts, uncollected
 from .word_bpe import Vocabulary, vocabulary
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-# Encodings remembered between batches; beyond that only those that came up again stay, which changes no result.
-REMEMBERED = 400_000
+# Bytes of encodings remembered between a task's batches, of pieces and of their words; they change no result.
+REMEMBERED = 192 << 20
 PAIRS = 1_000_000
 NEVER = 1 << 60
 
@@ -40,9 +40,8 @@ class Ending:
 
 class TrieEncoder:
     def __init__(self, vocab: Vocabulary, remembered: int = REMEMBERED):
-        self.vocab, self.remembered = vocab, remembered
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.vocab = vocab
+        self.known, self.pieces = Remembered(remembered // 2), Remembered(remembered // 2)
         self.tokens = self._tokens()
         self.beginnings = {symbols[:n] for symbols in self.tokens for n in range(len(symbols) + 1)}
         # For each token the tokens before it, and whether they stay apart.
@@ -129,7 +128,7 @@ class TrieEncoder:
                         found.append(token[depth])
                         depth -= size[depth]
                     found.reverse()
-                    self.known[node] = tuple(found)
+                    self.known.put(node, tuple(found), 8 * len(found))
                     break
                 depth += 1
                 after = end.after
@@ -141,22 +140,20 @@ class TrieEncoder:
 
     def encode(self, texts: Sequence[str]) -> list[list[int]]:
         lists = [self.vocab.pieces(t) for t in texts]
-        distinct = set().union(*lists)
-        new = distinct - self.pieces.keys()
-        if len(self.pieces) + len(new) > self.remembered:
-            # What came up again stays.
-            self.pieces = {p: self.pieces[p] for p in distinct - new}
-            self.known = {}
-        words = {p: self.vocab.words(p) for p in new}
+        words = {p: self.vocab.words(p) for p in self.pieces.missing(set().union(*lists))}
         special = self.vocab.special
-        self.known.update((s, (i,)) for s, i in special.items())
-        self.learn(set().union(*words.values()) - self.known.keys())
-        known = self.known
+        self.learn(self.known.missing(set().union(*words.values()) - special.keys()))
+        known = self.known.young
         for p, ws in words.items():
-            self.pieces[p] = known[ws[0]] if len(ws) == 1 else tuple(i for w in ws for i in known[w])
-        pieces = self.pieces
+            ids = tuple(chain.from_iterable(known[w] if w in known else (special[w],) for w in ws))
+            self.pieces.put(p, ids, 8 * len(ids))
+        pieces = self.pieces.young
         return [list(chain.from_iterable(map(pieces.__getitem__, cut))) for cut in lists]
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.pieces.clear()
+
     def decode(self, ids: Sequence[int]) -> str:
         """The tokens' texts joined by spaces: the vocabulary file names no decoder."""
         return " ".join(map(self.vocab.texts.__getitem__, ids))
@@ -173,7 +170,7 @@ def encode(
     """``df`` with ``ids`` (array of int) and ``decoded`` (text), the round trip of each text in ``column``.
 
     Null and empty texts give no ids and the empty text. Repeated rows are encoded alike. Columns named
-    ids or decoded are replaced. ``remembered`` bounds a task's memory of encodings and changes no result.
+    ids or decoded are replaced. ``remembered`` bounds the bytes of a task's memory of encodings and changes no result.
     """
 
     def make():
@@ -188,6 +185,7 @@ def encode(
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
             return [ids, pa.array([coder.decode(x) for x in lists], pa.string())]
 
+        work.close = coder.forget
         return work
 
     return map_texts(df, column, "ids array<int>, decoded string", make, keep)
