@@ -551,15 +551,20 @@ def brute_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if hashes else 0
 
 
+def cut_words(text):
+    return re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+
+
 def brute_contaminated(text, items):
-    """Whether a stretch of the text matches an item in at least as many words as needed, by trying every diagonal."""
-    cut = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
-    words = cut(text)
-    for item in map(cut, items):
-        for shift in range(1 - len(item), len(words)) if item else ():
+    """Whether a stretch of the text matches an item in as many words as needed, on any diagonal with that many matches."""
+    words, places = cut_words(text), {}
+    for k, w in enumerate(words):
+        places.setdefault(w, []).append(k)
+    for item in items:
+        need = spaced_seeds.needed(len(item), spaced_seeds.LEAST_WORDS)
+        for shift, n in Counter(p - k for k, w in enumerate(item) for p in places.get(w, ())).items():
             a, b = max(0, -shift), min(len(item), len(words) - shift)
-            same = np.array([item[k] == words[k + shift] for k in range(a, b)])
-            if spaced_seeds.best_stretch(same)[0] >= spaced_seeds.needed(len(item), spaced_seeds.LEAST_WORDS):
+            if n >= need and spaced_seeds.best_stretch(np.array([item[k] == words[k + shift] for k in range(a, b)]))[0] >= need:
                 return True
     return False
 
@@ -569,7 +574,7 @@ def test_pipeline_equals_brute_force(spark, docs, library):
     good = {i: t for i, t in rows.items() if brute_kept(t or "")}
     prints = {i: brute_fingerprint(t) for i, t in good.items()}
     roots = brute_links(sorted(good), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
-    tests = [r.text for r in table(spark, SF, "benchmark").collect()]
+    tests = [cut_words(r.text) for r in table(spark, SF, "benchmark").collect()]
     want = {}
     for i in good:
         if roots[i] == i and not brute_contaminated(good[i], tests):
@@ -671,7 +676,8 @@ def brute_divergences(rows, least=10, top=10):
     rank = lambda items: enumerate(sorted(items, key=lambda i: (-i[1], i[0].encode())), 1)
     for lang, sources in groups.items():
         kept = [t for t, n in documents[lang].items() if n >= least]
-        share = lambda c: {t: 1 + 10**9 * (c[t] + 2) // (sum(c[t] for t in kept) + 2 * len(kept)) for t in kept}
+        total = lambda c: sum(c[t] for t in kept) + 2 * len(kept)
+        share = lambda c: (lambda n: {t: 1 + 10**9 * (c[t] + 2) // n for t in kept})(total(c))
         whole, shares = share(sum(sources.values(), Counter())), {s: share(c) for s, c in sources.items()}
         for s, p in shares.items():
             pairs = [(o, sum(far(p[t], q[t]) for t in kept)) for o, q in shares.items() if o != s]
