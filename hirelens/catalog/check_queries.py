@@ -252,13 +252,16 @@ def dq_assert_equal_columns(spark, sf):
 SUMMARY = "SELECT '{name}' AS check_name, failures, CASE WHEN {error} THEN 'error' WHEN {warn} THEN 'warn' ELSE 'pass' END AS status FROM ({count})"
 
 
-@query("dq_columns_match_set", """SELECT CAST(NULL AS VARCHAR) AS relation_column, 'comment' AS input_column, n_rows FROM (SELECT count(*) AS n_rows FROM labels)
-UNION ALL SELECT 'toxic', NULL, count(*) FROM labels""")
+def _filled(columns, table_name, side):
+    """SQL for the columns that only one side has, with their filled rows."""
+    names = {"relation": "'{0}' AS relation_column, CAST(NULL AS VARCHAR) AS input_column", "input": "NULL, '{0}'"}[side]
+    return " UNION ALL ".join(f"SELECT {names.format(c)}, count({c}) AS n_filled FROM {table_name}" for c in columns)
+
+
+@query("dq_columns_match_set", _filled(["quality", "toxic"], "labels", "relation") + " UNION ALL " + _filled(["text", "lang", "source", "n_chars"], "documents", "input"))
 def dq_columns_match_set(spark, sf):
-    """Column names that are not as expected, with the number of rows they concern."""
-    labels = table(spark, sf, "labels")
-    rows = labels.select(F.count(F.lit(1)).alias("n_rows")).scalar()
-    return checks.columns_match_set(labels, ["DOC_ID", "quality", "comment"]).withColumn("n_rows", rows)
+    """Columns that only one of two tables has, with the rows that fill them."""
+    return checks.columns_match(table(spark, sf, "labels"), table(spark, sf, "documents"))
 
 
 @query("dq_severity", " UNION ALL ".join([

@@ -199,14 +199,18 @@ def agg_pivot(spark, sf):
     return reshape.pivot(rows, ["l_returnflag"], "l_linestatus", ["F", "O", "other's"], prefix="n_")
 
 
-@query("agg_pivot_found", """SELECT lang, count(DISTINCT CASE WHEN source = 'src0' THEN n_chars END) AS of_src0,
-  count(DISTINCT CASE WHEN source = 'src1' THEN n_chars END) AS of_src1 FROM documents WHERE source IN ('src0', 'src1') GROUP BY lang""")
+# The sources that the given documents have; the query finds them by itself.
+SOURCES = [f"src{k}" for k in range(20)]
+
+
+@query("agg_pivot_found", "SELECT lang, " + ", ".join(
+    f"count(DISTINCT CASE WHEN source = '{s}' THEN n_chars END) AS of_{s}" for s in SOURCES) + " FROM documents GROUP BY lang")
 def agg_pivot_found(spark, sf):
     """The values are looked up first, the headings made plain, and distinct amounts counted."""
-    rows = table(spark, sf, "documents").where(F.col("source").isin("src0", "src1"))
     return reshape.pivot(
-        rows, ["lang"], "source", agg="count", then_value="n_chars", else_value=None, prefix="of ", slug_names=True, distinct=True
-    )
+        table(spark, sf, "documents"), ["lang"], "source", agg="count", then_value="n_chars", else_value=None, prefix="of ",
+        slug_names=True, distinct=True,
+    )
 
 
 @query("unpivot", """SELECT s_suppkey, field_name, value FROM (

@@ -10,6 +10,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import col
 from .neighbours import _keyed, link_values, repeat_rows
@@ -300,16 +301,29 @@ def relationships_where(
     return orphans.select(F.col(column).alias("id"), F.lit(None).cast(kind).alias("right_id"))
 
 
-def columns_match_set(df: DataFrame, expected: Sequence[str]) -> DataFrame:
-    """Column names found but not expected, or expected but not found, whatever their case."""
-    spark = df.sparkSession
+def filled_rows(df: DataFrame) -> DataFrame:
+    """(column_name, n_filled): a table's columns as rows, in small letters, each with the number of rows that have a value in it."""
+    if not df.columns:
+        return df.sparkSession.createDataFrame([], "column_name string, n_filled bigint")
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(str(k)) for k, c in enumerate(df.columns)])
+    named = [F.struct(F.lit(c.lower()).alias("column_name"), F.col(str(k)).alias("n_filled")) for k, c in enumerate(df.columns)]
+    return counts.select(F.inline(F.array(*named)))
 
-    def names(values, alias):
-        return spark.createDataFrame([(v.lower(),) for v in values], f"{alias} string").distinct()
 
-    found, wanted = names(df.columns, "relation_column"), names(expected, "input_column")
+def columns_match(df: DataFrame, other: DataFrame) -> DataFrame:
+    """Columns that only one of two tables has, whatever their case, with the rows that fill them."""
+    found = filled_rows(df).withColumnRenamed("column_name", "relation_column")
+    wanted = filled_rows(other).withColumnsRenamed({"column_name": "input_column", "n_filled": "__filled"})
     paired = found.join(wanted, F.col("relation_column") == F.col("input_column"), "full")
-    return paired.where(F.col("relation_column").isNull() | F.col("input_column").isNull())
+    lone = paired.where(F.col("relation_column").isNull() | F.col("input_column").isNull())
+    return lone.select("relation_column", "input_column", F.coalesce("n_filled", "__filled").alias("n_filled"))
+
+
+def columns_match_set(df: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """Column names found but not expected, or expected but not found, whatever their case."""
+    spark = df.sparkSession
+    wanted = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in dict.fromkeys(c.lower() for c in expected)]))
+    return columns_match(df.limit(0), wanted).drop("n_filled")
 
 
 # --- result -----------------------------------------------------------------------------------

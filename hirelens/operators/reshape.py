@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import blank_to_null, col
+from .types import superset, widened
 
 # Fixed value: the name that stored unions have for the source of a row.
 SOURCE_COLUMN = "_dbt_source_relation"
@@ -69,34 +70,38 @@ def union_relations(
 ) -> DataFrame:
     """Union of tables with unlike columns, in the order they are first seen.
 
-    A column takes the type it has where it is first seen, or the one in ``column_override``;
-    where a table lacks it the value is NULL.
+    Columns are matched by name, whatever its case. A column takes the superset of its types in all tables (see
+    :func:`hirelens.operators.types.superset`), or the type in ``column_override``; where a table lacks it the value is NULL.
     """
     if include and exclude:
         raise ValueError("give include or exclude, not both")
     keep, drop = _lower(include), _lower(exclude)
-    types: dict[str, str] = {}
+    seen: dict[str, list[T.StructField]] = {}
     for df in tables.values():
         for field in df.schema:
-            name = field.name
-            if name.lower() in drop or (keep and name.lower() not in keep):
-                continue
-            types.setdefault(name, field.dataType.simpleString())
-    if not types:
+            name = field.name.lower()
+            if name not in drop and (not keep or name in keep):
+                seen.setdefault(name, []).append(field)
+    if not seen:
         raise ValueError(f"no columns to union for {', '.join(tables)}")
-    override = column_override or {}
+    override = {c.lower(): kind for c, kind in (column_override or {}).items()}
 
     def aligned(name: str, df: DataFrame) -> DataFrame:
         rows = df if where is None else df.where(where)
         source = [F.lit(name).alias(source_column)] if source_column else []
-        return rows.select(
-            *source,
-            *[
-                (F.col(c) if c in df.columns else F.lit(None)).cast(override.get(c, kind)).alias(c)
-                for c, kind in types.items()
-            ],
-        )
-
+        own = {f.name.lower(): f for f in df.schema}
+        columns = []
+        for key, fields in seen.items():
+            has = own.get(key)
+            value = F.lit(None) if has is None else F.col(f"`{has.name}`")
+            if key in override:
+                value = value.cast(override[key])
+            else:
+                value = widened(value, T.NullType() if has is None else has.dataType, wanted[key])
+            columns.append(value.alias(fields[0].name))
+        return rows.select(*source, *columns)
+
+    wanted = {key: superset([f.dataType for f in fields]) for key, fields in seen.items() if key not in override}
     return reduce(DataFrame.unionAll, [aligned(n, df) for n, df in tables.items()])
 
 

@@ -149,14 +149,18 @@ def enrich(
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for sent in batches:
-            asked_rows = sent[sent.notna()]
-            out = pd.DataFrame({"response": None, "error": None}, index=sent.index, dtype=object)
+            prompts = sent.tolist()
+            asked_rows = [k for k, p in enumerate(prompts) if p is not None]
+            responses: list[str | None] = [None] * len(prompts)
+            errors: list[str | None] = [None] * len(prompts)
             for start in range(0, len(asked_rows), batch_rows):
-                part = asked_rows.iloc[start : start + batch_rows]
-                for at, got in zip(part.index, answer(part.tolist())):
-                    failed = isinstance(got, Exception)
-                    out.at[at, "error" if failed else "response"] = (str(got) or type(got).__name__) if failed else got
-            yield out
+                part = asked_rows[start : start + batch_rows]
+                for k, got in zip(part, answer([prompts[k] for k in part])):
+                    if isinstance(got, Exception):
+                        errors[k] = str(got) or type(got).__name__
+                    else:
+                        responses[k] = got
+            yield pd.DataFrame({"response": responses, "error": errors}, dtype=object)
 
     # A call costs money and need not repeat itself, so the optimizer may neither copy nor move it.
     ask = F.pandas_udf(run, "response string, error string").asNondeterministic()
