@@ -10,6 +10,7 @@ encoded alike.
 from __future__ import annotations
 
 import re
+import string
 from array import array
 from collections.abc import Iterable, Sequence
 from functools import lru_cache
@@ -26,6 +27,8 @@ from .common import Remembered, map_texts, uncollected
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
+# Letters in every tokenizer's eyes, for a class of characters.
+LETTERS = "a-zA-ZÀ-ÖØ-öø-ÿ"
 # Bytes of remembered encodings and number of remembered pairs; neither changes a result.
 REMEMBERED = 128 << 20
 PAIRS = 1_000_000
@@ -143,6 +146,13 @@ def _is_character(data: bytes) -> bool:
         return False
 
 
+def free_marks(model: PieceModel) -> str:
+    """For a class of characters: the ASCII marks that no piece has behind one of ``LETTERS``."""
+    letter = re.compile(f"[{LETTERS}]")
+    bound = {t[k] for t in model.ids for k in range(1, len(t)) if letter.match(t[k - 1])}
+    return re.escape("".join(c for c in string.punctuation if c not in bound)) or "\0"
+
+
 class BacktrackEncoder:
     def __init__(self, model: PieceModel):
         self.model = model
@@ -160,10 +170,12 @@ class BacktrackEncoder:
             self.longest.add_word(text[::-1], i)
             self.shorter[i] = next((self.whole[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in self.whole), -1)
         self.longest.make_automaton()
-        # White space that no piece has behind another character begins a part that is encoded by itself.
+        # White space that no piece has behind another character begins a part that is encoded by itself, and so does a
+        # mark that none has behind a letter.
         inside = {t[k] for t in model.ids for k in range(1, len(t)) if t[k - 1] not in _BLANKS}
         free = "".join(c for c in _BLANKS if c not in inside)
-        self.parts = re.compile(f"[{free}]+[^{free}]*|[^{free}]+")
+        marks = free_marks(model)
+        self.parts = re.compile(f"(?:[{free}]++[^{free}{marks}]*+|[^{free}{marks}]++)(?<=[{LETTERS}])(?=[{marks}])|[{free}]+[^{free}]*|[^{free}]+")
 
     def building(self, piece: int) -> tuple[list[float], list[str], list[str]]:
         """The scores of the merges that make the piece, and what stands at its left and right end before each and at last."""

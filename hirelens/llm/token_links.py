@@ -4,8 +4,8 @@ Texts are brought together by a shuffle on the whole text; each distinct one is
 its tokens are aligned by their bytes. A pair of ids counts with the number of documents that have one of the
 texts in which it is linked. Measures go back to the documents by a digest of the text.
 
-Neither tokenizer has a token across the border from a character to white space behind it, so texts are cut there and
-what comes up again is aligned once in a task.
+Neither tokenizer has a token across the border from a character to white space behind it, or from a letter to most
+marks, so texts are cut there and what comes up again in a Python worker is aligned once, as far as its memory goes.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import os
 import re
 from array import array
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import Remembered, map_texts, prepare, uncollected, written
-from .sentence_pieces import _BLANKS, MODEL, SPACE, encoder
+from .sentence_pieces import _BLANKS, LETTERS, MODEL, SPACE, encoder, free_marks
 from .word_bpe import byte_characters
 
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,6 +36,7 @@ REMEMBERED = 256 << 20
 # Id pairs of texts that are measured together in one task.
 BLOCK_PAIRS = 1 << 20
 FEW_LINKS = 64
+JOINED = 500
 
 FIELDS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, links array<int>"
 MEASURES = "text_key binary, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -60,12 +61,15 @@ class Aligner:
         self.b = encoder(path_b)
         self.bytes_b = self.b.model.bytes
         self.sizes_a, self.sizes_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.sizes_in_a = np.array(self.sizes_a)
         self.names_a, self.names_b = list(map(str, range(len(self.bytes_a)))), list(map(str, range(len(self.bytes_b))))
         self.known = Remembered(remembered)
         # White space that a piece may have behind a character does not begin a part.
         inside = "".join(c for c in WHITE if any(c in t[1:] and re.search(f"[^{_BLANKS}]{c}", t) for t in self.b.model.ids))
         more = f"(?:[{inside}][{WHITE}]*[^{WHITE}]*)*" if inside else ""
-        self.parts = re.compile(f"[{WHITE}]*[^{WHITE}]+{more}|[{WHITE}]+")
+        marks = free_marks(self.b.model)
+        before_mark = f"[{WHITE}]*+[^{WHITE}{marks}]++(?<=[{LETTERS}])(?=[{marks}])"
+        self.parts = re.compile(f"{before_mark}|[{WHITE}]*[^{WHITE}]+{more}|[{WHITE}]+")
 
     def align(self, part: str, a: Sequence[int], b: Sequence[int]):
         """(tokens of A, of B, groups, links, the groups as text, id pairs, their links); none if the bytes differ.
@@ -115,9 +119,28 @@ class Aligner:
             pairs, links = list(counted), np.fromiter(counted.values(), np.int64, len(counted)).tobytes()
         return len(a), len(b), len(shown), n_links, ";".join(shown), array("q", pairs).tobytes(), links
 
+    def encode_a(self, parts: list[str]) -> Iterator[tuple[str, Sequence[int]]]:
+        """Each part with A's ids. Parts that may stand behind each other without changing are encoded in one text."""
+        alone = [p for p in parts if p[0] not in WHITE or p[-1] in WHITE]
+        yield from zip(alone, (e.ids for e in self.a.encode_batch_fast(alone, add_special_tokens=False)))
+        joined = [p for p in parts if p[0] in WHITE and p[-1] not in WHITE]
+        runs = [joined[k : k + JOINED] for k in range(0, len(joined), JOINED)]
+        for run, found in zip(runs, self.a.encode_batch_fast(["".join(run) for run in runs], add_special_tokens=False)):
+            ids = found.ids
+            reached = np.cumsum(self.sizes_in_a[ids])
+            ends = np.cumsum([len(p.encode("utf-8")) for p in run])
+            to = np.searchsorted(reached, ends)
+            if to[-1] >= len(reached) or (reached[to] != ends).any():
+                yield from zip(run, (e.ids for e in self.a.encode_batch_fast(run, add_special_tokens=False)))
+                continue
+            begin = 0
+            for part, end in zip(run, (to + 1).tolist()):
+                yield part, ids[begin:end]
+                begin = end
+
     def learn(self, parts: list[str]) -> None:
-        for part, a in zip(parts, self.a.encode_batch_fast(parts, add_special_tokens=False)):
-            found = self.align(part, a.ids, self.b.encode_part(part.replace(" ", SPACE)))
+        for part, a in self.encode_a(parts):
+            found = self.align(part, a, self.b.encode_part(part.replace(" ", SPACE)))
             self.known.put(part, found, len(found[4]) + 2 * len(found[5]) + 150 if found else 0)
 
     def work(self, texts: pa.Array) -> list[pa.Array]:
@@ -179,13 +202,7 @@ def aligned_texts(df: DataFrame, column: str = "text", path_a: str = BYTE_LEVEL,
     distinct = df.select(F.coalesce(F.col(column), F.lit("")).alias("text")).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
 
     def make():
-        both = aligner(path_a, path_b)
-
-        def work(texts: pa.Array):
-            return both.work(texts)
-
-        work.close = both.known.clear
-        return work
+        return aligner(path_a, path_b).work  # its memory has a bound and outlives the task
 
     keyed = distinct.select("text", "n", _key("text").alias("text_key"))
     return written(map_texts(keyed, "text", FIELDS, make, keep=["text_key", "n"]), "aligned")
