@@ -283,6 +283,12 @@ class BacktrackEncoder:
 _BLANKS = "\t\n\x0b\x0c\r \x85\xa0                　" + SPACE
 
 
+@lru_cache(maxsize=1)
+def memory(path: str) -> Remembered:
+    """A Python worker's encodings of parts; it has a bound and outlives the task."""
+    return Remembered(REMEMBERED)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> BacktrackEncoder:
     return BacktrackEncoder(PieceModel(path))
@@ -297,7 +303,7 @@ def encode(df: DataFrame, column: str = "text", path: str = MODEL, keep: Sequenc
 
     def make():
         coder = encoder(path)
-        known = Remembered(REMEMBERED)
+        known = memory(path)
 
         def work(texts: pa.Array):
             with uncollected():
@@ -314,7 +320,6 @@ def encode(df: DataFrame, column: str = "text", path: str = MODEL, keep: Sequenc
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
             return [ids, pa.array(decoded, pa.string())]
 
-        work.close = known.clear
         return work
 
     return map_texts(df, column, "ids array<int>, decoded string", make, keep)
