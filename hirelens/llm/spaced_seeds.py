@@ -4,7 +4,8 @@ Words are runs of letters and digits in small ASCII letters. A mask lays a patte
 some positions out, so that a window still matches after a substitution there. Test windows and training
 windows meet in an equi-join on (mask, hash); a filter of fixed size, made of the test hashes, keeps
 training windows without partner from being shuffled. Around what joins, the words are compared along the
-diagonal, and the best stretch (a match counts 1, a substitution -2) decides.
+diagonals: of a short item the matching words count, of a longer one those of each maximal stretch (a match counts
+1, a substitution -2).
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from .common import map_texts, prepare, texts_of, slices, written
 
 MASKS = ("1110110101", "1101011101", "1011101011")
 SPAN = len(MASKS[0])
+# For items of few words: any fifth of up to 16 words may be substituted and one of these still matches somewhere.
+SHORT_MASKS = ("1111", "11011")
+SHORT, MIDDLE, WHOLE = 24, 16, 8
 LEAST_WORDS = 13
 FILTER_BITS = 1 << 24  # 2 MB, whatever the benchmark's size; a fuller filter only lets more windows through
 BUCKET_BITS = 32768  # Spark's bitmaps
@@ -86,8 +90,15 @@ def test_items(benchmark: DataFrame, item_id: str = "item_id", column: str = "te
     return map_texts(rows, "text", "words array<long>", make, ["item"]).where(F.size("words") > 0)
 
 
+def shapes_of(n: int, masks: Sequence[str] = MASKS) -> list[str | int]:
+    """The windows of an item of ``n`` words: all of them at once below ``WHOLE`` words, else masks that fit it."""
+    if n < WHOLE:
+        return [n]
+    return [*(SHORT_MASKS if n < SHORT else ()), *(m for m in masks if len(m) <= n)]
+
+
 def test_seeds(items: DataFrame, masks: Sequence[str] = MASKS) -> DataFrame:
-    """(item, place, shape, seed, bit1, bit2) of every item. Items shorter than a mask are one window of all their words."""
+    """(item, place, shape, seed, bit1, bit2) of every item."""
 
     def run(batches):
         for batch in batches:
@@ -95,8 +106,7 @@ def test_seeds(items: DataFrame, masks: Sequence[str] = MASKS) -> DataFrame:
             ids = batch.column(0)
             for k in range(len(batch)):
                 words = lists[k].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                shapes: Sequence[str | int] = masks if len(words) >= len(masks[0]) else [len(words)]
-                for shape in shapes:
+                for shape in shapes_of(len(words), masks):
                     at, seed = seeds(words, np.array([0, len(words)]), shape)
                     one, two = filter_places(seed)
                     n = len(at)
@@ -126,12 +136,11 @@ def filter_of(found: DataFrame) -> np.ndarray:
 
 
 def train_segments(
-    docs: DataFrame, bits: np.ndarray, reach: int, lengths: Sequence[int], doc_id: str, column: str, masks: Sequence[str] = MASKS
-) -> DataFrame:
+    docs: DataFrame, bits: np.ndarray, reach: int, shapes: Sequence[str | int], doc_id: str, column: str
+) -> DataFrame:
     """(doc, start, words, hits): stretches of a text around windows that pass the filter, ``reach`` words to either side."""
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast(bits)
-    shapes: list[str | int] = [*masks, *lengths]
     hit = pa.struct([("place", pa.int32()), ("shape", pa.int32()), ("seed", pa.int64())])
 
     def run(batches):
@@ -183,18 +192,38 @@ def train_segments(
     return rows.mapInArrow(run, schema)
 
 
-def best_stretch(same: np.ndarray) -> tuple[int, int, int]:
-    """(matches, start, end) of the stretch with the largest sum of 1 for a match and -2 for a substitution."""
-    total = np.append(0, np.cumsum(np.where(same, 1, -2)))
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total[1:] - low[:-1])) + 1
-    start = int(np.flatnonzero(total[:end] == low[end - 1])[-1])
-    return int(same[start:end].sum()), start, end
-
-
-def needed(n: int, least: int) -> int:
-    """The matching words that an item of ``n`` words needs: all if it is shorter than a mask."""
-    return n if n < SPAN else min(least, -(-4 * n // 5))
+def stretches(same: np.ndarray) -> list[tuple[int, int, int]]:
+    """(matches, start, end) of all maximal stretches of a diagonal: those whose sum no longer or shorter one around them
+    betters, with 1 for a match and -2 for a substitution."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], same.astype(np.int8), [0]])))
+    sums = np.append(0, np.cumsum(np.where(same, 1, -2)))
+    found: list[tuple[int, int, int, int]] = []
+    for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        low, high = int(sums[start]), int(sums[end])
+        while True:
+            k = next((k for k in range(len(found) - 1, -1, -1) if found[k][0] < low), -1)
+            if k < 0 or found[k][1] >= high:
+                found.append((low, high, start, end))
+                break
+            low, start = found[k][0], found[k][2]
+            del found[k:]
+    return [(int(same[start:end].sum()), start, end) for _, _, start, end in found]
+
+
+def best_match(same: np.ndarray, n: int, least: int = LEAST_WORDS) -> tuple[int, int, int] | None:
+    """(matches, start, end) on a diagonal of an item of ``n`` words, if they are enough: most matches, then the first."""
+    if n <= MIDDLE:
+        at = np.flatnonzero(same)
+        tried = [(len(at), int(at[0]), int(at[-1]) + 1)] if len(at) else []
+    else:
+        tried = stretches(same)
+    best = max(tried, key=lambda t: (t[0], -t[1]), default=None)
+    return best if best and best[0] >= needed(n, least) else None
+
+
+def needed(n: int, least: int = LEAST_WORDS) -> int:
+    """The matching words that an item of ``n`` words needs: all of a very short one, four fifths, at most ``least``."""
+    return n if n < WHOLE else min(least, -(-4 * n // 5))
 
 
 def overlaps(
@@ -203,20 +232,24 @@ def overlaps(
 ) -> DataFrame:
     """(doc, item, matched, start, n): for each pair that overlaps, the words that match, and where the stretch lies.
 
-    An overlap has ``least`` matching words (or four fifths of a shorter item, or all words of an item shorter than a
-    mask). Of several stretches the one with most matches counts, then the first. Null and empty texts and items
-    without a word overlap with nothing; repeated rows give one pair. Other columns are not read.
+    An overlap has ``least`` matching words, or four fifths of a shorter item's, or all words of an item below ``WHOLE``
+    words; all at their places in the item, and in items above ``MIDDLE`` words within one maximal stretch (see
+    ``stretches``). Of several the one with most matches counts, then the first. Null and empty texts and items
+    without a word overlap with nothing; repeated rows give one pair; long texts are searched whole. An empty table of either
+    kind gives an empty table. Other columns are not read.
     """
     items = written(test_items(benchmark, item_id, item_column).distinct(), "items")
     found = written(test_seeds(items), "seeds")
     facts = items.agg(F.max(F.size("words"))).first()[0] or 0
-    short = [r[0] for r in items.select(F.size("words")).where(F.size("words") < SPAN).distinct().collect()]  # < SPAN rows
-    segments = train_segments(docs, filter_of(found), facts, sorted(short), doc_id, column)
+    sizes = [r[0] for r in items.select(F.least(F.size("words"), F.lit(SHORT))).distinct().collect()]  # up to SHORT rows
+    shapes = sorted({s for n in sizes for s in shapes_of(n)}, key=str) or list(MASKS)
+    segments = train_segments(docs, filter_of(found), facts, shapes, doc_id, column)
     segments = written(segments.withColumn("segment", F.xxhash64("doc", "start", "words")), "segments")
     hits = segments.select("doc", "start", "segment", F.inline("hits"))
     wanted = found.select("item", F.col("place").alias("at"), "shape", "seed")
     met = hits.join(wanted, ["shape", "seed"]).select("doc", "start", "segment", "item", (F.col("place") - F.col("at")).alias("diagonal"))
-    pairs = met.distinct()
+    # All diagonals of a stretch of text and an item at once, so that the words travel once.
+    pairs = met.groupBy("doc", "start", "segment", "item").agg(F.collect_set("diagonal").alias("diagonals"))
     texts = segments.select("doc", "start", "segment", "words").distinct()
     both = pairs.join(texts, ["doc", "start", "segment"]).join(items.withColumnRenamed("words", "test"), "item")
 
@@ -227,16 +260,17 @@ def overlaps(
             for k in range(len(batch)):
                 text = column_of["words"][k].values.to_numpy(zero_copy_only=False)
                 test = column_of["test"][k].values.to_numpy(zero_copy_only=False)
-                shift = column_of["diagonal"][k].as_py()
-                a, b = max(0, -shift), min(len(test), len(text) - shift)
-                if b <= a:
-                    continue
-                count, begin, end = best_stretch(test[a:b] == text[a + shift : b + shift])
-                if count >= needed(len(test), least):
+                best = None
+                for shift in sorted(column_of["diagonals"][k].as_py()):
+                    a, b = max(0, -shift), min(len(test), len(text) - shift)
+                    tried = best_match(test[a:b] == text[a + shift : b + shift], len(test), least) if b > a else None
+                    if tried and (best is None or tried[0] > best[0]):
+                        best = tried[0], a + shift + tried[1], tried[2] - tried[1]
+                if best:
                     keep.append(k)
-                    matched.append(count)
-                    start.append(column_of["start"][k].as_py() + a + begin + shift)
-                    n.append(end - begin)
+                    matched.append(best[0])
+                    start.append(column_of["start"][k].as_py() + best[1])
+                    n.append(best[2])
             yield pa.RecordBatch.from_arrays(
                 [column_of["doc"].take(pa.array(keep, pa.int64())), column_of["item"].take(pa.array(keep, pa.int64())),
                  pa.array(matched, pa.int32()), pa.array(start, pa.int32()), pa.array(n, pa.int32())],
@@ -244,7 +278,7 @@ def overlaps(
             )
 
     kinds = {f.name: f.dataType.simpleString() for f in both.schema}
-    checked = both.select("doc", "item", "start", "diagonal", "words", "test").mapInArrow(
+    checked = both.select("doc", "item", "start", "diagonals", "words", "test").mapInArrow(
         verify, f"doc {kinds['doc']}, item {kinds['item']}, matched int, start int, n int"
     )
     best = F.max(F.struct("matched", (-F.col("start")).alias("order"), "n"))

@@ -5,6 +5,7 @@ import json
 import re
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -168,6 +169,45 @@ def test_overlaps_tolerate_substitutions(spark):
     assert spaced_seeds.overlaps(docs.where("false"), tests).count() == 0
 
 
+def test_short_items_are_found_wherever_words_are_substituted(spark):
+    """Every way to substitute as many words as allowed in items of 8 to 16 words, with other words around."""
+    items = [[f"i{n}w{k}" for k in range(n)] for n in range(8, 17)]
+    rows, want = [], set()
+    for item in items:
+        n = len(item)
+        for gone in (1, n - spaced_seeds.needed(n), n - spaced_seeds.needed(n) + 1):
+            for at in combinations(range(n), gone):
+                text = ["before", "it", *(f"x{k}" if k in at else w for k, w in enumerate(item)), "after"]
+                if n - gone >= spaced_seeds.needed(n):
+                    want.add((len(rows), n))
+                rows.append((len(rows), " ".join(text)))
+    tests = spark.createDataFrame([(len(i), " ".join(i)) for i in items], "item_id int, text string")
+    found = spaced_seeds.overlaps(spark.createDataFrame(rows, "doc_id int, text string"), tests)
+    assert {(r.doc, r.item) for r in found.collect()} == want
+
+
+def test_every_stretch_of_a_diagonal_is_tried():
+    run, longer = [1] * 12, [1] * 7 + [0] + [1] * 7
+    same = np.array([*run, *[0] * 9, *longer], bool)
+    assert spaced_seeds.best_match(same, 40) == (14, 21, 36)
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        same = rng.random(rng.integers(1, 40)) < 0.7
+        score = np.where(same, 1, -2)
+        sums = np.append(0, np.cumsum(score))
+        best = max((sums[b] - sums[a] for a in range(len(same)) for b in range(a + 1, len(same) + 1)), default=0)
+        found = spaced_seeds.stretches(same)
+        assert all(a[2] <= b[1] for a, b in zip(found, found[1:])) and sum(m for m, _, _ in found) == same.sum()
+        assert not same.any() or max(sums[e] - sums[s] for _, s, e in found) == best
+
+
+def test_a_text_of_one_repeated_word_is_searched(spark):
+    docs = spark.createDataFrame([(1, "again " * 100_000), (2, "again and " * 10)], "doc_id int, text string")
+    tests = spark.createDataFrame([(1, "again " * 20), (2, "again again")], "item_id int, text string")
+    found = {(r.doc, r.item): (r.matched, r.start) for r in spaced_seeds.overlaps(docs, tests).collect()}
+    assert found == {(1, 1): (20, 0), (1, 2): (2, 0)}
+
+
 def test_overlaps_find_every_contained_item(spark, docs):
     con = database(SF)
     exact = set(con.execute("SELECT doc_id, item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)").fetchall())
@@ -561,10 +601,10 @@ def brute_contaminated(text, items):
     for k, w in enumerate(words):
         places.setdefault(w, []).append(k)
     for item in items:
-        need = spaced_seeds.needed(len(item), spaced_seeds.LEAST_WORDS)
+        need = spaced_seeds.needed(len(item))
         for shift, n in Counter(p - k for k, w in enumerate(item) for p in places.get(w, ())).items():
             a, b = max(0, -shift), min(len(item), len(words) - shift)
-            if n >= need and spaced_seeds.best_stretch(np.array([item[k] == words[k + shift] for k in range(a, b)]))[0] >= need:
+            if n >= need and spaced_seeds.best_match(np.array([item[k] == words[k + shift] for k in range(a, b)]), len(item)):
                 return True
     return False
 
