@@ -126,20 +126,29 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
 
 
 def document_path() -> Column:
-    """Documents as files: source/language/hundred/id."""
-    hundred = F.floor(F.col("doc_id") / 100).cast("string")
-    return F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), hundred, F.col("doc_id").cast("string"))
+    """Documents as files: source/language/hundred/id; without an id the digest of the text stands for it."""
+    number = F.col("doc_id").cast("string")
+    hundred = F.coalesce(F.floor(F.col("doc_id") / 100).cast("string"), F.lit("_"))
+    name = F.coalesce(number, F.md5(F.coalesce("text", F.lit(""))))
+    return F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), hundred, name)
 
 
 def documents_licences(docs: DataFrame) -> DataFrame:
-    found = scan(docs.select(document_path().alias("path"), "text"))
-    return found.select(F.regexp_extract("path", "([^/]*)$", 1).cast("long").alias("doc_id"), *found.columns)
+    """doc_id and the columns of :func:`scan`, one row for each row of ``docs``.
+
+    Rows with one source, language and id are one file and share its verdict; rows without an id go by their text. Null
+    and empty texts have no header of their own; long texts are searched whole; an empty table gives no rows. Other columns
+    are not read.
+    """
+    files = docs.select("doc_id", document_path().alias("path"), "text")
+    found = scan(files)
+    return files.select("doc_id", "path").join(found, "path").select("doc_id", *found.columns)
 
 
 _TEMPLATE_SQL = ", ".join(f"('{k}', '{v}')" for k, v in TEMPLATES.items())
 ORACLE = f"""WITH files AS (
-  SELECT concat_ws('/', coalesce(source, '_'), coalesce(lang, '_'), CAST(CAST(floor(doc_id / 100) AS BIGINT) AS VARCHAR), CAST(doc_id AS VARCHAR)) AS path, doc_id, text
-  FROM documents WHERE doc_id IS NOT NULL),
+  SELECT concat_ws('/', coalesce(source, '_'), coalesce(lang, '_'), coalesce(CAST(CAST(floor(doc_id / 100) AS BIGINT) AS VARCHAR), '_'),
+    coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))) AS path, doc_id, text FROM documents),
 t AS (SELECT * FROM (VALUES {_TEMPLATE_SQL}) v(licence, template)),
 lines AS (SELECT path, length(text) AS size, line, md5(line) AS key
   FROM (SELECT path, text, unnest(string_split(text, chr(10))) AS line FROM files) WHERE regexp_matches(line, '{CUES}')),
@@ -166,4 +175,4 @@ inherited AS (SELECT f.path, g.licence, g.similarity, g.folder FROM files f JOIN
 SELECT f.doc_id, f.path, coalesce(o.licence, i.licence) AS licence, coalesce(o.similarity, i.similarity) AS similarity,
   CASE WHEN o.licence IS NOT NULL THEN 'header' WHEN i.licence IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
   CASE WHEN o.licence IS NULL THEN i.folder END AS licence_folder
-FROM (SELECT DISTINCT path, doc_id FROM files) f LEFT JOIN own o USING (path) LEFT JOIN inherited i USING (path)"""
+FROM files f LEFT JOIN own o USING (path) LEFT JOIN inherited i USING (path)"""

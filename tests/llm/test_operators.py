@@ -415,6 +415,16 @@ def test_licences_are_inherited_from_the_nearest_folder(spark):
     assert not re.search("Python|Arrow|Pandas", licenses.scan(frame)._jdf.queryExecution().executedPlan().toString())
 
 
+def test_each_row_of_odd_documents_gets_a_licence(spark, odd, empty):
+    mit = "# Released under the MIT License."
+    rows = [(None, mit, "s", "en"), (None, "code", "s", "en"), (None, None, None, None), (7, mit, "s", "en"), (7, mit, "s", "en"), (7, "code", "t", "en"), (250, "", "s", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = sorted(((r.doc_id, r.licence, r.origin) for r in licenses.documents_licences(frame).collect()), key=str)
+    want = [(7, "MIT", "header"), (7, "MIT", "header"), (7, None, "none"), (250, None, "none"), (None, "MIT", "header"), (None, None, "none"), (None, "MIT", "inherited")]
+    assert got == sorted(want, key=str)
+    assert licenses.documents_licences(odd).count() == 14 and licenses.documents_licences(empty).count() == 0
+
+
 def test_licences_equal_sql(spark):
     con = database(SF)
     theirs = con.sql(licenses.ORACLE).to_arrow_table()
