@@ -309,16 +309,19 @@ def encode(df: DataFrame, column: str = "text", path: str = MODEL, keep: Sequenc
             with uncollected():
                 lists = [coder.cut(t) for t in texts.to_pylist()]
                 for part in known.missing(set().union(*lists)):
-                    found = coder.encode_part(part)
-                    known.put(part, found, 8 * len(found))
-                ids_of = known.young.__getitem__
-                coded = [list(chain.from_iterable(map(ids_of, cut))) for cut in lists]
-                decoded = [coder.model.decode(x) for x in coded]
-            offsets = np.zeros(len(coded) + 1, np.int32)
-            np.cumsum([len(x) for x in coded], out=offsets[1:])
-            flat = np.fromiter(chain.from_iterable(coded), np.int32, int(offsets[-1]))
-            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
-            return [ids, pa.array(decoded, pa.string())]
+                    ids = coder.encode_part(part)
+                    spelt = b"".join(map(coder.model.bytes.__getitem__, ids))
+                    known.put(part, (array("i", ids).tobytes(), spelt), 4 * len(ids) + len(spelt) + 150)
+                found = known.young.__getitem__
+                coded = [list(zip(*map(found, cut))) or ((), ()) for cut in lists]
+                ids = [b"".join(c[0]) for c in coded]
+                # What the ids spell, without the blank in front.
+                decoded = [b"".join(c[1])[1:] for c in coded]
+            offsets = np.zeros(len(ids) + 1, np.int32)
+            np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
+            flat = np.frombuffer(b"".join(ids), np.int32)
+            made = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+            return [made, pa.array(decoded, pa.binary()).cast(pa.string())]
 
         return work
 
