@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 import re
 import zlib
 from collections import Counter
@@ -425,6 +426,62 @@ def test_each_row_of_odd_documents_gets_a_licence(spark, odd, empty):
     assert licenses.documents_licences(odd).count() == 14 and licenses.documents_licences(empty).count() == 0
 
 
+COMMON = "/usr/share/common-licenses"  # whole texts of licences, on systems that have them
+
+
+def _tree(pairs):
+    return [(f"{folder}/{name}", text) for folder, files in pairs.items() for name, text in files.items()]
+
+
+def test_whole_licence_texts_are_found_and_inherited(spark):
+    text = {(n, k): t for n, k, t in licenses.TEMPLATES if k == "text"}
+    wrap = lambda t, mark="": "\n".join(mark + line for line in re.findall(r".{1,70}(?:\s|$)", t))
+    apache = next(t for n, k, t in licenses.TEMPLATES if n == "Apache-2.0" and "compliance" in t)
+    code = "".join(f"def f{k}(x):\n    return x + {k} * other_{k}\n\n" for k in range(40))
+    rows = _tree({
+        "mit": {"LICENSE": "The MIT License\n\nCopyright (c) 2019 Some Holder\n\n" + wrap(text["MIT", "text"]), "src/a.py": code},
+        "bsd": {"legal.txt": "Copyright 2020 The Authors. All rights reserved.\n\n" + wrap(text["BSD-3-Clause", "text"]), "x/y/b.py": code},
+        "two": {"COPYING": "Copyright 2020 B\n" + wrap(text["BSD-2-Clause", "text"]), "c.py": code},
+        "isc": {"LICENSE.md": wrap(text["ISC", "text"]) + "\n", "d.py": code},
+        "plain": {"h.py": wrap("Copyright 2011 The Team.\n#\n" + apache, "# ") + "\n\n" + code, "i.py": code},
+        "prose": {"LICENSE_plates.txt": "The mayor renewed the licence of the ferry and nobody asked about copyright that day.", "j.py": code},
+    })
+    found = {r.path: (r.licence, r.origin) for r in licenses.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert found["mit/LICENSE"] == ("MIT", "header") and found["mit/src/a.py"] == ("MIT", "inherited")
+    assert found["bsd/legal.txt"] == ("BSD-3-Clause", "header") and found["bsd/x/y/b.py"] == ("BSD-3-Clause", "inherited")
+    assert found["two/COPYING"][0] == "BSD-2-Clause" and found["two/c.py"] == ("BSD-2-Clause", "inherited")
+    assert found["isc/d.py"] == ("ISC", "inherited")
+    # A header wrapped over lines is one piece; a file with a header is no licence file.
+    assert found["plain/h.py"] == ("Apache-2.0", "header") and found["plain/i.py"] == (None, "none")
+    assert found["prose/LICENSE_plates.txt"] == (None, "none") and found["prose/j.py"] == (None, "none")
+
+
+@pytest.mark.skipif(not os.path.isdir(COMMON), reason="no whole licence texts here")
+def test_long_licence_texts_are_known_by_title_or_as_templates(spark):
+    wanted = {"Apache-2.0": "Apache-2.0", "GPL-3": "GPL-3.0", "GPL-2": "GPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    rows = [(f"{n}/notes", open(f"{COMMON}/{n}").read()) for n in wanted] + [(f"{n}/deep/er/code.c", "int x;") for n in wanted]
+    rows.append(("gfdl/notes", open(f"{COMMON}/GFDL-1.3").read().replace("published", "printed")))
+    rows.append(("gfdl/code.c", "int x;"))
+    files = spark.createDataFrame(rows, "path string, text string")
+    found = {r.path: (r.licence, r.origin) for r in licenses.scan(files).collect()}
+    for n, licence in wanted.items():
+        assert found[f"{n}/notes"] == (licence, "header") and found[f"{n}/deep/er/code.c"] == (licence, "inherited")
+    assert found["gfdl/code.c"] == (None, "none")
+    more = {r.path: (r.licence, r.origin) for r in licenses.scan(files, extra=licenses.texts_below(spark, f"{COMMON}/GFDL-1.3")).collect()}
+    assert more["gfdl/notes"] == ("GFDL-1.3", "header") and more["gfdl/code.c"] == ("GFDL-1.3", "inherited")
+
+
+def test_prose_with_a_cue_word_has_no_licence(spark):
+    said = [
+        "Her driving licence had expired in March.", "The warranty covers the engine for three years.", "He spoke of artistic license.",
+        "They hold the copyright to the song until 2040.", "Every restaurant needs a license to serve wine.", "The book is long in the public domain now.",
+        "A licence fee is paid by each household.", "No warranty was given for the old boat.", "Redistribution of land began in spring.",
+    ]
+    rows = [(f"p/{k}", PROSE + "\n" + s + "\n" + PROSE) for k, s in enumerate(said)] + [("p/long", "\n".join(said * 500)), ("p/blank", "license" + "\n" * 200_000)]
+    got = licenses.scan(spark.createDataFrame(rows, "path string, text string")).collect()
+    assert {r.path for r in got if r.licence} == set() and len(got) == len(rows)
+
+
 def test_licences_equal_sql(spark):
     con = database(SF)
     theirs = con.sql(licenses.ORACLE).to_arrow_table()
