@@ -396,14 +396,36 @@ def scan_json(spark, sf):
     return lists_as_text(readers.scan_json(spark, path, rows.schema))
 
 
-@query("scan_rejects", f"SELECT '{readers.NO_ARRAY}' AS reason, 1 AS n UNION ALL SELECT '{readers.NO_OBJECT}', count(*) FROM orders WHERE {K} % 7 = 0")
+@query("scan_json_ranges", texts_sql(PLAIN_SQL, "skills"))
+def scan_json_ranges(spark, sf):
+    """As scan_json, but each file is cut into ranges and chunks, whatever its size."""
+    rows, path = _plain(spark, sf), scratch_path(spark, "landed")
+    writers.write_json_arrays(rows, f"{path}/2001/06")
+    writers.write_json_lines(rows.select("job_id", "company_name"), f"{path}/2001/07")
+    return lists_as_text(readers.scan_json(spark, path, rows.schema, whole_below=0))
+
+
+REJECTS_SQL = f"SELECT '{readers.NO_ARRAY}' AS reason, 1 AS n UNION ALL SELECT '{readers.NO_OBJECT}', count(*) FROM orders WHERE {K} % 7 = 0"
+
+
+@query("scan_rejects", REJECTS_SQL)
 def scan_rejects(spark, sf):
     """Every seventh item is a number or null, and one folder has lines in place of arrays, whose files count as one."""
+    return _rejects(spark, sf)
+
+
+@query("scan_rejects_ranges", REJECTS_SQL)
+def scan_rejects_ranges(spark, sf):
+    """As scan_rejects, with files read in ranges."""
+    return _rejects(spark, sf, whole_below=0)
+
+
+def _rejects(spark, sf, **options):
     path, rows = scratch_path(spark, "odd"), table(spark, sf, "orders").select(K)
     item = F.when(F.col(K) % 14 == 0, "null").when(F.col(K) % 7 == 0, "5").otherwise(F.to_json(F.struct(K)))
     writers.write_arrays(rows.select(item.alias("value")), f"{path}/arrays")
     writers.write_json_lines(rows, f"{path}/lines")
-    counted = readers.scan_rejects(spark, path).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    counted = readers.scan_rejects(spark, path, **options).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
     n = F.when(F.col("reason") == readers.NO_ARRAY, F.least("n", F.lit(1))).otherwise(F.col("n"))
     return counted.select("reason", n.alias("n"))
 

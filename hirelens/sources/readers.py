@@ -9,18 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.reshape import union_relations
-
+from . import array_ranges
 
 # What delivery and `write_json_arrays` call their files.
 JSON_FILES = "*.{json,txt}"
 END_MARK = "end of the file"
 NO_ARRAY, NO_OBJECT = "no JSON array", "no JSON object"
+# Files of more bytes are read in ranges by many tasks.
+WHOLE_BELOW = 64 << 20
 
 
-def _array_files(spark: SparkSession, path: str, name_glob: str, path_part: str | None) -> DataFrame:
-    """(path, items) of the files below a path; items is NULL where a file is not exactly one JSON array."""
+def _array_files(spark: SparkSession, path: str, name_glob: str, path_part: str | None, whole_below: int) -> DataFrame:
+    """(path, items) of the smaller files below a path; items is NULL where a file is not exactly one JSON array."""
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=name_glob)
-    files = files.select(F.col("_metadata.file_path").alias("path"), "value")
+    files = files.where(F.col("_metadata.file_size") <= whole_below).select(F.col("_metadata.file_path").alias("path"), "value")
     if path_part:
         files = files.where(F.col("path").contains(path_part))
     # The parser stops at the end of a value. With a mark behind the array, text that goes on breaks the list.
@@ -36,30 +38,45 @@ def _is_object(item) -> Column:
 
 
 def scan_json(
-    spark: SparkSession, path: str, schema: T.StructType, name_glob: str = JSON_FILES, path_part: str | None = None
-) -> DataFrame:
+    spark: SparkSession, path: str, schema: T.StructType, name_glob: str = JSON_FILES, path_part: str | None = None,
+    whole_below: int = WHOLE_BELOW, **options,
+) -> DataFrame:
     """Objects of all JSON array files below a path.
 
     A file that is not exactly one array is left out, and so is an item that is no object;
     :func:`scan_rejects` lists both. A value that does not fit its type is NULL. ``name_glob``
-    chooses by file name, ``path_part`` by text anywhere in the path. A file is read by one
-    task, so files should be written in bounded sizes, as
-    :func:`hirelens.sources.writers.write_json_arrays` does; lines of JSON have no such limit.
+    chooses by file name, ``path_part`` by text anywhere in the path. A file of up to
+    ``whole_below`` bytes is parsed as one value, a larger one is read in ranges by many tasks, see
+    :mod:`hirelens.sources.array_ranges`; the rows are the same.
     """
-    items = _array_files(spark, path, name_glob, path_part).select(F.explode("items").alias("item"))
+    items = _array_files(spark, path, name_glob, path_part, whole_below).select(F.explode("items").alias("item"))
+    if _has_larger(spark, path, name_glob, path_part, whole_below):
+        more, _ = array_ranges.read_ranges(spark, path, name_glob, path_part, whole_below, **options)
+        items = items.unionAll(more.select("item"))
     typed = F.from_json(F.to_json("item"), schema, {"mode": "PERMISSIVE"})
     return items.where(_is_object("item")).select(typed.alias("row")).select("row.*")
 
 
-def scan_rejects(spark: SparkSession, path: str, name_glob: str = JSON_FILES, path_part: str | None = None) -> DataFrame:
+def _has_larger(spark: SparkSession, path: str, name_glob: str, path_part: str | None, size: int) -> bool:
+    return not array_ranges.large_files(spark, path, name_glob, path_part, size).isEmpty()
+
+
+def scan_rejects(
+    spark: SparkSession, path: str, name_glob: str = JSON_FILES, path_part: str | None = None, whole_below: int = WHOLE_BELOW, **options
+) -> DataFrame:
     """What :func:`scan_json` leaves out: (path, position of the item or NULL for a whole file, reason).
 
     A file without any text has nothing to lose and is not listed.
     """
-    files = _array_files(spark, path, name_glob, path_part)
+    files = _array_files(spark, path, name_glob, path_part, whole_below)
     listed = files.select("path", F.col("items").isNull().alias("broken"), F.posexplode_outer("items").alias("position", "item"))
     odd = listed.where(F.col("broken") | (F.col("position").isNotNull() & ~_is_object("item")))
-    return odd.select("path", "position", F.when(F.col("broken"), NO_ARRAY).otherwise(NO_OBJECT).alias("reason"))
+    odd = odd.select("path", F.col("position").cast("long").alias("position"), F.when(F.col("broken"), NO_ARRAY).otherwise(NO_OBJECT).alias("reason"))
+    if _has_larger(spark, path, name_glob, path_part, whole_below):
+        items, broken = array_ranges.read_ranges(spark, path, name_glob, path_part, whole_below, numbered=True, **options)
+        odd = odd.unionAll(items.where(~_is_object("item")).select("path", "position", F.lit(NO_OBJECT)))
+        odd = odd.unionAll(broken.select("path", F.lit(None).cast("long"), F.lit(NO_ARRAY)))
+    return odd
 
 
 def scan_named(spark: SparkSession, path: str, schema: T.StructType, part: str = "silver_enriched_", **options) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import itertools
+import json
 import random
 from collections import Counter
 
@@ -370,7 +371,8 @@ def test_pending_dedupe_keeps_rows_without_id(spark):
     assert rows(silver.pending(stored, done, [F.col("at")])) == {("a", 0): 1, (None, 2): 1, (None, 3): 1}
 
 
-def test_scan_json_skips_other_files(spark, tmp_path):
+@pytest.mark.parametrize("ranges", [{}, {"whole_below": 0}, {"whole_below": 0, "chunk_bytes": 1}, {"whole_below": 20, "chunk_bytes": 7}])
+def test_scan_json_skips_other_files(spark, tmp_path, ranges):
     inner = tmp_path / "2001" / "06"
     inner.mkdir(parents=True)
     (inner / "a.json").write_text('[\n  {"id": "1", "n": 2},\n  {"id": "2"}\n]')
@@ -381,13 +383,48 @@ def test_scan_json_skips_other_files(spark, tmp_path):
     (inner / "more.json").write_text('[{"id": "6"}] junk')
     (inner / "two.json").write_text('[{"id": "7"}], [{"id": "8"}]')
     (inner / "odd.json").write_text('[{"id": "9", "n": "x"}, 5, null, "{}", [1], {"id": "10", "n": 3, "z": {"y": [1]}}] ')
-    df = readers.scan_json(spark, str(tmp_path), star_schema())
+    (inner / "none.json").write_text(" [ \n ]\n")
+    (inner / "hole.json").write_text('[{"id": "11"},,{"id": "12"}]')
+    (inner / "comma.json").write_text('[{"id": "13"}],')
+    (inner / "inner.json").write_text('[{"id": "14"}, {"id": "15" "n": 1}, {"id": "16"}]')
+    (inner / "curly.json").write_text('[{"id": "17"}}')
+    (inner / "spaces.json").write_text(" \n ")
+    df = readers.scan_json(spark, str(tmp_path), star_schema(), **ranges)
     assert rows(df) == {("1", 2): 1, ("2", None): 1, ("9", None): 1, ("10", 3): 1}
-    rejects = [(r["path"].rsplit("/", 1)[1], r["position"], r["reason"]) for r in readers.scan_rejects(spark, str(tmp_path)).collect()]
-    whole = [(f"{name}.json", None, readers.NO_ARRAY) for name in ("broken", "more", "object", "two")]
+    rejects = [(r["path"].rsplit("/", 1)[1], r["position"], r["reason"]) for r in readers.scan_rejects(spark, str(tmp_path), **ranges).collect()]
+    whole = [(f"{name}.json", None, readers.NO_ARRAY) for name in ("broken", "comma", "curly", "hole", "inner", "more", "object", "spaces", "two")]
     assert sorted(rejects, key=str) == sorted(whole + [("odd.json", i, readers.NO_OBJECT) for i in (1, 2, 3, 4)], key=str)
 
 
+def test_one_array_is_read_by_many_tasks(spark, tmp_path):
+    """Texts full of marks, deep values and odd items, in ranges and chunks smaller than an item."""
+    dice = random.Random(5)
+    marks = ['"', "\\", "[", "]", "{", "}", ",", "é", "日本", " ", "\n", "a", '\\"', "\\\\", "],[", '{"id": "0"}']
+
+    def text():
+        return "".join(dice.choices(marks, k=dice.choice([0, 3, 40, 400])))
+
+    items = [dice.choice([None, 5, text(), [text(), [1, {}]]]) if k % 9 == 0 else {"id": f"{k},{text()}", "n": k, "z": [text(), {"k": text()}]} for k in range(300)]
+    for name, indent in (("a", None), ("b", 1)):
+        (tmp_path / f"{name}.json").write_text(json.dumps(items, ensure_ascii=name == "a", indent=indent), encoding="utf-8")
+    (tmp_path / "cut.json").write_text(json.dumps(items)[:-40])
+    (tmp_path / "twice.json").write_text(json.dumps(items) + json.dumps(items))
+    (tmp_path / "item.json").write_text(json.dumps(items).replace('"n": 200', '"n" 200'))
+    set_before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        options = {"whole_below": 0, "chunk_bytes": 300}
+        found = readers.scan_json(spark, str(tmp_path), star_schema(), **options)
+        assert rows(found.select("id", "n")) == {(i["id"], i["n"]): 2 for i in items if isinstance(i, dict)}
+        rejects = [(r["path"].rsplit("/", 1)[1], r["position"]) for r in readers.scan_rejects(spark, str(tmp_path), **options).collect()]
+        odd = [(f"{name}.json", k) for name in "ab" for k, i in enumerate(items) if not isinstance(i, dict)]
+        assert sorted(rejects, key=str) == sorted(odd + [(f"{n}.json", None) for n in ("cut", "twice", "item")], key=str)
+        whole = readers.scan_json(spark, str(tmp_path), star_schema())
+        assert rows(whole.select("id", "n")) == rows(found.select("id", "n"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", set_before)
+
+
 def test_tables_of_one_name_in_two_schemas(spark):
     for n, schema in enumerate(("hirelens_a", "hirelens_b"), 1):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
