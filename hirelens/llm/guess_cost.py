@@ -2,15 +2,17 @@
 
 Three fixed patterns give the base spans. Beside them, the value behind a credential's name is kept if
 guessing it is costly: the cost is that of the cheapest way to cut the value into common words, dates,
-repeats, keyboard walks and spans that must be tried out, found by dynamic programming.
+repeats, keyboard walks, references and spans that must be tried out, found by dynamic programming. Words are ranked
+by the number of the corpus's documents that have them, behind a short list of what is common in passwords.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 from math import log10
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +61,19 @@ COMMON = (
 ).split()
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d")
+# What points to a value and is none: variables, and paths and addresses of plain lower-case names.
+_NAME = r"[a-z]{1,20}(?:[._-][a-z]{1,20})*[0-9]{0,4}"
+_VARIABLE = r"(?:[a-z]{1,20}(?:[._-][a-z]{1,20})*|[A-Z]{1,20}(?:[_-][A-Z]{1,20})*)[0-9]{0,2}(?!\w)"
+REFERENCE = re.compile(
+    rf"\${_VARIABLE}|\$?\{{\{{?\x20*{_VARIABLE}\x20*\}}?\}}?|%{_VARIABLE}%|<{_VARIABLE}>?"
+    rf"|(?:~|\.\.?)?(?:/{_NAME})+/?(?![\w+=])|[a-z]{{2,8}}://{_NAME}(?::[0-9]{{1,5}})?(?:/{_NAME})*/?(?![\w+=@:])",
+    re.A,
+)
+REFERENCE_COST = 3.0
+# Words of the corpus: whole words of letters, not counted behind a colon, an equals sign or an arrow, where values stand.
+WORD = r"(?<![\p{L}\p{N}])(\p{L}{4,24})(?![\p{L}\p{N}])"
+VALUE_PLACES = r"[:=>][ \t\"'`]*\S+"
+CORPUS_WORDS = 20_000
 UNITS = (1, 2, 3, 4)  # lengths of what is repeated
 DAYS, YEARS = 365.0, 120.0
 
@@ -84,15 +99,43 @@ def _alone(c: str) -> float:
     return log10(26) if c.isascii() and c.isalpha() else log10(33)
 
 
-def guess_cost(value: str, words: Sequence[str] = tuple(COMMON)) -> float:
+class Ranking(NamedTuple):
+    """Words with their ranks, and the length of the longest."""
+
+    ranks: dict[str, int]
+    longest: int
+
+
+def ranking(words: Sequence[str]) -> Ranking:
+    return Ranking({w: k + 1 for k, w in reversed(list(enumerate(words)))}, max(map(len, words), default=0))
+
+
+def corpus_words(df: DataFrame, column: str = "text", size: int = CORPUS_WORDS) -> list[str]:
+    """The ``size`` words that most documents of ``df`` have, most frequent first, of equal ones the first by name.
+
+    All documents and whole texts are counted; only the list, whose size is this parameter, comes to the driver. Behind
+    rank 20,000 a word is hardly cheaper to guess than its letters. Null, empty and repeated texts are documents, too.
+    """
+    plain = F.regexp_replace(F.lower(column), VALUE_PLACES, " ")
+    words = df.select(F.explode(F.array_distinct(F.regexp_extract_all(plain, F.lit(WORD)))).alias("word"))
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
+
+
+def known_words(df: DataFrame, column: str = "text") -> tuple[str, ...]:
+    """The fixed list, then the corpus's words."""
+    return tuple(dict.fromkeys([*COMMON, *corpus_words(df, column)]))
+
+
+def guess_cost(value: str, words: Sequence[str] | Ranking = tuple(COMMON)) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` needs. The empty value costs 0.
 
     A segment costs: words their rank (twice that with capitals), dates the days or years, repeats the unit
-    and the number of times, keyboard walks and runs of code points the start and the length, and
-    characters by themselves their class. Every segment but the first doubles the guesses, since its place is unknown.
+    and the number of times, keyboard walks and runs of code points the start and the length, references a fixed
+    cost, and characters by themselves their class. Every segment but the first doubles the guesses, since its place is unknown.
     """
-    ranks = _ranks(tuple(words))
-    longest, small, n = max(map(len, ranks), default=0), value.lower(), len(value)
+    ranks, longest = words if isinstance(words, Ranking) else _ranks(tuple(words))
+    small, n = value.lower(), len(value)
     if len(small) != n:
         small = value
     dates: dict[int, list[int]] = {}
@@ -128,6 +171,9 @@ def guess_cost(value: str, words: Sequence[str] = tuple(COMMON)) -> float:
             rank = ranks.get(small[k:end])
             if rank is not None:
                 reach(end, log10(rank) + (0.0 if value[k:end] == small[k:end] else log10(2)))
+        refers = REFERENCE.match(value, k) if not k or not value[k - 1].isalnum() else None
+        if refers:
+            reach(refers.end(), REFERENCE_COST)
         for end in dates.get(k, ()):
             reach(end, log10(YEARS) if end - k == 4 else log10(DAYS * YEARS))
         for length, kinds in ((walks[k], 47 * 3), (runs[k], 36)):
@@ -141,8 +187,8 @@ def guess_cost(value: str, words: Sequence[str] = tuple(COMMON)) -> float:
 
 
 @lru_cache(maxsize=4)
-def _ranks(words: tuple[str, ...]) -> dict[str, int]:
-    return {w: k + 1 for k, w in reversed(list(enumerate(words)))}
+def _ranks(words: tuple[str, ...]) -> Ranking:
+    return ranking(words)
 
 
 def base_spans(text: str, small: str) -> list[tuple[int, int, int]]:
@@ -156,7 +202,7 @@ def base_spans(text: str, small: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def scan_text(text: str, least: float = LEAST_COST, words: Sequence[str] = tuple(COMMON)) -> list[tuple[int, int, int]]:
+def scan_text(text: str, least: float = LEAST_COST, words: Sequence[str] | Ranking = tuple(COMMON)) -> list[tuple[int, int, int]]:
     """All spans of a text as (start, kind, end) in order, ``kind`` being a place in ``KINDS``."""
     small = text.lower()
     out = base_spans(text, small)
@@ -188,10 +234,11 @@ def scan(
     Null and empty texts have no spans; repeated rows have the same ones. A column called spans is replaced.
     """
 
-    def work(texts: pa.Array):
-        return [_span_array([scan_text(t, least, words) for t in texts.to_pylist()])]
+    def make() -> Callable:
+        known = ranking(words)
+        return lambda texts: [_span_array([scan_text(t, least, known) for t in texts.to_pylist()])]
 
-    return map_texts(df, column, SPANS, lambda: work, keep)
+    return map_texts(df, column, SPANS, make, keep)
 
 
 def redact_text(text: str, spans: list[tuple[int, int, int]], mark: str) -> str:
@@ -204,21 +251,30 @@ def redact_text(text: str, spans: list[tuple[int, int, int]], mark: str) -> str:
 
 
 def redact(df: DataFrame, column: str = "text", mark: str = "[SECRET]", least: float = LEAST_COST) -> DataFrame:
-    """``df`` with every span of ``column`` replaced by ``mark``; overlapping spans become one mark. Null stays null."""
+    """``df`` with every span of ``column`` replaced by ``mark``; overlapping spans become one mark. Null stays null.
+
+    Words are those of the column's own texts.
+    """
+    words = known_words(df, column)
+
+    def make() -> Callable:
+        known = ranking(words)
+
+        def work(texts: pa.Array):
+            lists = texts.to_pylist()
+            return [pa.array([redact_text(t, s, mark) if (s := scan_text(t, least, known)) else t for t in lists], pa.string())]
 
-    def work(texts: pa.Array):
-        lists = texts.to_pylist()
-        return [pa.array([redact_text(t, s, mark) if (s := scan_text(t, least)) else t for t in lists], pa.string())]
+        return work
 
     name = next(c for c in df.columns if c.lower() == column.lower())
     raw = df.withColumn("__raw", F.col(name)).withColumn("__null", F.col(name).isNull())
-    clean = map_texts(raw, "__raw", f"`{name}` string", lambda: work, [*df.columns, "__null"])
+    clean = map_texts(raw, "__raw", f"`{name}` string", make, [*df.columns, "__null"])
     return clean.withColumn(name, F.when(~F.col("__null"), F.col(name))).select(df.columns)
 
 
 def digests(df: DataFrame) -> DataFrame:
     """doc_id, the numbers of base spans by kind, base_sha256 and spans of documents."""
-    found = scan(df.select("doc_id", "text"), keep=["doc_id"])
+    found = scan(df.select("doc_id", "text"), words=known_words(df), keep=["doc_id"])
 
     def joined(spans):
         each = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))

@@ -389,6 +389,26 @@ def test_values_are_read_whole(text, value):
     assert guess_cost.scan_text(text) == [(start, 3, start + len(value))]
 
 
+def test_prose_and_references_are_no_secrets(spark):
+    plain = [
+        "The secret: chocolate", "login: administrator", "Passphrase: unbelievable story", "auth: /usr/local/share",
+        "token: https://example.com/docs", "secret: $SECRET_FROM_VAULT", "api key: {{ vault.api_key }}", "pwd = ${DB_PASSWORD}", "access key -> <your-access-key>",
+    ]
+    strong = [
+        "pwd: Xk9#fQ2!zR9dLm", "auth = /uZ8k+Q2x/Lp93", "token: https://me:Xk9fQ2zR9dLm@example.com", "login: wbxqzkvjhplt",
+        "secret: $Qz7;x,K(2)v", "pwd: $Xk9fQ2zR9dLm", "login: <Xk9fQ2zR9dLm>", "auth: https://example.com/Zk93LsQpX2",
+    ]
+    prose = ["he ate chocolate while the administrator told an unbelievable thing"] * 3 + ["pwd: wbxqzkvjhplt"] * 50
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(plain + strong + prose)], "doc_id long, text string")
+    assert "chocolate" in guess_cost.corpus_words(frame) and "wbxqzkvjhplt" not in guess_cost.corpus_words(frame)
+    assert guess_cost.corpus_words(frame, size=1) == [max(Counter(w for t in plain + strong + prose for w in set(re.findall("[a-z]{4,}", re.sub(r"[:=>]\s*\S+", " ", t.lower())))).items(), key=lambda x: (x[1], [-ord(c) for c in x[0]]))[0]]
+    found = {r.doc_id: r.spans for r in guess_cost.digests(frame).collect()}
+    assert [plain[k] for k in range(len(plain)) if found[k]] == []
+    assert [t for k, t in enumerate(strong, len(plain)) if "guess:" not in found[k]] == []
+    clean = {r.doc_id: r.text for r in guess_cost.redact(frame).collect()}
+    assert [clean[k] for k in range(len(plain))] == plain and all("[SECRET]" in clean[k] for k in range(len(plain), len(plain + strong)))
+
+
 def test_secrets_of_odd_rows(spark, odd, empty):
     text = 'é pwd: "Xk9#fQ2!zR", password = changeme123; token=abcdef0123456789abcdef'
     rows = spark.createDataFrame([(1, text, 5)], "doc_id long, text string, n_chars long")
