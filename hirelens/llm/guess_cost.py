@@ -16,10 +16,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, written
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -111,15 +111,23 @@ def ranking(words: Sequence[str]) -> Ranking:
 
 
 def corpus_words(df: DataFrame, column: str = "text", size: int = CORPUS_WORDS) -> list[str]:
-    """The ``size`` words that most documents of ``df`` have, most frequent first, of equal ones the first by name.
+    """Up to ``size`` words that most documents of ``df`` have, most frequent first, of equal ones the first by name.
 
-    All documents and whole texts are counted; only the list, whose size is this parameter, comes to the driver. Behind
-    rank 20,000 a word is hardly cheaper to guess than its letters. Null, empty and repeated texts are documents, too.
+    All documents and whole texts are counted; only the list, whose size is this parameter, comes to the driver. Words of
+    one count are in the list together or not at all, so that no ties are cut. Behind rank 20,000 a word is hardly
+    cheaper to guess than its letters. Null, empty and repeated texts are documents, too.
     """
     plain = F.regexp_replace(F.lower(column), VALUE_PLACES, " ")
     words = df.select(F.explode(F.array_distinct(F.regexp_extract_all(plain, F.lit(WORD)))).alias("word"))
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
+    counts = written(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word_counts")
+    # There are few different counts: their squares add up to no more than twice the words counted.
+    levels = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    ranked = levels.select("n", F.sum("words").over(Window.orderBy(F.desc("n"))).alias("total"))
+    least = ranked.where(F.col("total") <= size).agg(F.min("n")).first()[0]
+    if least is None:
+        return []
+    rows = counts.where(F.col("n") >= least).collect()
+    return [r.word for r in sorted(rows, key=lambda r: (-r.n, r.word))]
 
 
 def known_words(df: DataFrame, column: str = "text") -> tuple[str, ...]:

@@ -11,6 +11,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 import sentencepiece
 import xxhash
 from hypothesis import given, settings
@@ -389,6 +390,13 @@ def test_values_are_read_whole(text, value):
     assert guess_cost.scan_text(text) == [(start, 3, start + len(value))]
 
 
+def brute_words(texts, size):
+    plain = [re.sub(guess_cost.VALUE_PLACES, " ", t.lower()) for t in texts]
+    counts = Counter(w for t in plain for w in set(regex.findall(guess_cost.WORD, t)))
+    least = min([n for n in counts.values() if sum(m >= n for m in counts.values()) <= size], default=0)
+    return sorted((w for w, n in counts.items() if n >= least > 0), key=lambda w: (-counts[w], w))
+
+
 def test_prose_and_references_are_no_secrets(spark):
     plain = [
         "The secret: chocolate", "login: administrator", "Passphrase: unbelievable story", "auth: /usr/local/share",
@@ -401,7 +409,9 @@ def test_prose_and_references_are_no_secrets(spark):
     prose = ["he ate chocolate while the administrator told an unbelievable thing"] * 3 + ["pwd: wbxqzkvjhplt"] * 50
     frame = spark.createDataFrame([(k, t) for k, t in enumerate(plain + strong + prose)], "doc_id long, text string")
     assert "chocolate" in guess_cost.corpus_words(frame) and "wbxqzkvjhplt" not in guess_cost.corpus_words(frame)
-    assert guess_cost.corpus_words(frame, size=1) == [max(Counter(w for t in plain + strong + prose for w in set(re.findall("[a-z]{4,}", re.sub(r"[:=>]\s*\S+", " ", t.lower())))).items(), key=lambda x: (x[1], [-ord(c) for c in x[0]]))[0]]
+    assert guess_cost.corpus_words(frame, size=1) == []
+    for size in (12, 10_000):
+        assert guess_cost.corpus_words(frame, size=size) == brute_words(plain + strong + prose, size)
     found = {r.doc_id: r.spans for r in guess_cost.digests(frame).collect()}
     assert [plain[k] for k in range(len(plain)) if found[k]] == []
     assert [t for k, t in enumerate(strong, len(plain)) if "guess:" not in found[k]] == []
