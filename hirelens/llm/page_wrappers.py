@@ -4,8 +4,9 @@ A wrapper is a union-free regular expression over tags and text: a sequence of t
 own, constants, text slots, optional parts and repeated groups. Pages of a host are aligned one after another
 with the wrapper so far. A text that differs becomes a slot, a tag that one side lacks becomes optional, a tag that
 comes again makes a repeated group. Wrappers of parts of a host's pages are aligned in the same way, so no
-task has to see all pages of a host. The finished wrapper says which slots hold main text, and each page
-is read along it.
+task has to see all pages of a host. Beside it lie its slots: for each path of tags the letters in and outside links,
+and a hash of the texts there as long as all pages agree. From both comes the part that holds the host's main
+text, and each page is read along it.
 """
 
 from __future__ import annotations
@@ -24,10 +25,13 @@ from pyspark.sql import functions as F
 from .common import prepare, slices, texts_of, written
 
 TEXT, GROUP = "#", "("
-DEEPEST = 100  # what is nested deeper counts as lying at this depth; no text is lost
+DEEPEST = 100  # what is nested deeper lies flat at this depth, but for tags that change the role of their text
 HOSTS_HELD = 2000
-DIFFERENT = 3  # texts a host's pages need to have before what they share is left out
+DIFFERENT = 2  # with a single text there is nothing that could differ, so nothing is constant
+MOST, HALF = 0.8, 0.5  # shares of a host's varying text that make a part the main one, without and with a telling name
+LINKED = 0.8  # share of letters in links that makes a block a menu, on hosts whose pages name no main part
 SALTS = 32
+JOIN = "\x1f"
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*+>"
@@ -51,6 +55,7 @@ UNWANTED = re.compile(
     r"widget|toolbar|login|search|skip|contentinfo|complementary)(?:$|[\s_-]|\d)",
     re.I,
 )
+PARTS = set("html body div section center table tbody tr td".split())  # tags that may hold a host's main part
 WANTED = re.compile(r"(?:^|[\s_-])(?:main|article|post-?content|entry-?content|story|article-?body|post-?body)(?:$|[\s_-])", re.I)
 
 
@@ -58,20 +63,29 @@ WANTED = re.compile(r"(?:^|[\s_-])(?:main|article|post-?content|entry-?content|s
 
 
 def parse(page: str) -> list:
-    """The page as nested [symbol, children] and texts. Open tags that are never closed end with what holds them."""
+    """The page as nested [symbol, children] and texts. Open tags that are never closed end with what holds them.
+
+    Tags beyond ``DEEPEST`` get no node of their own unless they change the role of their text (a menu, say); blocks
+    among them leave an empty node where they begin and end.
+    """
     root: list = ["", []]
-    stack, at = [root], 0
-    deeper: list[str] = []  # the open tags beyond ``DEEPEST``, of which only the names are kept
+    opened = [("", root, "other", True)]  # name, the node that takes what comes, its role, whether the node is the tag's own
+    at, end = 0, len(page)
 
     def add_text(raw: str) -> None:
         if raw:
-            children = stack[-1][1]
+            children = opened[-1][1][1]
             if children and isinstance(children[-1], str):
                 children[-1] += raw
             else:
                 children.append(raw)
 
-    end = len(page)
+    def close_from(k: int) -> None:
+        broken = any(not own and name in BLOCKS for name, _, _, own in opened[k:])
+        del opened[k:]
+        if broken:
+            opened[-1][1][1].append(["div", []])
+
     while at < end:
         m = MARKUP.search(page, at)
         if m is None:
@@ -86,52 +100,40 @@ def parse(page: str) -> list:
             continue
         attrs = m["attrs"] or m["attrs2"] or ""
         if m["end"] or m["end2"]:
-            for k in range(len(deeper) - 1, -1, -1):
-                if deeper[k] == name:
-                    del deeper[k:]
+            for k in range(len(opened) - 1, 0, -1):
+                if opened[k][0] == name:
+                    close_from(k)
                     break
-            else:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0].split(" ", 1)[0] == name:
-                        del stack[k:]
-                        deeper.clear()
-                        break
             continue
         if name in RAW and not attrs.rstrip().endswith("/"):
             close = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else end
-            stack[-1][1].append([name, []])
+            opened[-1][1][1].append([name, []])
             continue
-        _end_open(stack, deeper, name)
+        ended = (("p",) if name in BLOCKS and name not in ENDS else ()) + ENDS.get(name, ())
+        for k in range(len(opened) - 1, 0, -1):
+            if opened[k][0] in ended:
+                close_from(k)
+                break
+            if opened[k][0] in BLOCKS:
+                break
         found = [next(x for x in g[1:] if x is not None) for g in (m.groups() for m in NAMED.finditer(attrs))] if attrs else []
         node = [" ".join([name, *(x.strip() for x in found)]), []]
-        stack[-1][1].append(node)
-        if name not in VOID and not attrs.rstrip().endswith("/"):
-            if len(stack) < DEEPEST:
-                stack.append(node)
-            else:
-                deeper.append(name)
+        _, above, role, _ = opened[-1]
+        if name in VOID or attrs.rstrip().endswith("/"):
+            above[1].append(node)
+            continue
+        inside = role_of(node[0], role)
+        if len(opened) < DEEPEST or inside != role:
+            above[1].append(node)
+            opened.append((name, node, inside, True))
+        else:
+            if name in BLOCKS:
+                above[1].append(node)
+            opened.append((name, above, role, False))
     return root[1]
 
 
-def _end_open(stack: list, deeper: list[str], name: str) -> None:
-    ended = ("p",) if name in BLOCKS and name not in ENDS else ()
-    ended += ENDS.get(name, ())
-    for k in range(len(deeper) - 1, -1, -1):
-        if deeper[k] in ended:
-            del deeper[k:]
-            return
-        if deeper[k] in BLOCKS:
-            return
-    names = [n[0].split(" ", 1)[0] for n in stack]
-    for k in range(len(stack) - 1, 0, -1):
-        if names[k] in ended:
-            del stack[k:]
-            return
-        if names[k] in BLOCKS:
-            return
-
-
 # --- wrappers -------------------------------------------------------------------------------
 # An item is [symbol, quantity, content]: quantity is 1 for optional plus 2 for repeated; content is the
 # constant or None (a slot) of a text, the items of a tag or group.
@@ -223,6 +225,76 @@ def regroup(items: list) -> list:
     return out
 
 
+# --- slots ------------------------------------------------------------------------------------
+
+
+def slots_of(tree: list) -> dict[str, list]:
+    """By path of tags: letters outside and in links, and a hash of the path's texts on one page in their order."""
+    texts: dict[str, list] = {}
+
+    def walk(children: list, path: str, linked: bool) -> None:
+        for child in children:
+            if isinstance(child, str):
+                words = " ".join(child.split())
+                if words:
+                    texts.setdefault(path, [linked, []])[1].append(words)
+            else:
+                walk(child[1], path + JOIN + child[0], linked or child[0].split(" ", 1)[0] == "a")
+
+    walk(tree, "", False)
+    out = {}
+    for path, (linked, words) in texts.items():
+        letters = sum(map(len, words))
+        digest = md5("\n".join(words).encode("utf-8", "replace")).hexdigest()[:16]
+        out[path] = [0 if linked else letters, letters if linked else 0, digest]
+    return out
+
+
+def meet_slots(known: dict[str, list], more: dict[str, list]) -> dict[str, list]:
+    """The slots of all pages behind both: letters are summed, a hash stays where both agree or only one has the path."""
+    for path, (plain, linked, digest) in more.items():
+        mine = known.get(path)
+        known[path] = [mine[0] + plain, mine[1] + linked, digest if mine[2] == digest else None] if mine else [plain, linked, digest]
+    return known
+
+
+def main_path(items: list, slots: dict[str, list]) -> str | None:
+    """The path of the lowest part that holds most of a host's varying text outside links; None if that is no part of the page.
+
+    A part is a tag that comes once on a page and has blocks inside. It needs ``MOST`` of the text of what holds it, or
+    ``HALF`` if its name tells, and a varying h1 has to lie in it. Menus, footers and the like do not count.
+    """
+    at, best = "", None
+
+    def letters(items: list, path: str, role: str, headings: bool = False) -> int:
+        total = 0
+        for item in items:
+            for symbol, _, content in item[2] if item[0] == GROUP else [item]:
+                if symbol == TEXT:
+                    plain, _, digest = slots.get(path, (0, 0, ""))
+                    total += plain if digest is None and (not headings or JOIN + "h1" in path) else 0
+                elif (inside := role_of(symbol, role)) != "out":
+                    total += letters(content, path + JOIN + symbol, inside, headings)
+        return total
+
+    while True:
+        whole, headed = letters(items, at, "other"), letters(items, at, "other", True)
+        for symbol, quantity, content in items:
+            name = symbol.split(" ", 1)[0]
+            if symbol in (TEXT, GROUP) or quantity & 2 or name not in PARTS or role_of(symbol, "other") == "out":
+                continue
+            blocks = {x[0].split(" ", 1)[0] for i in content for x in (i[2] if i[0] == GROUP else [i])} & BLOCKS
+            inner = at + JOIN + symbol
+            share = letters(content, inner, "other") / whole if whole else 0
+            telling = WANTED.search(symbol.partition(" ")[2]) is not None
+            if blocks and share >= (HALF if telling else MOST) and letters(content, inner, "other", True) == headed:
+                at, items = inner, content
+                best = at if name not in ("html", "body") else best
+                break
+        else:
+            return best
+
+
 # --- reading along a wrapper ----------------------------------------------------------------
 
 
@@ -238,36 +310,66 @@ def role_of(symbol: str, above: str) -> str:
     return above
 
 
-@lru_cache(maxsize=4096)
-def _index(wrapper: str) -> tuple[dict, int]:
-    """Nested lookup by symbol: role of the text there, whether it is a constant, and the tags inside; and how many
-    different texts, up to ``DIFFERENT``, the pages behind it have."""
+@lru_cache(maxsize=1024)
+def _index(wrapper: str) -> dict:
+    """Nested lookup by symbol: role of the text there, whether it is a constant to leave out, and the tags inside."""
     data = json.loads(wrapper)
+    slots = data.get("slots", {})
+    compared = len(data["pages"]) >= DIFFERENT
+    stated = _names_main(data["items"], "other")
+    chosen = main_path(data["items"], slots) if compared and not stated else None
 
-    def build(items: list, role: str) -> dict:
+    def linked(items: list, path: str) -> tuple[int, int]:
+        plain, links, _ = slots.get(path, (0, 0, None))
+        for item in items:
+            for symbol, _, content in item[2] if item[0] == GROUP else [item]:
+                if symbol != TEXT:
+                    below = linked(content, path + JOIN + symbol)
+                    plain, links = plain + below[0], links + below[1]
+        return plain, links
+
+    def build(items: list, role: str, path: str) -> dict:
         out: dict = {}
         for item in items:
             for symbol, _, content in item[2] if item[0] == GROUP else [item]:
                 if symbol == TEXT:
-                    out[TEXT] = (role, content is not None)
-                else:
-                    inside = role_of(symbol, role)
-                    out[symbol] = (inside, build(content, inside))
+                    out[TEXT] = (role, compared and path in slots and slots[path][2] is not None)
+                    continue
+                below = path + JOIN + symbol
+                inside = role_of(symbol, role)
+                if compared and not stated and inside != "out":
+                    # The host's part decides, whatever other parts are called.
+                    inside = "main" if below == chosen or role == "main" else "other" if chosen else inside
+                    if inside == "other" and symbol.split(" ", 1)[0] in BLOCKS:
+                        plain, links = linked(content, below)
+                        inside = "out" if links and links >= LINKED * (plain + links) else inside
+                out[symbol] = (inside, build(content, inside, below))
         return out
 
-    return build(data["items"], "other"), len(data["pages"])
+    return build(data["items"], "other", "")
+
+
+def _names_main(items: list, role: str) -> bool:
+    for item in items:
+        for symbol, _, content in item[2] if item[0] == GROUP else [item]:
+            if symbol != TEXT and (inside := role_of(symbol, role)) != "out":
+                if symbol.split(" ", 1)[0] in ("article", "main") or _names_main(content, inside):
+                    return True
+    return False
 
 
 def main_text(page: str, wrapper: str) -> str:
     """The text in the page's main slots, block by block; without such slots, in all slots that are not left out.
 
-    Constants of a host are no slots if its pages have three different texts or more, unless they stand in a main part.
-    Copies of a page do not tell what is constant.
+    Where a host's pages have article or main elements, these are the main part. Elsewhere it is the part that holds most
+    of the text in which the host's pages differ, and names only tell menus, adverts and the like apart. Outside
+    a main part, texts that are the same on all pages and blocks of links are left out. All that needs two pages
+    with different texts, since copies of a page do not tell what is constant.
     """
-    return read_tree(parse(page), *_index(wrapper))
+    return read_tree(parse(page), _index(wrapper))
 
 
-def read_tree(tree: list, index: dict, different: int) -> str:
+def read_tree(tree: list, index: dict) -> str:
     blocks: dict[str, list[str]] = {"main": [], "other": []}
     open_block: dict[str, list[str]] = {"main": [], "other": []}
 
@@ -282,7 +384,7 @@ def read_tree(tree: list, index: dict, different: int) -> str:
         for child in children:
             if isinstance(child, str):
                 here, constant = known.get(TEXT, (role, False))
-                if here == "main" or (here == "other" and not (constant and different >= DIFFERENT)):
+                if here == "main" or (here == "other" and not constant):
                     open_block[here].append(child)
                 continue
             name = child[0].split(" ", 1)[0]
@@ -312,14 +414,17 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def _combine(kept: dict[str, list], host: str, items: list, pages: list[str]) -> None:
+def _combine(kept: dict[str, list], host: str, items: list, pages: list[str], slots: dict[str, list]) -> None:
     """Hashes of different texts are kept up to ``DIFFERENT``, more do not count."""
     known = kept.get(host)
-    kept[host] = [align(known[0], items), sorted({*known[1], *pages})[:DIFFERENT]] if known else [items, pages]
+    if known:
+        kept[host] = [align(known[0], items), sorted({*known[1], *pages})[:DIFFERENT], meet_slots(known[2], slots)]
+    else:
+        kept[host] = [items, pages, slots]
 
 
 def _rows(kept: dict[str, list]) -> pa.RecordBatch:
-    texts = [json.dumps({"items": i, "pages": n}, ensure_ascii=False, separators=(",", ":")) for i, n in kept.values()]
+    texts = [json.dumps({"items": i, "pages": n, "slots": s}, ensure_ascii=False, separators=(",", ":")) for i, n, s in kept.values()]
     return pa.RecordBatch.from_arrays([pa.array(list(kept), pa.string()), pa.array(texts, pa.string())], ["host", "wrapper"])
 
 
@@ -336,7 +441,7 @@ def wrappers(pages: DataFrame, url: str = "url", column: str = "html") -> DataFr
         for batch in batches:
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 tree = parse(page)
-                _combine(kept, host, items_of(tree), [md5(read_tree(tree, {}, 0).encode("utf-8", "replace")).hexdigest()])
+                _combine(kept, host, items_of(tree), [md5(read_tree(tree, {}).encode("utf-8", "replace")).hexdigest()], slots_of(tree))
                 if len(kept) > HOSTS_HELD:
                     yield _rows(kept)
                     kept = {}
@@ -348,7 +453,7 @@ def wrappers(pages: DataFrame, url: str = "url", column: str = "html") -> DataFr
         for batch in batches:
             for text in batch.column(batch.schema.get_field_index("wrapper")).to_pylist():
                 data = json.loads(text)
-                _combine(kept, key[0].as_py(), data["items"], data["pages"])
+                _combine(kept, key[0].as_py(), data["items"], data["pages"], data["slots"])
         yield _rows(kept)
 
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(column).alias("html")).where(F.col("html").isNotNull())

@@ -143,6 +143,54 @@ def test_closed_tags_beyond_the_depth_leave_the_article_open():
     assert page_wrappers.main_text(deep, json.dumps({"items": [], "pages": []})) == "in\nafter"
 
 
+def plain_site(k, extra=""):
+    """A page without article, main or telling names, and its main text."""
+    story = [f"Report {k} of the harbour", f"The ships of day {k} came in late because of the wind. {PROSE}", "Weather as usual.", f"In all {k + 3} boats were counted &amp; listed."]
+    page = (f"<html><head><title>x</title></head><body><div class=k1><ul><li><a href=/>Home</a><li><a href=/b>About us</a></ul></div>"
+            f"<div class=k2><div class=k3><h1>{story[0]}</h1><p>{story[1]}</p><div class=k7>{story[2]}</div><p>{story[3]}</p>{extra}</div>"
+            f"<div class=k4><ul><li><a href=/{k}>See number {k * 7} too</a><li><a href=/y>And {k * 11} there</a></ul></div></div>"
+            f"<div class=k5><p>Printed by the town press.</p><p>Page made on day {k}</p></div></body></html>")
+    return page, "\n".join(story).replace("&amp;", "&")
+
+
+def test_the_wrapper_finds_the_main_part_without_telling_names(spark):
+    for count in (2, 3, 8):
+        made = [plain_site(k) for k in range(count)]
+        rows = [(k, f"http://plain/{k}", page) for k, (page, _) in enumerate(made)]
+        got = {r.page_id: r.text for r in page_wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        assert got == {k: text for k, (_, text) in enumerate(made)}
+    empty = json.dumps({"items": [], "pages": []})
+    assert all(page_wrappers.main_text(page, empty) != text for page, text in made)
+
+
+def test_the_part_decides_over_names_and_keeps_headings():
+    def known(pages):
+        kept = {}
+        for page in pages:
+            tree = page_wrappers.parse(page)
+            page_wrappers._combine(kept, "h", page_wrappers.items_of(tree), [page], page_wrappers.slots_of(tree))
+        return page_wrappers._rows(kept).column(1)[0].as_py()
+
+    pages = [f"<div id=story>Top story {k}</div><div id=q><p>{PROSE} {k}</p><p>{k} more of it</p></div>" for k in range(3)]
+    assert page_wrappers.main_text(pages[1], known(pages)) == f"{PROSE} 1\n1 more of it"
+    # A headline beside the part belongs to the text.
+    pages = [f"<div id=w><h1>Head {k}</h1><div id=q><p>{PROSE} {k}</p><p>{k} more</p></div></div>" for k in range(3)]
+    assert page_wrappers.main_text(pages[2], known(pages)) == f"Head 2\n{PROSE} 2\n2 more"
+    # Nearly equal pages keep what they share.
+    pages = [f"<div id=w><p>{PROSE}</p><p>{PROSE} {k}</p></div>" for k in range(2)]
+    assert page_wrappers.main_text(pages[0], known(pages)) == f"{PROSE}\n{PROSE} 0"
+
+
+def test_roles_and_blocks_hold_at_any_depth():
+    empty = json.dumps({"items": [], "pages": []})
+    for depth in (3, 99, 100, 101, 102, 500):
+        inner = "<nav><ul><li>Home</li></ul></nav><p>one</p><p>two<div class=comments><p>first!</p></div><footer>f</footer><p>three"
+        page = "<article>" + "<div>" * depth + inner + "</div>" * depth + "<p>four</article><p>rest"
+        assert page_wrappers.main_text(page, empty) == "one\ntwo\nthree\nfour"
+        page = "<div>" * depth + "<p>menu</p><article><p>in</p></article><p>x</p>" + "</div>" * depth
+        assert page_wrappers.main_text(page, empty) == "in"
+
+
 def test_extraction_equals_the_articles(spark):
     import html
 
