@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars, web
 from ..operators import reshape
-from ..sources import readers
+from ..session import scratch_path, written
+from ..sources import id_index, readers
 from .inputs import table
 from .registry import query
 
@@ -172,6 +173,24 @@ def anti_join_seen(spark, sf):
     return reshape.anti_join_seen(rows, seen, F.col("id"), F.col("id"), keep_null_ids=True)
 
 
+@query("anti_join_indexed", """SELECT 2 AS load, id, o_orderkey FROM (SELECT CASE WHEN o_orderkey % 11 = 0 THEN NULL
+  WHEN o_orderkey % 13 = 0 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS id, o_orderkey FROM orders)
+WHERE id IS NULL OR id = '' OR o_orderkey % 3 <> 0
+UNION ALL SELECT 3, NULL, o_orderkey FROM orders WHERE o_orderkey % 11 = 0
+UNION ALL SELECT 3, '', o_orderkey FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 = 0""")
+def anti_join_indexed(spark, sf):
+    """A third of the ids in an index, then all rows loaded behind it, twice; the second time only rows without an id are new."""
+    key, path = F.col("o_orderkey"), scratch_path(spark, "index")
+    ident = F.when(key % 11 == 0, None).when(key % 13 == 0, "").otherwise(key.cast("string")).alias("id")
+    rows = table(spark, sf, "orders").select(ident, "o_orderkey")
+    id_index.create(spark, path, rows.count())
+    id_index.extend(rows.where("o_orderkey % 3 = 0"), "id", path)
+    second = written(id_index.unseen(rows, "id", path), "second")
+    id_index.extend(second, "id", path)
+    third = id_index.unseen(rows, "id", path)
+    return second.select(F.lit(2).alias("load"), "*").unionByName(third.select(F.lit(3).alias("load"), "*"))
+
+
 # --- aggregates -----------------------------------------------------------------------------
 
 

@@ -93,22 +93,24 @@ def rebuild(df: DataFrame, path: str, tag: str | None = None, keep: Sequence[str
     return number
 
 
-def append(df: DataFrame, path: str) -> int:
-    """A new version with the rows so far and those of ``df``, which may have other columns or types."""
+def append(df: DataFrame, path: str, tag: str | None = None) -> int:
+    """A new version with the rows so far and those of ``df``, which may have other columns or types; ``tag`` as in :func:`rebuild`."""
     number, parts = _next(df.sparkSession, path)
-    _commit(df.sparkSession, path, number, {"schema": json.loads(df.schema.json()), "parts": [*parts, *_write(df, path)]})
+    schema = json.loads(df.drop(tag).schema.json() if tag else df.schema.json())
+    _commit(df.sparkSession, path, number, {"schema": schema, "parts": [*parts, *_write(df, path, tag)]})
     return number
 
 
-def read(spark: SparkSession, path: str, version: int | None = None, tag: str | None = None) -> DataFrame:
-    """The rows of a version, the latest if none is named, under the superset of its parts' schemas; of one tag only, if given."""
+def read(spark: SparkSession, path: str, version: int | None = None, tag: str | Sequence[str] | None = None) -> DataFrame:
+    """The rows of a version, the latest if none is named, under the superset of its parts' schemas; of one tag or several only, if given."""
     known = versions(spark, path)
     if not known or (version is not None and version not in known):
         raise ValueError(f"no version {'' if version is None else version} of a table at {path}")
     said = entry(spark, path, known[-1] if version is None else version)
     same: dict[str, list[str]] = {}
+    tags = {tag} if isinstance(tag, str) else None if tag is None else set(tag)
     for part in said["parts"]:
-        if tag is None or part.get("tag") == tag:
+        if tags is None or part.get("tag") in tags:
             same.setdefault(json.dumps(part["schema"]), []).append(f"{path.rstrip('/')}/{part['folder']}")
     if not same:
         return spark.createDataFrame([], T.StructType.fromJson(said["schema"]))
