@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import job_ref, surrogate_key
 from ..operators import reshape
 from ..plans import history, marts, star
-from ..session import scratch_path
+from ..session import scratch_path, written
 from ..sources import table_log
 from .inputs import JOB_SQL, key_sql, posting_skills, stored_postings, table
 from .registry import query
@@ -20,9 +20,13 @@ DAYS = [dt.date(2001, 6, k) for k in (1, 2, 3)]
 KEYS = ["job_skill_key"]
 
 
-def delivery(spark, sf, k: int, stored: DataFrame | None = None) -> DataFrame:
+def listed(spark, sf, stored: DataFrame | None = None) -> DataFrame:
+    """The jobs' skills, written once for the days that deliver of them."""
+    return written(posting_skills(spark, sf, stored).select("source_job_id", "job_id", "skill"), "listed")
+
+
+def delivery(rows: DataFrame, k: int) -> DataFrame:
     """What day ``k`` (1 to 3) delivers of the jobs' skills: every fourth order is missing, in turn, and levels change."""
-    rows = posting_skills(spark, sf, stored)
     number = F.regexp_replace(job_ref(), "L", "").cast("bigint")
     return rows.where((number + k) % 4 != 0).select(
         surrogate_key(job_ref(), "skill").alias("job_skill_key"),
@@ -44,16 +48,17 @@ GROUP BY job_skill_key, job_id, skill_name, level, island"""
 
 def _merged(spark, sf, order, stored=None) -> str:
     """The place of a history to which the days were delivered in the given order."""
-    place = scratch_path(spark, "history")
+    place, rows = scratch_path(spark, "history"), listed(spark, sf, stored)
     for k in order:
-        history.deliver(spark, place, delivery(spark, sf, k, stored), KEYS, DAYS[k - 1])
+        history.deliver(spark, place, delivery(rows, k), KEYS, DAYS[k - 1])
     return place
 
 
 @query("history_build", with_ctes("listed", HISTORY))
 def history_build(spark, sf):
     """All deliveries at once."""
-    days = [delivery(spark, sf, k).withColumn("delivered_at", F.lit(day)) for k, day in enumerate(DAYS, 1)]
+    rows = listed(spark, sf)
+    days = [delivery(rows, k).withColumn("delivered_at", F.lit(day)) for k, day in enumerate(DAYS, 1)]
     return history.build(days[2].unionAll(days[0]).unionAll(days[1]), KEYS)
 
 

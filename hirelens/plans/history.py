@@ -49,14 +49,16 @@ def build(deliveries: DataFrame, keys: Sequence[str], at: str = "delivered_at")
     return made.select(*keys, *values, FROM, F.col("__last.__next").alias(TO))
 
 
-def merge(history: DataFrame, delivery: DataFrame, keys: Sequence[str], at: Column, following: Column | None = None) -> DataFrame:
+def merge(
+    history: DataFrame, delivery: DataFrame, keys: Sequence[str], at: Column, following: Column | None = None, buckets: int | None = None
+) -> DataFrame:
     """``history`` with one more delivery, made at ``at``.
 
     ``following`` is the time of the next later delivery that the history already has, if this one is late. Versions that
-    hold at both times and the rows delivered meet by key in one shuffle; all other versions pass as they are.
+    hold at both times and the rows delivered meet by key in one shuffle; all other versions pass as they are. If the
+    history lies in so many ``buckets`` by the keys, its rows stay where they are and only those delivered are shuffled.
     """
     values = _values(history, keys)
-    new = distinct_keys(delivery.select(*keys, *values), keys)
     at = at.cast(history.schema[FROM].dataType)
     later = (F.lit(None) if following is None else following).cast(history.schema[FROM].dataType)
     # A version of this very time is there only if the delivery is merged again.
@@ -64,11 +66,15 @@ def merge(history: DataFrame, delivery: DataFrame, keys: Sequence[str], at: Colu
     starts = F.coalesce(F.col(FROM) == later, F.lit(False))
     state = F.struct(*[F.col(c) for c in values], F.lit(True).alias("__there"))
     version = F.struct(state.alias("state"), FROM, TO)
-    touched = history.where(holds | starts).select(*keys, F.when(holds, version).alias("old"), F.when(starts, version).alias("next"))
-    sent = new.select(*keys, state.alias("new"))
-    met = touched.unionByName(sent, allowMissingColumns=True).groupBy(*keys)
-    # Each key has one version at a time and one row in a delivery, so there is one value to find.
-    met = met.agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("old", "next", "new")])
+    touched = history.where(holds | starts).select(*keys, *values, FROM, TO)
+    sent = delivery.select(*keys, *values)
+    sent = sent.repartition(buckets, *[F.col(k) for k in keys]) if buckets else sent
+    # Rows delivered are known by a missing start. Versions are made structs only where rows have met: Spark does not see
+    # the buckets of a union behind new columns.
+    nothing = {c: F.lit(None).cast(history.schema[c].dataType) for c in (FROM, TO)}
+    sides = {"old": F.when(holds, version), "next": F.when(starts, version), "new": F.when(F.col(FROM).isNull(), state)}
+    # Each key has one version at a time; of its rows in a delivery the least counts, as in distinct_keys.
+    met = touched.unionAll(sent.withColumns(nothing)).groupBy(*keys).agg(*[F.min(c).alias(name) for name, c in sides.items()])
 
     def piece(state: Column, start: Column, end: Column) -> Column:
         return F.struct(state.alias("state"), start.alias(FROM), end.alias(TO))
@@ -92,7 +98,8 @@ def merge(history: DataFrame, delivery: DataFrame, keys: Sequence[str], at: Colu
 def deliver(spark: SparkSession, path: str, delivery: DataFrame, keys: Sequence[str], at, kind: str = "date") -> bool:
     """Merge a delivery into the history stored at ``path``; False if one of that time is in it already.
 
-    Open and closed versions lie apart: a delivery that is not late reads and writes the open ones and what it closes.
+    Versions lie in buckets by key, as many as there are shuffle partitions at the first delivery, so that later ones move
+    only their own rows. Open and closed versions lie apart: a delivery that is not late reads and writes the open ones and what it closes.
     History and log of deliveries are tables of versions, so a delivery is merged whole or not at all; if it got into the
     history but not into the log, merging it again changes nothing.
     """
@@ -103,15 +110,20 @@ def deliver(spark: SparkSession, path: str, delivery: DataFrame, keys: Sequence[
         delivered = F.col("delivered_at")
         found = table_log.read(spark, log).agg(F.max(delivered == time), F.min(F.when(delivered > time, delivered))).first()
         if found[0]:
+    buckets = (int(spark.conf.get("spark.sql.shuffle.partitions")), keys)
             return False
         following = None if found[1] is None else F.lit(found[1])
     if table_log.versions(spark, rows):
         known = table_log.read(spark, rows, tag=None if following is not None else OPEN)
-        now = merge(known, delivery, keys, time, following)
+        # The rows of a history without buckets are shuffled once, and lie in buckets from then on.
+        lie_in = table_log.buckets_of(spark, rows)
+        buckets = lie_in or buckets
+        now = merge(known, delivery, keys, time, following, lie_in and lie_in[0])
     else:
-        now = distinct_keys(delivery, keys).withColumns({FROM: time, TO: F.lit(None).cast(kind)})
+        by = delivery.repartition(buckets[0], *[F.col(k) for k in keys])
+        now = distinct_keys(by, keys).withColumns({FROM: time, TO: F.lit(None).cast(kind)})
     state = F.when(F.col(TO).isNull(), OPEN).otherwise(CLOSED)
-    table_log.rebuild(now.withColumn("__state", state), rows, "__state", keep=[] if following is not None else [CLOSED])
+    table_log.rebuild(now.withColumn("__state", state), rows, "__state", keep=[] if following is not None else [CLOSED], buckets=buckets)
     table_log.append(spark.range(1).select(time.alias("delivered_at")), log)
     return True
 

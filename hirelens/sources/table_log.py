@@ -2,7 +2,8 @@
 
 A version's files are complete before its entry is made, in one step that fails if the number is taken. Readers take the
 highest entry, so they never see a table half rebuilt, and a rebuild that fails leaves the rows as they were.
-Schemas come from the log; no file's footer is read for them.
+Schemas come from the log; no file's footer is read for them. Rows may lie in buckets by key, so that a later shuffle by
+this key moves only the rows that join them.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -62,17 +64,53 @@ def _commit(spark: SparkSession, path: str, version: int, content: dict) -> None
         raise VersionTaken(f"version {version} of {path} is there already")
 
 
-def _write(df: DataFrame, path: str, tag: str | None = None) -> list[dict]:
+def _write(df: DataFrame, path: str, tag: str | None = None, buckets: tuple[int, Sequence[str]] | None = None) -> list[dict]:
     """The parts written: one folder, or with ``tag`` one for each value of that column, which itself is not written."""
     spark, name = df.sparkSession, f"files-{uuid.uuid4().hex}"
     schema = json.loads(df.drop(tag).schema.json() if tag else df.schema.json())
+    folder, part = f"{path.rstrip('/')}/{name}", {"schema": schema}
+    writer = df.write.format("parquet").option("compression", "zstd")
+    writer = writer.partitionBy(tag) if tag else writer
+    if buckets is None:
+        writer.save(folder)
+    else:
+        count, keys = buckets
+        made = _table_name()
+        writer.bucketBy(count, *keys).option("path", folder).saveAsTable(made)
+        spark.sql(f"DROP TABLE {made}")  # the files stay
+        part["buckets"] = {"count": count, "keys": [*keys]}
     if tag is None:
-        df.write.parquet(f"{path.rstrip('/')}/{name}")
-        return [{"folder": name, "schema": schema}]
-    df.write.partitionBy(tag).parquet(f"{path.rstrip('/')}/{name}")
+        return [{"folder": name, **part}]
     hadoop, _, files = _folder(spark, path)
-    made = sorted(f.getPath().getName() for f in files.listStatus(hadoop(f"{path.rstrip('/')}/{name}")) if f.isDirectory())
-    return [{"folder": f"{name}/{m}", "schema": schema, "tag": m.partition("=")[2]} for m in made]
+    made = sorted(f.getPath().getName() for f in files.listStatus(hadoop(folder)) if f.isDirectory())
+    return [{"folder": f"{name}/{m}", **part, "tag": m.partition("=")[2]} for m in made]
+
+
+def _table_name() -> str:
+    return f"hirelens_{uuid.uuid4().hex}"
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _read_buckets(spark: SparkSession, folder: str, schema: T.StructType, count: int, keys: Sequence[str]) -> DataFrame:
+    """The rows of a folder of which Spark knows that they lie in buckets; only a table can say so."""
+    types = spark._jvm.org.apache.spark.sql.types.DataType
+    columns = ", ".join(f"{_quoted(f.name)} {types.fromJson(f.dataType.json()).sql()}" for f in schema.fields)
+    name, by, place = _table_name(), ", ".join(map(_quoted, keys)), folder.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) INTO {count} BUCKETS LOCATION '{place}'")
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def buckets_of(spark: SparkSession, path: str) -> tuple[int, list[str]] | None:
+    """The number and keys of the buckets in which all rows of the latest version lie, if they do."""
+    known = {json.dumps(p.get("buckets")) for p in entry(spark, path, versions(spark, path)[-1])["parts"]}
+    said = json.loads(known.pop()) if len(known) == 1 else None
+    return (said["count"], said["keys"]) if said else None
 
 
 def _next(spark: SparkSession, path: str) -> tuple[int, list[dict]]:
@@ -80,16 +118,19 @@ def _next(spark: SparkSession, path: str) -> tuple[int, list[dict]]:
     return (before[-1] + 1, entry(spark, path, before[-1])["parts"]) if before else (1, [])
 
 
-def rebuild(df: DataFrame, path: str, tag: str | None = None, keep: Sequence[str] = ()) -> int:
+def rebuild(
+    df: DataFrame, path: str, tag: str | None = None, keep: Sequence[str] = (), buckets: tuple[int, Sequence[str]] | None = None
+) -> int:
     """A new version with the rows of ``df``; its number. ``df`` may read the table itself.
 
     With ``tag``, the name of a column, rows lie in parts by its value. Parts of the version before with a tag in
-    ``keep`` stay beside them without being read.
+    ``keep`` stay beside them without being read. With ``buckets``, a number and columns, each part lies in so many
+    buckets by these; tasks should hold one bucket each, since each task writes a file for each bucket it has.
     """
     number, parts = _next(df.sparkSession, path)
     kept = [p for p in parts if p.get("tag") in set(keep)]
     schema = json.loads(df.drop(tag).schema.json() if tag else df.schema.json())
-    _commit(df.sparkSession, path, number, {"schema": schema, "parts": [*kept, *_write(df, path, tag)]})
+    _commit(df.sparkSession, path, number, {"schema": schema, "parts": [*kept, *_write(df, path, tag, buckets)]})
     return number
 
 
@@ -107,18 +148,22 @@ def read(spark: SparkSession, path: str, version: int | None = None, tag: str |
     if not known or (version is not None and version not in known):
         raise ValueError(f"no version {'' if version is None else version} of a table at {path}")
     said = entry(spark, path, known[-1] if version is None else version)
-    same: dict[str, list[str]] = {}
+    same: dict[str, list[dict]] = {}
     tags = {tag} if isinstance(tag, str) else None if tag is None else set(tag)
     for part in said["parts"]:
         if tags is None or part.get("tag") in tags:
-            same.setdefault(json.dumps(part["schema"]), []).append(f"{path.rstrip('/')}/{part['folder']}")
+            same.setdefault(json.dumps(part["schema"]), []).append(part)
     if not same:
         return spark.createDataFrame([], T.StructType.fromJson(said["schema"]))
-    groups = {
-        str(k): spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*folders)
-        for k, (schema, folders) in enumerate(same.items())
-    }
-    return union_relations(groups, source_column=None)
+
+    def rows(schema: T.StructType, parts: list[dict]) -> DataFrame:
+        plain = [f"{path.rstrip('/')}/{p['folder']}" for p in parts if "buckets" not in p]
+        made = [spark.read.schema(schema).parquet(*plain)] if plain else []
+        made += [_read_buckets(spark, f"{path.rstrip('/')}/{p['folder']}", schema, **p["buckets"]) for p in parts if "buckets" in p]
+        return reduce(DataFrame.unionAll, made)
+
+    groups = {str(k): rows(T.StructType.fromJson(json.loads(schema)), parts) for k, (schema, parts) in enumerate(same.items())}
+    return groups["0"] if len(groups) == 1 else union_relations(groups, source_column=None)
 
 
 def schema_log(spark: SparkSession, path: str) -> list[tuple[int, T.StructType]]:

@@ -104,6 +104,32 @@ def test_an_on_time_delivery_leaves_closed_rows_unread(spark):
     assert closed and set(closed) <= {p["folder"] for p in last}
 
 
+def _exchanges(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().split("Exchange ")[1:]
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2, 3], [1, 3, 2, 0], [0, 2, 3, 1]])
+def test_a_delivery_moves_only_its_own_rows(spark, monkeypatch, order):
+    """Stored versions lie in buckets by key: one shuffle, with the delivered rows, even if the delivery is late."""
+    plans, rebuild, place = [], table_log.rebuild, scratch_path(spark, "history")
+    monkeypatch.setattr(table_log, "rebuild", lambda df, *a, **k: (plans.append(_exchanges(df)), rebuild(df, *a, **k))[1])
+    deliveries = made(11, 4)
+    for k in order:
+        history.deliver(spark, place, frame_of(spark, deliveries[k]), ["id", "name"], day(k))
+    assert [len(p) for p in plans] == [1] * 4
+    assert as_rows(history.stored(spark, place)) == brute_history(deliveries)
+
+
+def test_buckets_of_odd_names_and_no_rows(spark):
+    place = scratch_path(spark, "odd names")
+    rows = spark.createDataFrame([(1, "a", (2, "x")), (None, "it's", None)], "`an id` int, `b``c` string, s struct<`d e`: int, f: string>")
+    table_log.rebuild(rows.repartition(3, "`an id`"), place, buckets=(3, ["an id"]))
+    table_log.append(rows.where("false"), place)
+    assert sorted(table_log.read(spark, place).collect(), key=repr) == sorted(rows.collect(), key=repr)
+    assert table_log.buckets_of(spark, place) is None
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("hirelens_")]
+
+
 # --- tables of versions -----------------------------------------------------------------------
 
 
