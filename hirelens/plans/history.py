@@ -32,13 +32,17 @@ def distinct_keys(delivery: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def build(deliveries: DataFrame, keys: Sequence[str], at: str = "delivered_at") -> DataFrame:
-    """The history of all deliveries, told apart by the column ``at``. Nothing is assumed of the rows' order."""
+    """The history of all deliveries, told apart by the column ``at``. Nothing is assumed of the rows' order.
+
+    Rows are shuffled by key once, for a key's repeats, its row in each delivery and its versions.
+    """
     values = _values(deliveries, keys, [at])
     # One row for each delivery, so that a delivery that lacks a key is known.
     times = deliveries.select(at).distinct()
     in_time = Window.orderBy(at)
     times = times.select(at, F.row_number().over(in_time).alias("__number"), F.lead(at).over(in_time).alias("__next"))
-    rows = distinct_keys(deliveries.select(*keys, at, *values), [*keys, at]).join(times, at)
+    by = deliveries.select(*keys, at, *values).repartition(*[F.col(k) for k in keys])
+    rows = distinct_keys(by, [*keys, at]).join(F.broadcast(times), at)
     by_key = Window.partitionBy(*keys).orderBy("__number")
     state = F.struct(*values) if values else F.lit(True)
     goes_on = (F.lag("__number").over(by_key) == F.col("__number") - 1) & F.lag(state).over(by_key).eqNullSafe(state)
@@ -106,11 +110,11 @@ def deliver(spark: SparkSession, path: str, delivery: DataFrame, keys: Sequence[
     rows, log = f"{path.rstrip('/')}/history", f"{path.rstrip('/')}/deliveries"
     time = F.lit(at).cast(kind)
     following = None
+    buckets = (int(spark.conf.get("spark.sql.shuffle.partitions")), keys)
     if table_log.versions(spark, log):
         delivered = F.col("delivered_at")
         found = table_log.read(spark, log).agg(F.max(delivered == time), F.min(F.when(delivered > time, delivered))).first()
         if found[0]:
-    buckets = (int(spark.conf.get("spark.sql.shuffle.partitions")), keys)
             return False
         following = None if found[1] is None else F.lit(found[1])
     if table_log.versions(spark, rows):

@@ -120,6 +120,12 @@ def test_a_delivery_moves_only_its_own_rows(spark, monkeypatch, order):
     assert as_rows(history.stored(spark, place)) == brute_history(deliveries)
 
 
+def test_all_deliveries_at_once_are_shuffled_by_key_once(spark):
+    rows = [frame_of(spark, rows).withColumn("delivered_at", F.lit(day(k))) for k, rows in made(12, 2).items()]
+    plan = history.build(rows[0].unionAll(rows[1]), ["id", "name"])
+    assert len([e for e in _exchanges(plan) if e.startswith("hashpartitioning") and "id#" in e.split("\n")[0]]) == 1
+
+
 def test_buckets_of_odd_names_and_no_rows(spark):
     place = scratch_path(spark, "odd names")
     rows = spark.createDataFrame([(1, "a", (2, "x")), (None, "it's", None)], "`an id` int, `b``c` string, s struct<`d e`: int, f: string>")
