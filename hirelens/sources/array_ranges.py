@@ -3,8 +3,8 @@
 Spark's text reader cuts a file into ranges and each range into records at commas, wherever these stand. Records are
 joined to chunks again, and each chunk tells how many quotes it has and how its brackets change the depth if it
 begins outside or inside of a string. Running sums of that over a file's chunks say how each one really begins, so
-that all chunks can be cut at the commas of the outermost array independently. Only the pieces at chunks' ends meet
-in a shuffle, where they are joined to items.
+that all ranges can be cut at the commas of the outermost array independently, chunk by chunk. Only the pieces at chunks'
+ends meet in a shuffle, where they are joined to items. Python holds one chunk and one Arrow batch of records at a time.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ END_MARK = "end of the item"
 FILE = ["file_a", "file_b"]  # two hashes of the path stand for it, so that records stay short
 CHUNK = [*FILE, "start", "seq"]
 SPACES = r"^[ \t\r\n]*$"
+OBJECT = r"^[ \t\r\n]*\{"
 COMPRESSED = r"\.(gz|bz2|zst|lz4|snappy|deflate)$"
 
 
@@ -65,16 +66,20 @@ def _chunker(chunk_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                     key, seq, held, size = here, 0, [], 0
                 part = values.slice(lo, hi - lo)
                 ends = np.cumsum(pc.binary_length(part).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
-                texts, at, done = part.to_pylist(), 0, 0
-                while at < len(texts):
-                    stop = int(np.searchsorted(ends, done + chunk_bytes - size)) + 1
-                    if stop > len(texts):
-                        held += texts[at:]
-                        size += int(ends[-1]) - done
-                        break
-                    held += texts[at:stop]
-                    yield (*key, seq), b",".join(held) + b","
-                    at, done, seq, held, size = stop, int(ends[stop - 1]), seq + 1, [], 0
+                stops, done = [0], -size
+                while (stop := int(np.searchsorted(ends, done + chunk_bytes)) + 1) <= len(part):
+                    stops.append(stop)
+                    done = int(ends[stop - 1])
+                full = len(stops) - 1
+                if stops[-1] < len(part):
+                    stops.append(len(part))
+                lists = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), part)
+                for k, text in enumerate(pc.binary_join(lists, b",").to_pylist()):
+                    held.append(text)
+                    if k < full:
+                        yield (*key, seq), b",".join(held) + b","
+                        seq, held = seq + 1, []
+                size = int(ends[-1]) - done if full < len(stops) - 1 else 0
         if held:
             yield (*key, seq), b",".join(held) + b","
 
@@ -131,24 +136,22 @@ def _states(summaries: DataFrame) -> DataFrame:
     return stepped.select(*CHUNK, "bytes", "quotes", "step", "in_text", "depth", F.row_number().over(ordered).cast("long").alias("number"), last.cast("long").alias("last"))
 
 
+def _starts(states: DataFrame) -> DataFrame:
+    """How each range's first chunk begins, the number of its chunks, and whether the file ends with them."""
+    return states.groupBy(*FILE, "start").agg(
+        F.min_by("in_text", "seq").cast("int").alias("in_text"), F.min_by("depth", "seq").alias("depth"), F.min("number").alias("number"),
+        F.count(F.lit(1)).cast("int").alias("chunks"), (F.max("last") == 1).alias("ends"),
+    )
+
+
 def _pieces(records: DataFrame, states: DataFrame, chunk_bytes: int) -> DataFrame:
     """(file, number, place, commas, piece): a chunk's pieces between commas of the outermost array.
 
     A chunk that breaks the form of a single array has a place of -1.
     """
     chunks, (structure, step) = _chunker(chunk_bytes), _structure()
-    fields = ", ".join(f"{n} long" for n in CHUNK)
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, data in chunks(batches):
-            yield pa.RecordBatch.from_arrays([*[pa.array([v], pa.int64()) for v in key], pa.array([data], pa.binary())], [*CHUNK, "data"])
-
-    def cut(data: bytes, in_text: int, depth: int, first: bool, last: bool) -> list[bytes] | None:
-        data = data[:-1] if last else data
-        at, byte, before, _ = structure(np.frombuffer(data, np.uint8))
-        live = (before + in_text) % 2 == 0
-        at, byte = at[live], byte[live]
-        steps = step[byte]
+    def cut(data: bytes, at, byte, steps, depth: int, first: bool) -> list[bytes] | None:
         depths = depth + np.cumsum(steps)
         opened, closed = at[(steps == 1) & (depths == 1)], at[(steps == -1) & (depths == 0)]
         if (len(depths) and depths.min() < 0) or len(opened) != int(first) or len(closed) > 1:
@@ -163,16 +166,35 @@ def _pieces(records: DataFrame, states: DataFrame, chunk_bytes: int) -> DataFram
         return [data[a:b] for a, b in zip([lo, *(p + 1 for p in places)], [*places, hi])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                made = cut(row["data"], row["in_text"], row["depth"], row["number"] == 1, row["last"] == 1)
-                found, places = ([b""], [-1]) if made is None else (made, range(len(made)))
-                same = [pa.array([row[n]] * len(found), pa.int64()) for n in (*FILE, "number")]
-                commas = pa.array([len(found) - 1] * len(found), pa.int64())
-                yield pa.RecordBatch.from_arrays([*same, pa.array(places, pa.int64()), commas, pa.array(found, pa.binary())], names)
+        begins: dict[tuple, tuple] = {}
+
+        def noted() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                # A range's records follow each other, so its state is read where its first record is.
+                ids = np.stack([batch.column(k).to_numpy() for k in range(3)])
+                for k in [0, *(np.flatnonzero((np.diff(ids) != 0).any(axis=0)) + 1).tolist()] if batch.num_rows else []:
+                    begins.setdefault(tuple(ids[:, k].tolist()), tuple(batch.column(c)[k].as_py() for c in range(4, 9)))
+                yield batch
+
+        for (*file, start, seq), data in chunks(noted()):
+            if seq == 0:
+                in_text, depth, number, count, ends = begins.pop((*file, start))
+            data = data[:-1] if ends and seq == count - 1 else data
+            at, byte, before, quotes = structure(np.frombuffer(data, np.uint8))
+            live = (before + in_text) % 2 == 0
+            at, byte = at[live], byte[live]
+            steps = step[byte]
+            made = cut(data, at, byte, steps, depth, number + seq == 1)
+            in_text, depth = (in_text + quotes) % 2, depth + int(steps.sum())
+            found, places = ([b""], [-1]) if made is None else (made, range(len(made)))
+            same = [pa.array([v] * len(found), pa.int64()) for v in (*file, number + seq)]
+            commas = pa.array([len(found) - 1] * len(found), pa.int64())
+            yield pa.RecordBatch.from_arrays([*same, pa.array(places, pa.int64()), commas, pa.array(found, pa.binary())], names)
 
     names = [*FILE, "number", "place", "commas", "piece"]
-    told = records.mapInArrow(join, f"{fields}, data binary").join(states.drop("bytes", "quotes", "step"), CHUNK)
+    # Only a broadcast leaves a range's records in their order; there is one row for each range.
+    told = records.join(F.broadcast(_starts(states)), [*FILE, "start"])
+    told = told.select(*FILE, "start", "value", "in_text", "depth", "number", "chunks", "ends")
     return told.mapInArrow(run, ", ".join(f"{n} long" for n in names[:-1]) + ", piece binary")
 
 
@@ -200,9 +222,9 @@ def _items_of(pieces: DataFrame, numbered: bool) -> DataFrame:
 def read_ranges(
     spark: SparkSession, path: str, name_glob: str, path_part: str | None = None, above: int = 0, chunk_bytes: int = CHUNK_BYTES, numbered: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Items (path, position, item) of the files of more than ``above`` bytes, and (path) of those that are not one array.
+    """Items (path, position, object, item) of the files of more than ``above`` bytes, and (path) of those that are not one array.
 
-    An item is a variant. ``position`` is only meant for use with ``numbered``. Files of any size are read by as many
+    An item is a variant; ``object`` says whether it is an object. ``position`` is only meant for use with ``numbered``. Files of any size are read by as many
     tasks as Spark makes ranges of them (``spark.sql.files.maxPartitionBytes``), but a text without a comma is one record.
     Records and chunks are the same in both readings, since Spark cuts a file into the same ranges each time.
     """
@@ -218,8 +240,11 @@ def read_ranges(
     marked = F.from_json(F.concat(F.lit("["), "text", F.lit(f',["{END_MARK}"]]')), "array<variant>")
     items = items.withColumn("blank", F.col("text").rlike(SPACES)).withColumn("parts", F.when(~F.col("blank"), marked))
     whole = (F.size("parts") == 2) & (F.try_variant_get(F.get("parts", F.lit(1)), "$[0]", "string") == END_MARK)
+    # Parsed once; which files are broken is known only when all items are.
+    items = items.select(*FILE, "position", "blank", F.coalesce(whole, F.lit(False)).alias("whole"), F.col("text").rlike(OBJECT).alias("object"), F.get("parts", F.lit(0)).alias("item"))
+    items = written(items, "array_items")
     counted = items.groupBy(*FILE).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("blank").alias("blanks"), F.count_if(~F.col("blank") & ~F.coalesce(whole, F.lit(False))).alias("wrong")
+        F.count(F.lit(1)).alias("n"), F.count_if("blank").alias("blanks"), F.count_if(~F.col("blank") & ~F.col("whole")).alias("wrong")
     )
     # [] is one blank piece.
     wrong = counted.where((F.col("wrong") > 0) | ((F.col("blanks") > 0) & (F.col("n") > 1))).select(*FILE)
@@ -229,4 +254,4 @@ def read_ranges(
     unended = ended.join(files, FILE).where((F.col("depth") != 0) | (F.col("in_text") != 0) | trailing).select(*FILE)
     bad = written(wrong.unionAll(unended).unionAll(pieces.where("place < 0").select(*FILE)).distinct().join(files, FILE).select(*FILE, "path"), "array_broken")
     good = items.where(~F.col("blank")).join(bad.select(*FILE), FILE, "left_anti").join(files, FILE)
-    return good.select("path", "position", F.get("parts", F.lit(0)).alias("item")), bad.select("path")
+    return good.select("path", "position", "object", "item"), bad.select("path")

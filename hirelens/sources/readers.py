@@ -49,12 +49,12 @@ def scan_json(
     ``whole_below`` bytes is parsed as one value, a larger one is read in ranges by many tasks, see
     :mod:`hirelens.sources.array_ranges`; the rows are the same.
     """
-    items = _array_files(spark, path, name_glob, path_part, whole_below).select(F.explode("items").alias("item"))
+    items = _array_files(spark, path, name_glob, path_part, whole_below).select(F.explode("items").alias("item")).where(_is_object("item"))
     if _has_larger(spark, path, name_glob, path_part, whole_below):
         more, _ = array_ranges.read_ranges(spark, path, name_glob, path_part, whole_below, **options)
-        items = items.unionAll(more.select("item"))
+        items = items.unionAll(more.where("object").select("item"))
     typed = F.from_json(F.to_json("item"), schema, {"mode": "PERMISSIVE"})
-    return items.where(_is_object("item")).select(typed.alias("row")).select("row.*")
+    return items.select(typed.alias("row")).select("row.*")
 
 
 def _has_larger(spark: SparkSession, path: str, name_glob: str, path_part: str | None, size: int) -> bool:
@@ -74,7 +74,7 @@ def scan_rejects(
     odd = odd.select("path", F.col("position").cast("long").alias("position"), F.when(F.col("broken"), NO_ARRAY).otherwise(NO_OBJECT).alias("reason"))
     if _has_larger(spark, path, name_glob, path_part, whole_below):
         items, broken = array_ranges.read_ranges(spark, path, name_glob, path_part, whole_below, numbered=True, **options)
-        odd = odd.unionAll(items.where(~_is_object("item")).select("path", "position", F.lit(NO_OBJECT)))
+        odd = odd.unionAll(items.where("NOT object").select("path", "position", F.lit(NO_OBJECT)))
         odd = odd.unionAll(broken.select("path", F.lit(None).cast("long"), F.lit(NO_ARRAY)))
     return odd
 

@@ -13,7 +13,7 @@ from hirelens.functions import scalars, semistructured, text, web
 from hirelens.operators import checks, neighbours, reshape
 from hirelens.plans import load, marts, silver, star
 from hirelens.session import scratch_path
-from hirelens.sources import readers, writers
+from hirelens.sources import array_ranges, readers, writers
 
 
 def rows(df):
@@ -425,6 +425,17 @@ def test_one_array_is_read_by_many_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", set_before)
 
 
+def test_ranges_are_cut_in_one_pass_and_parsed_once(spark, tmp_path, monkeypatch):
+    """Chunks do not leave Python before they are cut: many in one batch would be a whole range."""
+    plans, kept = {}, array_ranges.written
+    monkeypatch.setattr(array_ranges, "written", lambda df, name: (plans.update({name: df._jdf.queryExecution().executedPlan().toString()}), kept(df, name))[1])
+    (tmp_path / "a.json").write_text(json.dumps([{"id": str(k), "n": k} for k in range(90)]))
+    found = readers.scan_json(spark, str(tmp_path), star_schema(), whole_below=0, chunk_bytes=50)
+    assert rows(found.select("id", "n")) == {(str(k), k): 1 for k in range(90)}
+    assert plans["array_pieces"].count("MapInArrow") == 1
+    assert "from_json" in plans["array_items"] and "from_json" not in plans["array_broken"]
+
+
 def test_tables_of_one_name_in_two_schemas(spark):
     for n, schema in enumerate(("hirelens_a", "hirelens_b"), 1):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
