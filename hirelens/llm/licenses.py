@@ -116,6 +116,8 @@ def scan(
     own = matched.groupBy("path").agg(F.min(F.struct((~F.col("by_text")).alias("l"), (-F.col("similarity")).alias("s"), "licence")).alias("b"))
     is_file = ~F.col("b.l") | F.col("path").rlike(FILE_NAMES)
     own = own.select("path", F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("similarity"), is_file.alias("is_file"))
+    # Used three times below; Spark does not always find that the matching under it is the same.
+    own = written(own, "licence_own")
     folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
     folders = own.where("is_file").withColumn("folder", folder).groupBy("folder").agg(
         F.min(F.struct((-F.col("similarity")).alias("s"), "licence", "path")).alias("b")

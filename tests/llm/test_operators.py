@@ -494,6 +494,14 @@ def test_licences_are_inherited_from_the_nearest_folder(spark):
     assert not re.search("Python|Arrow|Pandas", licenses.scan(frame)._jdf.queryExecution().executedPlan().toString())
 
 
+def test_pieces_are_matched_once(spark):
+    """What paths and folders take from the matches is read, not matched again for each use."""
+    frame = spark.createDataFrame([("a/LICENSE", "Released under the MIT License."), ("a/b/x.py", "code")], "path string, text string")
+    found = licenses.scan(frame)
+    assert "regexp_extract_all" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.path, r.licence, r.origin) for r in found.collect()} == {("a/LICENSE", "MIT", "header"), ("a/b/x.py", "MIT", "inherited")}
+
+
 def test_each_row_of_odd_documents_gets_a_licence(spark, odd, empty):
     mit = "# Released under the MIT License."
     rows = [(None, mit, "s", "en"), (None, "code", "s", "en"), (None, None, None, None), (7, mit, "s", "en"), (7, mit, "s", "en"), (7, "code", "t", "en"), (250, "", "s", None)]
