@@ -2,9 +2,11 @@
 
 Spark's text reader cuts a file into ranges and each range into records at commas, wherever these stand. Records are
 joined to chunks again, and each chunk tells how many quotes it has and how its brackets change the depth if it
-begins outside or inside of a string. Running sums of that over a file's chunks say how each one really begins, so
-that all ranges can be cut at the commas of the outermost array independently, chunk by chunk. Only the pieces at chunks'
-ends meet in a shuffle, where they are joined to items. Python holds one chunk and one Arrow batch of records at a time.
+begins outside or inside of a string. Running sums of that over a file's chunks say how each one really begins. A file
+begins outside of a string at depth 0, and its later ranges mostly begin as their first chunk looks, so that chunks are
+cut at the commas of the outermost array in the same reading; ranges of which the sums say otherwise are read and cut again.
+Only the pieces at chunks' ends meet in a shuffle, where they are joined to items. Python holds two chunks and one
+Arrow batch of records at a time.
 """
 
 from __future__ import annotations
@@ -23,17 +25,22 @@ CHUNK_BYTES = 1 << 20
 END_MARK = "end of the item"
 FILE = ["file_a", "file_b"]  # two hashes of the path stand for it, so that records stay short
 CHUNK = [*FILE, "start", "seq"]
+TOLD = ["bytes", "quotes", "outside", "inside", "in_text", "depth", "last"]
+BROKEN, TOLD_ROW = -1, -2  # places of rows that are no pieces
 SPACES = r"^[ \t\r\n]*$"
 OBJECT = r"^[ \t\r\n]*\{"
 COMPRESSED = r"\.(gz|bz2|zst|lz4|snappy|deflate)$"
 
 
-def _file_keys(path: Column) -> list[Column]:
+def _file_keys() -> list[Column]:
+    # The same for every reader, but not written as in _metadata.
+    path = F.input_file_name()
     return [F.xxhash64(path).alias(FILE[0]), F.xxhash64(path, F.lit(1)).alias(FILE[1])]
 
 
 def _chosen(files: DataFrame, path_part: str | None, above: int) -> DataFrame:
-    files = files.where(F.col("_metadata.file_size") > above)
+    # Fields of _metadata are added to every record, and an empty file has none.
+    files = files.where(F.col("_metadata.file_size") > above) if above > 0 else files
     return files.where(F.col("_metadata.file_path").contains(path_part)) if path_part else files
 
 
@@ -41,9 +48,7 @@ def large_files(spark: SparkSession, path: str, name_glob: str, path_part: str |
     """(path, size, file_a, file_b) of the files of more than ``above`` bytes; their content is not read."""
     files = spark.read.format("binaryFile").load(path, recursiveFileLookup=True, pathGlobFilter=name_glob)
     files = _chosen(files, path_part, above)
-    return files.select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), *_file_keys(F.col("_metadata.file_path"))
-    )
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), *_file_keys())
 
 
 def _chunker(chunk_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[tuple, bytes]]]:
@@ -111,45 +116,44 @@ def _structure() -> tuple[Callable, np.ndarray]:
     return structure, step
 
 
-def _summaries(records: DataFrame, chunk_bytes: int) -> DataFrame:
-    chunks, (structure, step) = _chunker(chunk_bytes), _structure()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, data in chunks(batches):
-            _, byte, before, quotes = structure(np.frombuffer(data, np.uint8))
-            steps, inside = step[byte], before % 2 == 1
-            row = [*key, len(data), quotes, int(steps[~inside].sum()), int(steps[inside].sum())]
-            yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in row], [*names])
-
-    names = [*CHUNK, "bytes", "quotes", "outside", "inside"]
-    return records.mapInArrow(run, ", ".join(f"{n} long" for n in names))
-
-
-def _states(summaries: DataFrame) -> DataFrame:
-    """How each chunk begins: number in the file, inside a string or not, depth, whether it is the last one."""
+def _states(told: DataFrame) -> DataFrame:
+    """How each chunk begins: inside a string or not, depth, whether it is the file's last one; ``wrong`` if it was cut as beginning otherwise."""
     ordered = Window.partitionBy(*FILE).orderBy("start", "seq")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    in_text = summaries.withColumn("in_text", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
+    cut_as = told.withColumnsRenamed({n: f"cut_{n}" for n in TOLD[4:]})
+    in_text = cut_as.withColumn("in_text", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
     step = F.when(F.col("in_text") == 0, F.col("outside")).otherwise(F.col("inside"))
     stepped = in_text.withColumn("step", step).withColumn("depth", F.coalesce(F.sum("step").over(before), F.lit(0)))
-    last = F.lead(F.lit(0), 1, 1).over(ordered)
-    return stepped.select(*CHUNK, "bytes", "quotes", "step", "in_text", "depth", F.row_number().over(ordered).cast("long").alias("number"), last.cast("long").alias("last"))
+    lasts = stepped.withColumn("last", F.lead(F.lit(0), 1, 1).over(ordered).cast("long"))
+    wrong = (F.col("in_text") != F.col("cut_in_text")) | (F.col("depth") != F.col("cut_depth")) | (F.col("last") != F.col("cut_last"))
+    return lasts.select(*CHUNK, "bytes", "quotes", "step", "in_text", "depth", "last", wrong.alias("wrong"))
 
 
-def _starts(states: DataFrame) -> DataFrame:
-    """How each range's first chunk begins, the number of its chunks, and whether the file ends with them."""
-    return states.groupBy(*FILE, "start").agg(
-        F.min_by("in_text", "seq").cast("int").alias("in_text"), F.min_by("depth", "seq").alias("depth"), F.min("number").alias("number"),
-        F.count(F.lit(1)).cast("int").alias("chunks"), (F.max("last") == 1).alias("ends"),
+def _wrong_starts(states: DataFrame) -> DataFrame:
+    """Ranges that were cut as beginning otherwise than they do: how they begin, and whether the file ends with them."""
+    starts = states.groupBy(*FILE, "start").agg(
+        F.min_by("in_text", "seq").alias("in_text"), F.min_by("depth", "seq").alias("depth"), F.max("last").alias("ends"), F.max("wrong").alias("wrong")
     )
+    return starts.where("wrong").drop("wrong")
 
 
-def _pieces(records: DataFrame, states: DataFrame, chunk_bytes: int) -> DataFrame:
-    """(file, number, place, commas, piece): a chunk's pieces between commas of the outermost array.
+def _pieces(records: DataFrame, chunk_bytes: int, starts: DataFrame | None = None) -> DataFrame:
+    """(chunk, commas, place, piece): a chunk's pieces between commas of the outermost array, and a row of what it tells.
 
-    A chunk that breaks the form of a single array has a place of -1.
+    A chunk that breaks the form of a single array has a place of ``BROKEN``. Without ``starts`` it is guessed how a
+    range begins that is not its file's first; with them only their ranges are cut.
     """
-    chunks, (structure, step) = _chunker(chunk_bytes), _structure()
+    chunks, (structure, step), given = _chunker(chunk_bytes), _structure(), starts is not None
+    space = b" \t\r\n"
+
+    def guess(data: bytes, at, byte, before, final: bool) -> tuple[int, int]:
+        # Brackets stand mostly outside of strings, and a chunk mostly reaches the depth of the outermost array, or its end.
+        live = max(((before + k) % 2 == 0 for k in (0, 1)), key=lambda x: np.count_nonzero(step[byte[x]]))
+        depths, places = np.cumsum(step[byte[live]]), at[live][step[byte[live]] != 0]
+        low = min(0, int(depths.min())) if len(depths) else 0
+        closes = final and len(places) and depths[-1] == low < 0 and data[places[-1] :].rstrip(space + b",") == b"]"
+        closes = closes and np.count_nonzero(depths[at[live] < places[-1]] == low) == 0
+        return int(len(before) > 0 and not np.array_equal(live, before % 2 == 0)), -low if closes else 1 - low
 
     def cut(data: bytes, at, byte, steps, depth: int, first: bool) -> list[bytes] | None:
         depths = depth + np.cumsum(steps)
@@ -157,14 +161,24 @@ def _pieces(records: DataFrame, states: DataFrame, chunk_bytes: int) -> DataFram
         if (len(depths) and depths.min() < 0) or len(opened) != int(first) or len(closed) > 1:
             return None
         if not first and depth == 0:
-            return None if data.strip(b" \t\r\n") else []
+            return None if data.strip(space) else []
         lo, hi = int(opened[0]) + 1 if first else 0, int(closed[0]) if len(closed) else len(data)
         ends = data[hi:]
-        if first and data[:lo].lstrip(b" \t\r\n") != b"[" or len(closed) and ends.rstrip(b" \t\r\n") != b"]":
+        if first and data[:lo].lstrip(space) != b"[" or len(closed) and ends.rstrip(space) != b"]":
             return None
         places = at[(byte == ord(",")) & (depths == 1) & (at >= lo) & (at < hi)].tolist()
         return [data[a:b] for a, b in zip([lo, *(p + 1 for p in places)], [*places, hi])]
 
+    def with_final(made: Iterator[tuple[tuple, bytes]]) -> Iterator[tuple[tuple, bytes, bool]]:
+        """Each chunk, and whether it is its range's last one."""
+        held = None
+        for key, data in made:
+            if held:
+                yield *held, held[0][:3] != key[:3]
+            held = key, data
+        if held:
+            yield *held, True
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begins: dict[tuple, tuple] = {}
 
@@ -173,47 +187,58 @@ def _pieces(records: DataFrame, states: DataFrame, chunk_bytes: int) -> DataFram
                 # A range's records follow each other, so its state is read where its first record is.
                 ids = np.stack([batch.column(k).to_numpy() for k in range(3)])
                 for k in [0, *(np.flatnonzero((np.diff(ids) != 0).any(axis=0)) + 1).tolist()] if batch.num_rows else []:
-                    begins.setdefault(tuple(ids[:, k].tolist()), tuple(batch.column(c)[k].as_py() for c in range(4, 9)))
+                    begins.setdefault(tuple(ids[:, k].tolist()), tuple(batch.column(c)[k].as_py() for c in range(4, 7)))
                 yield batch
 
-        for (*file, start, seq), data in chunks(noted()):
-            if seq == 0:
-                in_text, depth, number, count, ends = begins.pop((*file, start))
-            data = data[:-1] if ends and seq == count - 1 else data
+        def rows(key: list[int], place, piece: list[bytes], told: list[int] | None = None) -> pa.RecordBatch:
+            same = [pa.array(np.full(len(piece), v, np.int64)) for v in (*key, len(piece) - 1)]
+            told = [pa.array([v], pa.int64()) for v in told] if told else [pa.nulls(len(piece), pa.int64())] * len(TOLD)
+            return pa.RecordBatch.from_arrays([*same, pa.array(place, pa.int64()), *told, pa.array(piece, pa.binary())], names)
+
+        for (*file, start, seq), data, final in with_final(chunks(noted() if given else batches)):
             at, byte, before, quotes = structure(np.frombuffer(data, np.uint8))
-            live = (before + in_text) % 2 == 0
-            at, byte = at[live], byte[live]
-            steps = step[byte]
-            made = cut(data, at, byte, steps, depth, number + seq == 1)
-            in_text, depth = (in_text + quotes) % 2, depth + int(steps.sum())
-            found, places = ([b""], [-1]) if made is None else (made, range(len(made)))
-            same = [pa.array([v] * len(found), pa.int64()) for v in (*file, number + seq)]
-            commas = pa.array([len(found) - 1] * len(found), pa.int64())
-            yield pa.RecordBatch.from_arrays([*same, pa.array(places, pa.int64()), commas, pa.array(found, pa.binary())], names)
-
-    names = [*FILE, "number", "place", "commas", "piece"]
-    # Only a broadcast leaves a range's records in their order; there is one row for each range.
-    told = records.join(F.broadcast(_starts(states)), [*FILE, "start"])
-    told = told.select(*FILE, "start", "value", "in_text", "depth", "number", "chunks", "ends")
-    return told.mapInArrow(run, ", ".join(f"{n} long" for n in names[:-1]) + ", piece binary")
+            steps, inside = step[byte], before % 2 == 1
+            told = [len(data), quotes, int(steps[~inside].sum()), int(steps[inside].sum())]
+            if seq == 0 and given:
+                in_text, depth, ends = begins.pop((*file, start))
+            elif seq == 0:
+                in_text, depth = guess(data, at, byte, before, final) if start else (0, 0)
+            live = inside if in_text else ~inside
+            at, byte, steps = at[live], byte[live], steps[live]
+            after = depth + int(steps.sum())
+            # A comma more than the file has follows its last record.
+            last = final and (ends == 1 if given else after == 0)
+            made = cut(data[:-1] if last else data, at, byte, steps, depth, start == seq == 0)
+            yield rows([*file, start, seq], [TOLD_ROW], [b""], [*told, in_text, depth, int(last)])
+            if made is None:
+                yield rows([*file, start, seq], [BROKEN], [b""])
+            elif made:
+                yield rows([*file, start, seq], np.arange(len(made)), made)
+            in_text, depth = (in_text + quotes) % 2, after
+
+    names = [*CHUNK, "commas", "place", *TOLD, "piece"]
+    if given:
+        # Only a broadcast leaves a range's records in their order; there is one row for each range.
+        records = records.join(F.broadcast(starts), [*FILE, "start"]).select(*FILE, "start", "value", "in_text", "depth", "ends")
+    return records.mapInArrow(run, ", ".join(f"{n} long" for n in names[:-1]) + ", piece binary")
 
 
 def _items_of(pieces: DataFrame, numbered: bool) -> DataFrame:
     """(file, position, text) of all items; without ``numbered`` only those that touch a chunk's end have a position."""
     sound = pieces.where("place >= 0")
-    earlier = Window.partitionBy(*FILE).orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = sound.where("place = 0").select(*FILE, "number", "commas")
-    base = chunks.select(*FILE, "number", F.coalesce(F.sum("commas").over(earlier), F.lit(0)).alias("base"))
+    earlier = Window.partitionBy(*FILE).orderBy("start", "seq").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = sound.where("place = 0").select(*CHUNK, "commas")
+    base = chunks.select(*CHUNK, F.coalesce(F.sum("commas").over(earlier), F.lit(0)).alias("base"))
     at_end = (F.col("place") == 0) | (F.col("place") == F.col("commas"))
     position = (F.col("base") + F.col("place")).alias("position")
-    ends = sound.where(at_end).join(base, [*FILE, "number"]).select(*FILE, position, "number", F.col("piece").cast("binary").alias("piece"))
-    parts = F.array_sort(F.collect_list(F.struct("number", "piece")))
+    ends = sound.where(at_end).join(base, CHUNK).select(*CHUNK, position, F.col("piece").cast("binary").alias("piece"))
+    parts = F.array_sort(F.collect_list(F.struct("start", "seq", "piece")))
     # Bytes are joined before they become text: a chunk may only end at a comma, but stays bytes until it is whole.
     joined = F.aggregate(parts, F.lit(b""), lambda a, p: F.concat(a, p["piece"]))
     merged = ends.groupBy(*FILE, "position").agg(joined.alias("piece"))
     inner = sound.where(~at_end)
     if numbered:
-        inner = inner.join(base, [*FILE, "number"]).select(*FILE, position, "piece")
+        inner = inner.join(base, CHUNK).select(*FILE, position, "piece")
     else:
         inner = inner.select(*FILE, F.lit(None).cast("long").alias("position"), "piece")
     return merged.unionAll(inner).select(*FILE, "position", F.col("piece").cast("string").alias("text"))
@@ -222,26 +247,32 @@ def _items_of(pieces: DataFrame, numbered: bool) -> DataFrame:
 def read_ranges(
     spark: SparkSession, path: str, name_glob: str, path_part: str | None = None, above: int = 0, chunk_bytes: int = CHUNK_BYTES, numbered: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Items (path, position, object, item) of the files of more than ``above`` bytes, and (path) of those that are not one array.
+    """Items (object, item) of the files of more than ``above`` bytes, with ``numbered`` (path, position, object), and (path) of those that are not one array.
 
-    An item is a variant; ``object`` says whether it is an object. ``position`` is only meant for use with ``numbered``. Files of any size are read by as many
+    An item is the JSON text of a variant; ``object`` says whether it is an object. Files of any size are read by as many
     tasks as Spark makes ranges of them (``spark.sql.files.maxPartitionBytes``), but a text without a comma is one record.
-    Records and chunks are the same in both readings, since Spark cuts a file into the same ranges each time.
+    Records and chunks are the same in every reading, since Spark cuts a file into the same ranges each time.
     """
-    files = large_files(spark, path, name_glob, path_part, above)
+    # One row for each file; Spark would take the files' bytes for the size of this and shuffle items by file.
+    files = F.broadcast(large_files(spark, path, name_glob, path_part, above))
     lines = spark.read.text(path, lineSep=",", recursiveFileLookup=True, pathGlobFilter=name_glob)
     lines = _chosen(lines, path_part, above)
-    start = F.col("_metadata.file_block_start").alias("start")
-    records = lines.select(*_file_keys(F.col("_metadata.file_path")), start, F.col("value").cast("binary").alias("value"))
-    states = written(_states(_summaries(records, chunk_bytes)), "array_states")
-    pieces = written(_pieces(records, states, chunk_bytes), "array_pieces")
+    start = F.input_file_block_start().alias("start")
+    records = lines.select(*_file_keys(), start, F.col("value").cast("binary").alias("value"))
+    pieces = written(_pieces(records, chunk_bytes), "array_pieces")
+    states = written(_states(pieces.where(F.col("place") == TOLD_ROW).select(*CHUNK, *TOLD)), "array_states")
+    if not states.where("wrong").isEmpty():
+        starts = written(_wrong_starts(states), "array_starts")
+        again = written(_pieces(records, chunk_bytes, starts), "array_pieces_again")
+        pieces = pieces.join(F.broadcast(starts.select(*FILE, "start")), [*FILE, "start"], "left_anti").unionAll(again)
     items = _items_of(pieces, numbered)
     # The parser stops at the end of a value. With a mark behind the item, text that goes on breaks the list.
     marked = F.from_json(F.concat(F.lit("["), "text", F.lit(f',["{END_MARK}"]]')), "array<variant>")
     items = items.withColumn("blank", F.col("text").rlike(SPACES)).withColumn("parts", F.when(~F.col("blank"), marked))
     whole = (F.size("parts") == 2) & (F.try_variant_get(F.get("parts", F.lit(1)), "$[0]", "string") == END_MARK)
-    # Parsed once; which files are broken is known only when all items are.
-    items = items.select(*FILE, "position", "blank", F.coalesce(whole, F.lit(False)).alias("whole"), F.col("text").rlike(OBJECT).alias("object"), F.get("parts", F.lit(0)).alias("item"))
+    # Parsed once, and kept as text, which is quicker to write and read than a variant; which files are broken is known only when all items are.
+    kept = F.col("position") if numbered else F.to_json(F.get("parts", F.lit(0))).alias("item")
+    items = items.select(*FILE, "blank", F.coalesce(whole, F.lit(False)).alias("whole"), F.col("text").rlike(OBJECT).alias("object"), kept)
     items = written(items, "array_items")
     counted = items.groupBy(*FILE).agg(
         F.count(F.lit(1)).alias("n"), F.count_if("blank").alias("blanks"), F.count_if(~F.col("blank") & ~F.col("whole")).alias("wrong")
@@ -252,6 +283,8 @@ def read_ranges(
     # A record more than there are separators, unless the file ends with one.
     trailing = ~F.col("path").rlike(COMPRESSED) & (F.col("bytes") != F.col("size") + 1)
     unended = ended.join(files, FILE).where((F.col("depth") != 0) | (F.col("in_text") != 0) | trailing).select(*FILE)
-    bad = written(wrong.unionAll(unended).unionAll(pieces.where("place < 0").select(*FILE)).distinct().join(files, FILE).select(*FILE, "path"), "array_broken")
-    good = items.where(~F.col("blank")).join(bad.select(*FILE), FILE, "left_anti").join(files, FILE)
-    return good.select("path", "position", "object", "item"), bad.select("path")
+    broken = pieces.where(F.col("place") == BROKEN).select(*FILE)
+    bad = written(wrong.unionAll(unended).unionAll(broken).distinct().join(files, FILE).select(*FILE, "path"), "array_broken")
+    good = items.where(~F.col("blank")).join(bad.select(*FILE), FILE, "left_anti")
+    good = good.join(files, FILE).select("path", "position", "object") if numbered else good.select("object", "item")
+    return good, bad.select("path")

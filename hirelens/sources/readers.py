@@ -49,11 +49,11 @@ def scan_json(
     ``whole_below`` bytes is parsed as one value, a larger one is read in ranges by many tasks, see
     :mod:`hirelens.sources.array_ranges`; the rows are the same.
     """
-    items = _array_files(spark, path, name_glob, path_part, whole_below).select(F.explode("items").alias("item")).where(_is_object("item"))
+    items = _array_files(spark, path, name_glob, path_part, whole_below).select(F.explode("items").alias("item")).where(_is_object("item")).select(F.to_json("item").alias("item"))
     if _has_larger(spark, path, name_glob, path_part, whole_below):
         more, _ = array_ranges.read_ranges(spark, path, name_glob, path_part, whole_below, **options)
         items = items.unionAll(more.where("object").select("item"))
-    typed = F.from_json(F.to_json("item"), schema, {"mode": "PERMISSIVE"})
+    typed = F.from_json("item", schema, {"mode": "PERMISSIVE"})
     return items.select(typed.alias("row")).select("row.*")
 
 

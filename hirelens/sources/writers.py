@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,18 +19,18 @@ def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FI
 def write_arrays(items: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """JSON texts in the column ``value`` as files that hold one array each."""
 
-    def arrays(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[str] = []
-        for frame in frames:
-            held.extend(frame["value"])
+        for batch in batches:
+            held.extend(batch.column(0).to_pylist())
             while len(held) >= rows_per_file:
-                yield pd.DataFrame({"value": ["[" + ",".join(held[:rows_per_file]) + "]"]})
+                yield pa.RecordBatch.from_pydict({"value": ["[" + ",".join(held[:rows_per_file]) + "]"]})
                 del held[:rows_per_file]
         if held:
-            yield pd.DataFrame({"value": ["[" + ",".join(held) + "]"]})
+            yield pa.RecordBatch.from_pydict({"value": ["[" + ",".join(held) + "]"]})
 
     # One line per array and one line per file.
-    items.mapInPandas(arrays, "value string").write.option("maxRecordsPerFile", 1).text(path)
+    items.mapInArrow(arrays, "value string").write.option("maxRecordsPerFile", 1).text(path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

@@ -436,6 +436,32 @@ def test_ranges_are_cut_in_one_pass_and_parsed_once(spark, tmp_path, monkeypatch
     assert "from_json" in plans["array_items"] and "from_json" not in plans["array_broken"]
 
 
+def test_ranges_are_read_once_and_again_only_where_they_begin_otherwise(spark, tmp_path, monkeypatch):
+    """One reading cuts ranges that begin as they look; items are neither kept as variants nor shuffled by file."""
+    made, kept = {}, array_ranges.written
+    monkeypatch.setattr(array_ranges, "written", lambda df, name: (made.update({name: df}), kept(df, name))[1])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    options = {"whole_below": 0, "chunk_bytes": 200}
+    set_before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        plain = [{"id": str(k), "n": k} for k in range(900)]
+        (tmp_path / "plain.json").write_text(json.dumps(plain))
+        found = readers.scan_json(spark, str(tmp_path), star_schema(), **options)
+        assert rows(found.select("id", "n")) == {(i["id"], i["n"]): 1 for i in plain}
+        assert sum(plan(df).count("MapInArrow") for df in made.values()) == 1 and "array_pieces_again" not in made
+        assert made["array_items"].schema["item"].dataType.simpleString() == "string"
+        assert "Exchange hashpartitioning" not in plan(found) and "binaryFile" not in plan(found)
+        # Whole chunks within texts that look like items, and items deeper than a chunk.
+        odd = [{"id": ', {"id": "x"}, [' * (k % 50), "n": k, "z": [[[list(range(90))]]]} for k in range(120)]
+        (tmp_path / "plain.json").write_text(json.dumps(odd))
+        found = readers.scan_json(spark, str(tmp_path), star_schema(), **options)
+        assert rows(found.select("id", "n")) == {(i["id"], i["n"]): 1 for i in odd}
+        assert "MapInArrow" in plan(made["array_pieces_again"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", set_before)
+
+
 def test_tables_of_one_name_in_two_schemas(spark):
     for n, schema in enumerate(("hirelens_a", "hirelens_b"), 1):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
