@@ -223,25 +223,46 @@ def _pieces(records: DataFrame, chunk_bytes: int, starts: DataFrame | None = Non
     return records.mapInArrow(run, ", ".join(f"{n} long" for n in names[:-1]) + ", piece binary")
 
 
+def _parsed(df: DataFrame, text: Column, numbered: bool) -> DataFrame:
+    """Add whether a text is blank, one whole value, an object, and the item unless ``numbered``. A NULL text is not parsed."""
+    # The parser stops at the end of a value. With a mark behind the item, text that goes on breaks the list.
+    marked = F.from_json(F.concat(F.lit("["), "text", F.lit(f',["{END_MARK}"]]')), "array<variant>")
+    df = df.withColumn("text", text).withColumn("blank", F.col("text").rlike(SPACES)).withColumn("parts", F.when(~F.col("blank"), marked))
+    whole = (F.size("parts") == 2) & (F.try_variant_get(F.get("parts", F.lit(1)), "$[0]", "string") == END_MARK)
+    # An item is kept as text, which is quicker to write and read than a variant.
+    item = {} if numbered else {"item": F.to_json(F.get("parts", F.lit(0)))}
+    return df.withColumns({"whole": F.coalesce(whole, F.lit(False)), "object": F.col("text").rlike(OBJECT)} | item).drop("text", "parts")
+
+
+def _at_end() -> Column:
+    return (F.col("place") == 0) | (F.col("place") == F.col("commas"))
+
+
+def _inner_parsed(pieces: DataFrame, numbered: bool) -> DataFrame:
+    """Pieces that are whole items parsed; only the others keep their bytes."""
+    inner = (F.col("place") >= 0) & ~_at_end()
+    parsed = _parsed(pieces, F.when(inner, F.col("piece").cast("string")), numbered)
+    return parsed.withColumn("piece", F.when(~inner, F.col("piece")))
+
+
 def _items_of(pieces: DataFrame, numbered: bool) -> DataFrame:
-    """(file, position, text) of all items; without ``numbered`` only those that touch a chunk's end have a position."""
+    """(file, blank, whole, object) of all items, with ``numbered`` their position, else the item."""
     sound = pieces.where("place >= 0")
     earlier = Window.partitionBy(*FILE).orderBy("start", "seq").rowsBetween(Window.unboundedPreceding, -1)
     chunks = sound.where("place = 0").select(*CHUNK, "commas")
     base = chunks.select(*CHUNK, F.coalesce(F.sum("commas").over(earlier), F.lit(0)).alias("base"))
-    at_end = (F.col("place") == 0) | (F.col("place") == F.col("commas"))
     position = (F.col("base") + F.col("place")).alias("position")
-    ends = sound.where(at_end).join(base, CHUNK).select(*CHUNK, position, F.col("piece").cast("binary").alias("piece"))
+    ends = sound.where(_at_end()).join(base, CHUNK).select(*CHUNK, position, "piece")
     parts = F.array_sort(F.collect_list(F.struct("start", "seq", "piece")))
     # Bytes are joined before they become text: a chunk may only end at a comma, but stays bytes until it is whole.
     joined = F.aggregate(parts, F.lit(b""), lambda a, p: F.concat(a, p["piece"]))
     merged = ends.groupBy(*FILE, "position").agg(joined.alias("piece"))
-    inner = sound.where(~at_end)
-    if numbered:
-        inner = inner.join(base, CHUNK).select(*FILE, position, "piece")
-    else:
-        inner = inner.select(*FILE, F.lit(None).cast("long").alias("position"), "piece")
-    return merged.unionAll(inner).select(*FILE, "position", F.col("piece").cast("string").alias("text"))
+    columns = [*FILE, "blank", "whole", "object", "position" if numbered else "item"]
+    # Parsed once; which files are broken is known only when all items are.
+    merged = written(_parsed(merged, F.col("piece").cast("string"), numbered).select(columns), "array_items")
+    inner = sound.where(~_at_end())
+    inner = inner.join(base, CHUNK).withColumn("position", position) if numbered else inner
+    return merged.unionAll(inner.select(columns))
 
 
 def read_ranges(
@@ -259,21 +280,13 @@ def read_ranges(
     lines = _chosen(lines, path_part, above)
     start = F.input_file_block_start().alias("start")
     records = lines.select(*_file_keys(), start, F.col("value").cast("binary").alias("value"))
-    pieces = written(_pieces(records, chunk_bytes), "array_pieces")
+    pieces = written(_inner_parsed(_pieces(records, chunk_bytes), numbered), "array_pieces")
     states = written(_states(pieces.where(F.col("place") == TOLD_ROW).select(*CHUNK, *TOLD)), "array_states")
     if not states.where("wrong").isEmpty():
         starts = written(_wrong_starts(states), "array_starts")
-        again = written(_pieces(records, chunk_bytes, starts), "array_pieces_again")
+        again = written(_inner_parsed(_pieces(records, chunk_bytes, starts), numbered), "array_pieces_again")
         pieces = pieces.join(F.broadcast(starts.select(*FILE, "start")), [*FILE, "start"], "left_anti").unionAll(again)
     items = _items_of(pieces, numbered)
-    # The parser stops at the end of a value. With a mark behind the item, text that goes on breaks the list.
-    marked = F.from_json(F.concat(F.lit("["), "text", F.lit(f',["{END_MARK}"]]')), "array<variant>")
-    items = items.withColumn("blank", F.col("text").rlike(SPACES)).withColumn("parts", F.when(~F.col("blank"), marked))
-    whole = (F.size("parts") == 2) & (F.try_variant_get(F.get("parts", F.lit(1)), "$[0]", "string") == END_MARK)
-    # Parsed once, and kept as text, which is quicker to write and read than a variant; which files are broken is known only when all items are.
-    kept = F.col("position") if numbered else F.to_json(F.get("parts", F.lit(0))).alias("item")
-    items = items.select(*FILE, "blank", F.coalesce(whole, F.lit(False)).alias("whole"), F.col("text").rlike(OBJECT).alias("object"), kept)
-    items = written(items, "array_items")
     counted = items.groupBy(*FILE).agg(
         F.count(F.lit(1)).alias("n"), F.count_if("blank").alias("blanks"), F.count_if(~F.col("blank") & ~F.col("whole")).alias("wrong")
     )
